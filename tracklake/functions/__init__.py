@@ -2,6 +2,7 @@
 
 from tracklake.functions.expressions import (
     bucket_of,
+    bucket_value,
     clip01,
     dimension_default,
     euclid,
@@ -11,6 +12,7 @@ from tracklake.functions.expressions import (
 
 __all__ = [
     "bucket_of",
+    "bucket_value",
     "clip01",
     "dimension_default",
     "euclid",

@@ -41,6 +41,13 @@ def bucket_of(scenario_id="scenario_id", n_buckets: int = 32) -> Column:
     return (h % F.lit(n_buckets)).cast("int")
 
 
+def bucket_value(scenario_id: str, n_buckets: int = 32) -> int:
+    """Driver-side twin of ``bucket_of`` for one literal id (partition pruning)."""
+    import hashlib
+
+    return int(hashlib.md5(scenario_id.encode("utf-8")).hexdigest()[:8], 16) % n_buckets
+
+
 def dimension_default(object_type="object_type", which: int = 0) -> Column:
     """Default length (which=0) or width (which=1) of an object type."""
     t = _c(object_type)

@@ -13,12 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.functions import bucket_of
+from tracklake.operators import contracts as ct
+from tracklake.operators import curate as cu
 from tracklake.operators import events as ev
 from tracklake.operators import features as ft
 from tracklake.operators import kinematics as kin
-from tracklake.settings import DEFAULT
-from tracklake.sources.fixture import fixture_tracks
+from tracklake.operators import similar as sim
+from tracklake.operators import space as sp
+from tracklake.operators.layout import add_partition_key, bucket_counts, bucket_range
+from tracklake.plans import marts
+from tracklake.plans.catalog import Catalog
+from tracklake.plans.jobs import stage_metrics
+from tracklake.settings import CUT_IN
+from tracklake.sources.fixture import fixture_tracks, plant_bad_tracks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,8 +57,7 @@ FEATURE_OUT = (
 
 
 def q_tracks(spark, sf_dir):
-    t = _tracks(spark, sf_dir)
-    return t.withColumn("scenario_bucket", bucket_of("scenario_id", DEFAULT.scenario_bucket_count))
+    return add_partition_key(_tracks(spark, sf_dir))
 
 
 def q_speed_accel(spark, sf_dir):
@@ -81,20 +87,11 @@ def q_fill_dimensions(spark, sf_dir):
 
 
 def q_bucket_counts(spark, sf_dir):
-    return (
-        q_tracks(spark, sf_dir)
-        .groupBy("scenario_bucket")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .orderBy("scenario_bucket")
-    )
+    return bucket_counts(q_tracks(spark, sf_dir))
 
 
 def q_bucket_range(spark, sf_dir):
-    return q_bucket_counts(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("n_buckets"),
-        F.min("rows").alias("min_rows"),
-        F.max("rows").alias("max_rows"),
-    )
+    return bucket_range(bucket_counts(q_tracks(spark, sf_dir)))
 
 
 def q_hard_brakes(spark, sf_dir):
@@ -137,6 +134,198 @@ def q_event_scenarios(spark, sf_dir):
     return ft.event_scenarios(_events(spark, sf_dir))
 
 
+# -- space ------------------------------------------------------------------
+
+SIMILAR_TO = "sc_00003"
+DETAIL_OF = "sc_00003"
+SAMPLE_CAP = 20
+
+
+def q_scaled_features(spark, sf_dir):
+    sc = sp.standardize(_features(spark, sf_dir))
+    return sc.select("scenario_id", *[_r(z) for z in sp.Z_COLS])
+
+
+def q_embeddings(spark, sf_dir):
+    e = sp.embed(sp.standardize(_features(spark, sf_dir)))
+    return e.select("scenario_id", *[_r(v) for v in sp.V_COLS])
+
+
+def q_event_lists(spark, sf_dir):
+    return sim.event_lists(_events(spark, sf_dir))
+
+
+def _vectors(spark, sf_dir):
+    t = _tracks(spark, sf_dir)
+    e = ev.detect_events(t)
+    return sim.vector_table(ft.build_features(t, e), e)
+
+
+def _vector_cols(df):
+    return [F.round(F.col("vector").getItem(i).cast("double"), 6).alias(v) for i, v in enumerate(sp.V_COLS)]
+
+
+def q_vector_table(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    return v.select(
+        "scenario_id",
+        *_vector_cols(v),
+        *[_r(c) for c in FEATURE_OUT],
+        "n_agents",
+        "has_event",
+        "event_types",
+    )
+
+
+def q_knn(spark, sf_dir):
+    res = sim.search_similar(_vectors(spark, sf_dir), SIMILAR_TO, 5)
+    return res.select(
+        "scenario_id", "event_types", _r("mean_speed"), _r("max_decel"), _r("_distance")
+    )
+
+
+# -- curation ---------------------------------------------------------------
+
+
+def _deduped(spark, sf_dir, features=None):
+    features = _features(spark, sf_dir) if features is None else features
+    return cu.cluster_and_dedup(features, fixed_centres=True, round_dp=9)
+
+
+def _manifest(spark, sf_dir, cap=None, keep_all_rare=None):
+    t = _tracks(spark, sf_dir)
+    e = ev.detect_events(t)
+    f = ft.build_features(t, e)
+    return cu.stratified_sample(_deduped(spark, sf_dir, f), e, cap=cap, keep_all_rare=keep_all_rare)
+
+
+def _feature_cols(df):
+    return df.select("scenario_id", *[_r(c) for c in FEATURE_OUT], "n_agents", "has_event")
+
+
+def q_primary_events(spark, sf_dir):
+    return cu.primary_events(_events(spark, sf_dir))
+
+
+def q_nearest_per_cluster(spark, sf_dir):
+    d = _deduped(spark, sf_dir)
+    return d.select("scenario_id", F.col("cluster").cast("bigint").alias("cluster"), "cluster_distance")
+
+
+def q_stratified_sample(spark, sf_dir):
+    return _feature_cols(_manifest(spark, sf_dir, cap=SAMPLE_CAP))
+
+
+def q_stratified_sample_all_capped(spark, sf_dir):
+    return _feature_cols(_manifest(spark, sf_dir, cap=SAMPLE_CAP, keep_all_rare=False))
+
+
+def q_curated_manifest(spark, sf_dir):
+    return _feature_cols(_manifest(spark, sf_dir))
+
+
+def q_curated_tracks(spark, sf_dir):
+    return cu.curated_tracks(_tracks(spark, sf_dir), _manifest(spark, sf_dir))
+
+
+def q_curation_yield(spark, sf_dir):
+    return cu.curation_yield(_manifest(spark, sf_dir), _features(spark, sf_dir)).select(
+        "curated_count", "feature_count", _r("yield")
+    )
+
+
+def q_kmeans_dedup(spark, sf_dir):
+    d = cu.cluster_and_dedup(_features(spark, sf_dir))
+    return d.select("scenario_id", "cluster", "cluster_distance")
+
+
+# -- catalog, marts, panels -------------------------------------------------
+
+
+def _catalog(spark, sf_dir, curated: bool = False) -> Catalog:
+    """Catalog over the fixture; the curated tables (which run the
+    clustering) are built only when asked for."""
+    t = _tracks(spark, sf_dir)
+    e = ev.detect_events(t)
+    f = ft.build_features(t, e)
+    man = cu.stratified_sample(_deduped(spark, sf_dir, f), e) if curated else None
+    return Catalog(
+        spark,
+        tracks=t,
+        events=e,
+        features=f,
+        curated=cu.curated_tracks(t, man) if curated else None,
+        curated_manifest=man,
+        vectors=sim.vector_table(f, e),
+    )
+
+
+def q_list_events(spark, sf_dir):
+    return _catalog(spark, sf_dir).list_events()
+
+
+def q_list_events_by_type(spark, sf_dir):
+    return _catalog(spark, sf_dir).list_events(CUT_IN, 20)
+
+
+def q_scenario_detail(spark, sf_dir):
+    return _catalog(spark, sf_dir).scenario_detail(DETAIL_OF)
+
+
+def q_stats_summary(spark, sf_dir):
+    return _catalog(spark, sf_dir).stats_summary()
+
+
+def q_stats_breakdown(spark, sf_dir):
+    return _catalog(spark, sf_dir).stats_breakdown()
+
+
+def q_adhoc_sql(spark, sf_dir):
+    return marts.panel_default_query(_catalog(spark, sf_dir))
+
+
+def q_stage_metrics(spark, sf_dir):
+    c = _catalog(spark, sf_dir, curated=True)
+    m = stage_metrics(c.tracks, c.events, c.features, c.curated_manifest, c.vectors)
+    return m.select("stage", "metric", _r("value"))
+
+
+def _mart(fn, curated: bool = False):
+    def q(spark, sf_dir):
+        return fn(_catalog(spark, sf_dir, curated))
+
+    q.__name__ = f"q_{fn.__name__}"
+    return q
+
+
+def q_panel_yield(spark, sf_dir):
+    return marts.panel_yield(_catalog(spark, sf_dir, curated=True)).select("raw", "curated", _r("yield_pct"))
+
+
+# -- contracts --------------------------------------------------------------
+
+
+def q_violations_tracks(spark, sf_dir):
+    return ct.violation_report(plant_bad_tracks(_tracks(spark, sf_dir)), ct.TRACK_CONTRACT)
+
+
+def q_violations_events(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    bad = e.withColumn(
+        "severity",
+        F.when(F.col("event_type") == CUT_IN, F.col("severity") + 1).otherwise(F.col("severity")),
+    )
+    return ct.violation_report(bad, ct.EVENT_CONTRACT)
+
+
+def q_violations_features(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    bad = f.withColumn(
+        "n_agents", F.when(F.col("has_event"), F.lit(0).cast("bigint")).otherwise(F.col("n_agents"))
+    )
+    return ct.violation_report(bad, ct.FEATURE_CONTRACT)
+
+
 QUERIES: dict[str, Query] = {
     "tracks": q_tracks,
     "speed_accel": q_speed_accel,
@@ -154,4 +343,37 @@ QUERIES: dict[str, Query] = {
     "features": q_features,
     "event_rate": q_event_rate,
     "event_scenarios": q_event_scenarios,
+    "scaled_features": q_scaled_features,
+    "embeddings": q_embeddings,
+    "event_lists": q_event_lists,
+    "vector_table": q_vector_table,
+    "knn": q_knn,
+    "primary_events": q_primary_events,
+    "nearest_per_cluster": q_nearest_per_cluster,
+    "stratified_sample": q_stratified_sample,
+    "stratified_sample_all_capped": q_stratified_sample_all_capped,
+    "curated_manifest": q_curated_manifest,
+    "curated_tracks": q_curated_tracks,
+    "curation_yield": q_curation_yield,
+    "kmeans_dedup": q_kmeans_dedup,
+    "list_events": q_list_events,
+    "list_events_by_type": q_list_events_by_type,
+    "scenario_detail": q_scenario_detail,
+    "stats_summary": q_stats_summary,
+    "stats_breakdown": q_stats_breakdown,
+    "adhoc_sql": q_adhoc_sql,
+    "stage_metrics": q_stage_metrics,
+    "mart_event_frequency": _mart(marts.mart_event_frequency),
+    "mart_severity_distribution": _mart(marts.mart_severity_distribution),
+    "mart_agent_types": _mart(marts.mart_agent_types),
+    "mart_data_engine_yield": _mart(marts.mart_data_engine_yield, curated=True),
+    "mart_scenario_complexity": _mart(marts.mart_scenario_complexity),
+    "panel_summary": _mart(marts.panel_summary),
+    "panel_events_by_type": _mart(marts.panel_events_by_type),
+    "panel_severity": _mart(marts.panel_severity),
+    "panel_agents": _mart(marts.panel_agents),
+    "panel_yield": q_panel_yield,
+    "violations_tracks": q_violations_tracks,
+    "violations_events": q_violations_events,
+    "violations_features": q_violations_features,
 }
