@@ -68,13 +68,14 @@ def stratified_sample(
     keep_all_rare: bool | None = None,
 ) -> DataFrame:
     """At most ``cap`` scenarios per capped stratum, drawn by a seeded hash
-    order; with ``keep_all_rare`` only NO_EVENT is capped. Without any event
-    the input passes unchanged (helper columns dropped)."""
+    order (independent of partitioning); with ``keep_all_rare`` only NO_EVENT
+    is capped. Without any event the input passes unchanged.
+
+    "Any event" is a 0-or-1-row frame joined without keys (semi for the
+    sample, anti for the pass-through), so no action runs while planning.
+    """
     cap = settings.curated_max_per_event if cap is None else cap
     keep_all_rare = settings.curated_keep_all_rare if keep_all_rare is None else keep_all_rare
-    drop = [c for c in HELPERS if c in features.columns]
-    if events.isEmpty():
-        return features.drop(*drop)
     labeled = features.join(primary_events(events), on="scenario_id", how="left").withColumn(
         "primary_event", F.coalesce(F.col("primary_event"), F.lit(NO_EVENT))
     )
@@ -87,8 +88,13 @@ def stratified_sample(
         cap,
         settings,
     ).drop("_draw")
-    out = sampled if not keep_all_rare else sampled.unionByName(labeled.where(~capped_cond))
-    return out.drop(*HELPERS)
+    if keep_all_rare:
+        sampled = sampled.unionByName(labeled.where(~capped_cond))
+    any_event = F.broadcast(events.select(F.lit(1).alias("_any")).limit(1))
+    drop = [c for c in HELPERS if c in labeled.columns]
+    with_events = sampled.join(any_event, how="left_semi").drop(*drop)
+    without_events = features.join(any_event, how="left_anti").drop(*drop)
+    return with_events.unionByName(without_events)
 
 
 def curated_tracks(tracks: DataFrame, curated: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions import clip01, euclid
-from tracklake.operators.kinematics import speed_accel
+from tracklake.operators.kinematics import ego_kinematics
 from tracklake.schemas import EVENTS
 from tracklake.settings import CUT_IN, DEFAULT, EVENT_COLS, HARD_BRAKE, NEAR_MISS, Settings
 
@@ -37,13 +37,13 @@ def hard_brakes_from_accel(accel: DataFrame, settings: Settings = DEFAULT) -> Da
     )
 
 
-def detect_hard_brakes(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """HARD_BRAKE events. The ordered pass runs on ego rows only: objects are
-    wholly ego or not, so no predecessor changes."""
-    ego = tracks.where(F.col("is_ego")).select(
-        "scenario_id", "object_id", "timestep", "is_ego", "velocity_x", "velocity_y"
-    )
-    return hard_brakes_from_accel(speed_accel(ego, settings), settings)
+def detect_hard_brakes(
+    tracks: DataFrame, settings: Settings = DEFAULT, ego: DataFrame | None = None
+) -> DataFrame:
+    """HARD_BRAKE events from the ego kinematics pass (``ego`` may be given
+    to share it with the features)."""
+    ego = ego_kinematics(tracks, settings) if ego is None else ego
+    return hard_brakes_from_accel(ego, settings)
 
 
 def agent_ego_pairs(tracks: DataFrame) -> DataFrame:
@@ -126,8 +126,10 @@ def detect_near_misses(tracks: DataFrame, settings: Settings = DEFAULT) -> DataF
     return proximity_events(agent_ego_pairs(tracks), settings, kinds=(NEAR_MISS,))
 
 
-def detect_events(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def detect_events(
+    tracks: DataFrame, settings: Settings = DEFAULT, ego: DataFrame | None = None
+) -> DataFrame:
     """All events in the canonical column order, duplicates kept."""
-    hb = detect_hard_brakes(tracks, settings).select(*EVENT_COLS)
+    hb = detect_hard_brakes(tracks, settings, ego).select(*EVENT_COLS)
     prox = proximity_events(agent_ego_pairs(tracks), settings)
     return hb.unionByName(prox)

@@ -9,19 +9,21 @@ from tracklake.operators.kinematics import ego_kinematics
 from tracklake.settings import DEFAULT, Settings
 
 
-def ego_features(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def ego_features(
+    tracks: DataFrame, settings: Settings = DEFAULT, ego: DataFrame | None = None
+) -> DataFrame:
     """Per scenario over ego rows: mean and max speed, minimum acceleration,
     path length and sample variance of heading (NULLs not yet filled).
 
     A scenario without an ego row has no feature row. ``max`` skips NaN, the
     path length of a single-row ego is 0.0.
     """
-    ego = ego_kinematics(tracks, settings)
+    ego = ego_kinematics(tracks, settings) if ego is None else ego
     s = F.col("speed")
     return ego.groupBy("scenario_id").agg(
         F.avg(s).alias("mean_speed"),
         F.max(F.when(~F.isnan(s), s)).alias("max_speed"),
-        F.min("accel").alias("max_decel"),
+        F.min("accel_ms2").alias("max_decel"),
         F.coalesce(F.sum("step_dist"), F.lit(0.0)).alias("trajectory_length"),
         F.var_samp("heading").alias("heading_variance"),
     )
@@ -52,8 +54,15 @@ def add_event_flag(features: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def build_features(tracks: DataFrame, events: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    f = add_event_flag(add_agent_count(ego_features(tracks, settings), tracks), events)
+def build_features(
+    tracks: DataFrame,
+    events: DataFrame,
+    settings: Settings = DEFAULT,
+    ego: DataFrame | None = None,
+) -> DataFrame:
+    """Feature rows; ``ego`` may pass an ``ego_kinematics`` frame shared with
+    event detection."""
+    f = add_event_flag(add_agent_count(ego_features(tracks, settings, ego), tracks), events)
     return f.select(
         "scenario_id",
         "mean_speed",

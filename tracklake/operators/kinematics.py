@@ -24,15 +24,31 @@ def speed_accel(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Ego rows with ``speed``, ``accel`` and ``step_dist`` (distance moved
-    since the previous row of the same object), one ordered pass."""
-    ego = tracks.where(F.col("is_ego")).withColumn("speed", speed())
+    """Ego rows with ``speed``, ``accel_ms2`` and ``step_dist`` (distance
+    moved since the previous row of the same object), one ordered pass shared
+    by hard-brake detection and the scenario features.
+
+    The ordered pass runs on ego rows only; it equals the pass over all rows
+    because an object id is either an ego or an agent throughout."""
+    ego = (
+        tracks.where(F.col("is_ego"))
+        .select(
+            "scenario_id",
+            "object_id",
+            "timestep",
+            "is_ego",
+            "heading",
+            "position_x",
+            "position_y",
+            speed().alias("speed"),
+        )
+    )
     lagged = lag_columns(
         ego, TRACK_KEYS, "timestep", ["speed", "position_x", "position_y"], settings=settings
     )
     return lagged.select(
         *[F.col(c) for c in ego.columns],
-        ((F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)).alias("accel"),
+        ((F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)).alias("accel_ms2"),
         euclid(
             F.col("position_x") - F.col("prev_position_x"),
             F.col("position_y") - F.col("prev_position_y"),

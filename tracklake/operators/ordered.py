@@ -42,18 +42,23 @@ def lag_columns(
 ) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` on the previous row of the group.
 
-    Equal to ``lag(c) over (partition by keys order by order_col)``.
+    Equal to ``lag(c) over (partition by keys order by order_col)``. One
+    shuffle on (keys, chunk) feeds both the window and the per-chunk last
+    rows (the same exchange is reused); only the small per-chunk table moves
+    again.
     """
     keys = list(keys)
-    chunked = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
+    chunked = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk)).repartition(
+        *keys, _CHUNK
+    )
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
     inner = chunked.select(
         "*",
         F.lag(F.col(order_col)).over(w).isNull().alias("_first"),
         *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
     )
-    # Last row of every chunk (partial aggregation, one row per chunk), then
-    # the previous non-empty chunk's last row via a window over that table.
+    # Last row of every chunk (no shuffle: already clustered), then the
+    # previous non-empty chunk's last row via a window over that table.
     tails = chunked.groupBy(*keys, _CHUNK).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_last")
     )
@@ -62,7 +67,7 @@ def lag_columns(
         F.col("_carry").isNotNull()
     )
     joined = inner.join(carry, on=[*keys, _CHUNK], how="left")
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
         *[
             F.when(F.col("_first"), F.col(f"_carry.{c}"))
@@ -71,7 +76,6 @@ def lag_columns(
             for c in cols
         ],
     )
-    return out
 
 
 def running_sum(
@@ -91,6 +95,7 @@ def running_sum(
     base = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
     for name, e in exprs.items():
         base = base.withColumn(f"_v_{name}", e)
+    base = base.repartition(*keys, _CHUNK)
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -67,27 +67,35 @@ def embed(scaled: DataFrame) -> DataFrame:
 
 
 def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list[list[float]]:
-    """k-means centres: best (lowest cost) of ``kmeans_starts`` seeded fits."""
+    """k-means centres: best (lowest cost) of ``kmeans_starts`` seeded fits.
+
+    The fits are independent Spark jobs over one persisted input and run from
+    a few driver threads at once, so their job latencies overlap.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     data = VectorAssembler(inputCols=list(Z_COLS), outputCol="_x").transform(scaled).select("_x")
     data = data.persist()
+
+    def fit(i: int):
+        km = KMeans(
+            k=k,
+            seed=settings.seed + i,
+            maxIter=settings.kmeans_max_iter,
+            tol=settings.kmeans_tol,
+            featuresCol="_x",
+            predictionCol="_cluster",
+        )
+        model = km.fit(data)
+        return model.summary.trainingCost, i, model
+
     try:
-        best, best_cost = None, None
-        for i in range(settings.kmeans_starts):
-            km = KMeans(
-                k=k,
-                seed=settings.seed + i,
-                maxIter=settings.kmeans_max_iter,
-                tol=settings.kmeans_tol,
-                featuresCol="_x",
-                predictionCol="_cluster",
-            )
-            model = km.fit(data)
-            cost = model.summary.trainingCost
-            if best_cost is None or cost < best_cost:
-                best, best_cost = model, cost
+        with ThreadPoolExecutor(max_workers=min(4, settings.kmeans_starts)) as pool:
+            results = list(pool.map(fit, range(settings.kmeans_starts)))
+        _, _, best = min(results, key=lambda r: (r[0], r[1]))
         return [[float(x) for x in c] for c in best.clusterCenters()]
     finally:
         data.unpersist()

@@ -34,17 +34,35 @@ def _r(c: str, dp: int = 6):
     return F.round(F.col(c), dp).alias(c)
 
 
+class Stages:
+    """The pipeline over the fixture as shared DataFrames: one ego
+    kinematics pass feeds both event detection and the features.
+
+    ``materialize`` checkpoints events and features (as the batch jobs write
+    them to the warehouse) for plans that read them several times."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+        self.spark = spark
+        self.tracks = fixture_tracks(spark, sf_dir)
+        self.ego = kin.ego_kinematics(self.tracks)
+        self.events = ev.detect_events(self.tracks, ego=self.ego)
+        if materialize:
+            self.events = self.events.checkpoint(eager=True)
+        self.features = ft.build_features(self.tracks, self.events, ego=self.ego)
+        if materialize:
+            self.features = self.features.checkpoint(eager=True)
+
+
 def _tracks(spark, sf_dir):
     return fixture_tracks(spark, sf_dir)
 
 
 def _events(spark, sf_dir):
-    return ev.detect_events(_tracks(spark, sf_dir))
+    return Stages(spark, sf_dir).events
 
 
 def _features(spark, sf_dir):
-    t = _tracks(spark, sf_dir)
-    return ft.build_features(t, ev.detect_events(t))
+    return Stages(spark, sf_dir).features
 
 
 FEATURE_OUT = (
@@ -156,9 +174,8 @@ def q_event_lists(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir):
-    t = _tracks(spark, sf_dir)
-    e = ev.detect_events(t)
-    return sim.vector_table(ft.build_features(t, e), e)
+    st = Stages(spark, sf_dir)
+    return sim.vector_table(st.features, st.events)
 
 
 def _vector_cols(df):
@@ -188,15 +205,16 @@ def q_knn(spark, sf_dir):
 
 
 def _deduped(spark, sf_dir, features=None):
-    features = _features(spark, sf_dir) if features is None else features
+    if features is None:
+        features = Stages(spark, sf_dir, materialize=True).features
     return cu.cluster_and_dedup(features, fixed_centres=True, round_dp=9)
 
 
-def _manifest(spark, sf_dir, cap=None, keep_all_rare=None):
-    t = _tracks(spark, sf_dir)
-    e = ev.detect_events(t)
-    f = ft.build_features(t, e)
-    return cu.stratified_sample(_deduped(spark, sf_dir, f), e, cap=cap, keep_all_rare=keep_all_rare)
+def _manifest(spark, sf_dir, cap=None, keep_all_rare=None, st=None):
+    st = Stages(spark, sf_dir, materialize=True) if st is None else st
+    return cu.stratified_sample(
+        _deduped(spark, sf_dir, st.features), st.events, cap=cap, keep_all_rare=keep_all_rare
+    )
 
 
 def _feature_cols(df):
@@ -225,17 +243,19 @@ def q_curated_manifest(spark, sf_dir):
 
 
 def q_curated_tracks(spark, sf_dir):
-    return cu.curated_tracks(_tracks(spark, sf_dir), _manifest(spark, sf_dir))
+    st = Stages(spark, sf_dir, materialize=True)
+    return cu.curated_tracks(st.tracks, _manifest(spark, sf_dir, st=st))
 
 
 def q_curation_yield(spark, sf_dir):
-    return cu.curation_yield(_manifest(spark, sf_dir), _features(spark, sf_dir)).select(
+    st = Stages(spark, sf_dir, materialize=True)
+    return cu.curation_yield(_manifest(spark, sf_dir, st=st), st.features).select(
         "curated_count", "feature_count", _r("yield")
     )
 
 
 def q_kmeans_dedup(spark, sf_dir):
-    d = cu.cluster_and_dedup(_features(spark, sf_dir))
+    d = cu.cluster_and_dedup(Stages(spark, sf_dir, materialize=True).features)
     return d.select("scenario_id", "cluster", "cluster_distance")
 
 
@@ -245,18 +265,16 @@ def q_kmeans_dedup(spark, sf_dir):
 def _catalog(spark, sf_dir, curated: bool = False) -> Catalog:
     """Catalog over the fixture; the curated tables (which run the
     clustering) are built only when asked for."""
-    t = _tracks(spark, sf_dir)
-    e = ev.detect_events(t)
-    f = ft.build_features(t, e)
-    man = cu.stratified_sample(_deduped(spark, sf_dir, f), e) if curated else None
+    st = Stages(spark, sf_dir, materialize=curated)
+    man = _manifest(spark, sf_dir, st=st) if curated else None
     return Catalog(
         spark,
-        tracks=t,
-        events=e,
-        features=f,
-        curated=cu.curated_tracks(t, man) if curated else None,
+        tracks=st.tracks,
+        events=st.events,
+        features=st.features,
+        curated=cu.curated_tracks(st.tracks, man) if curated else None,
         curated_manifest=man,
-        vectors=sim.vector_table(f, e),
+        vectors=sim.vector_table(st.features, st.events),
     )
 
 
