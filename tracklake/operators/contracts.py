@@ -15,6 +15,7 @@ trajectory_length, heading_variance >= 0; n_agents >= 1.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,32 +41,29 @@ class ContractError(ValueError):
 class Rule:
     column: str
     check: str
-    bad: Column  # True where the (non-null) value breaks the rule
+    bad: Callable[[], Column]  # True where the value breaks the rule
 
 
 def _ge(c, v):
-    x = F.col(c)
-    return Rule(c, f">= {v}", x.isNotNull() & (F.isnan(x) | (x < v)))
+    return Rule(c, f">= {v}", lambda: F.col(c).isNotNull() & (F.isnan(c) | (F.col(c) < v)))
 
 
 def _gt(c, v):
-    x = F.col(c)
-    return Rule(c, f"> {v}", x.isNotNull() & (F.isnan(x) | (x <= v)))
+    return Rule(c, f"> {v}", lambda: F.col(c).isNotNull() & (F.isnan(c) | (F.col(c) <= v)))
 
 
 def _le(c, v):
-    x = F.col(c)
-    return Rule(c, f"<= {v}", x.isNotNull() & (F.isnan(x) | (x > v)))
+    return Rule(c, f"<= {v}", lambda: F.col(c).isNotNull() & (F.isnan(c) | (F.col(c) > v)))
 
 
 def _isin(c, values):
-    x = F.col(c)
-    return Rule(c, "in (" + ",".join(values) + ")", x.isNotNull() & ~x.isin(*values))
+    return Rule(
+        c, "in (" + ",".join(values) + ")", lambda: F.col(c).isNotNull() & ~F.col(c).isin(*values)
+    )
 
 
 def _int_ge(c, v):
-    x = F.col(c)
-    return Rule(c, f">= {v}", x.isNotNull() & (x < v))
+    return Rule(c, f">= {v}", lambda: F.col(c).isNotNull() & (F.col(c) < v))
 
 
 @dataclass(frozen=True)
@@ -75,7 +73,9 @@ class Contract:
     rules: tuple[Rule, ...]
 
     def all_rules(self) -> list[Rule]:
-        nn = [Rule(f.name, "not_null", F.col(f.name).isNull()) for f in self.schema.fields]
+        nn = [
+            Rule(f.name, "not_null", lambda n=f.name: F.col(n).isNull()) for f in self.schema.fields
+        ]
         return nn + list(self.rules)
 
 
@@ -135,7 +135,7 @@ def violation_report(df: DataFrame, contract: Contract) -> DataFrame:
     if problems:
         raise ContractError(contract.name, problems)
     rules = contract.all_rules()
-    counts = df.agg(*[F.count_if(r.bad).alias(f"_r{i}") for i, r in enumerate(rules)])
+    counts = df.agg(*[F.count_if(r.bad()).alias(f"_r{i}") for i, r in enumerate(rules)])
     rows = F.array(
         *[
             F.struct(
