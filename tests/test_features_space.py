@@ -183,3 +183,33 @@ def test_feature_cols_order():
     assert FEATURE_COLS == (
         "mean_speed", "max_speed", "max_decel", "trajectory_length", "n_agents", "heading_variance"
     )
+
+
+def test_copies_collapse_exactly(spark):
+    """Identical ego rows (copies) give the same features and events as the
+    row-by-row definition: a copy follows an identical row (accel 0, step 0)
+    and weighs in means and the variance."""
+    import statistics
+
+    speeds = [10.0, 10.0, 9.0, 3.0, 3.5, 3.5]
+    heads = [0.1, 0.2, 0.2, 0.4, 0.1, 0.3]
+    base = [row("d", t, "d_ego", ego=True, x=1.5 * t, vx=v, heading=h)
+            for t, (v, h) in enumerate(zip(speeds, heads))]
+    mult = [1, 3, 1, 4, 1, 2]
+    rows = [r for r, k in zip(base, mult) for _ in range(k)]
+    tracks = frame(spark, rows)
+    f = ft.build_features(tracks, detect_events(tracks)).collect()[0]
+    # expected, row by row in timestep order
+    seq = [(v, h, t) for t, (v, h, k) in enumerate(zip(speeds, heads, mult)) for _ in range(k)]
+    acc = [(b[0] - a[0]) / 0.1 for a, b in zip(seq, seq[1:])]
+    steps = [1.5 * (b[2] - a[2]) for a, b in zip(seq, seq[1:])]
+    assert f.mean_speed == pytest.approx(sum(v for v, _, _ in seq) / len(seq))
+    assert f.max_decel == pytest.approx(min(acc))
+    assert f.trajectory_length == pytest.approx(sum(steps))
+    assert f.heading_variance == pytest.approx(statistics.variance([h for _, h, _ in seq]))
+    hb = [r for r in detect_events(tracks).collect() if r.event_type == "HARD_BRAKE"]
+    assert [(r.timestep_start, r.timestep_end) for r in hb] == [(2, 3)]
+    assert hb[0].severity == 1.0
+    from tracklake.operators.kinematics import step_distance
+
+    assert step_distance(tracks).count() == len(rows)

@@ -19,13 +19,19 @@ def empty_events(spark) -> DataFrame:
     return spark.createDataFrame([], EVENTS)
 
 
-def hard_brakes_from_accel(accel: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Ego rows whose acceleration is below the threshold (strict)."""
-    braking = accel.where(F.col("is_ego") & (F.col("accel_ms2") < settings.hard_brake_threshold_ms2))
+def hard_brakes_from_accel(ego: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Ego rows whose acceleration is below the threshold (strict), from
+    ``ego_kinematics`` (copies after the first have acceleration 0)."""
+    thr = settings.hard_brake_threshold_ms2
+    first_hit = F.col("accel_ms2") < thr
+    copy_hit = (F.col("copies") > 1) & F.lit(0.0 < thr)
+    braking = ego.where(F.col("is_ego") & (first_hit | copy_hit))
     agg = braking.groupBy("scenario_id", "object_id").agg(
         F.min("timestep").alias("timestep_start"),
         F.max("timestep").alias("timestep_end"),
-        F.min("accel_ms2").alias("_min_accel"),
+        F.min(
+            F.least(F.when(first_hit, F.col("accel_ms2")), F.when(copy_hit, F.lit(0.0)))
+        ).alias("_min_accel"),
     )
     return agg.select(
         "scenario_id",
@@ -47,13 +53,22 @@ def detect_hard_brakes(
 
 
 def agent_ego_pairs(tracks: DataFrame) -> DataFrame:
-    """Every non-ego row paired with the ego row(s) of the same scenario and
-    timestep (inner equi-join on both keys), with axis gaps and distance."""
-    ego = tracks.where(F.col("is_ego")).select(
-        "scenario_id",
-        "timestep",
-        F.col("position_x").alias("ego_x"),
-        F.col("position_y").alias("ego_y"),
+    """Every non-ego row paired with the ego position(s) of the same scenario
+    and timestep (inner equi-join on both keys), with axis gaps and distance.
+
+    Identical ego positions are deduplicated first (partial aggregation
+    before the shuffle): the events only take min/max over pairs, so copies
+    of an ego row change nothing but would multiply the join output.
+    """
+    ego = (
+        tracks.where(F.col("is_ego"))
+        .select(
+            "scenario_id",
+            "timestep",
+            F.col("position_x").alias("ego_x"),
+            F.col("position_y").alias("ego_y"),
+        )
+        .dropDuplicates()
     )
     agents = tracks.where(~F.col("is_ego")).select(
         "scenario_id", "object_id", "timestep", "position_x", "position_y"

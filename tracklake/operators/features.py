@@ -16,17 +16,25 @@ def ego_features(
     path length and sample variance of heading (NULLs not yet filled).
 
     A scenario without an ego row has no feature row. ``max`` skips NaN, the
-    path length of a single-row ego is 0.0.
+    path length of a single-row ego is 0.0. Rows of ``ego_kinematics`` carry
+    ``copies``: means and variance are weighted by it, and copies add an
+    acceleration of 0 and a step of 0.
     """
     ego = ego_kinematics(tracks, settings) if ego is None else ego
-    s = F.col("speed")
-    return ego.groupBy("scenario_id").agg(
-        F.avg(s).alias("mean_speed"),
+    s, m, h = F.col("speed"), F.col("copies"), F.col("heading")
+    n = F.sum(m).cast("double")
+    s1 = F.sum(m * h)
+    weighted_var = F.when(
+        n > 1, F.greatest(F.lit(0.0), (F.sum(m * h * h) - s1 * s1 / n) / (n - 1))
+    )
+    agg = ego.groupBy("scenario_id").agg(
+        (F.sum(s * m) / n).alias("mean_speed"),
         F.max(F.when(~F.isnan(s), s)).alias("max_speed"),
-        F.min("accel_ms2").alias("max_decel"),
+        F.least(F.min("accel_ms2"), F.min(F.when(m > 1, F.lit(0.0)))).alias("max_decel"),
         F.coalesce(F.sum("step_dist"), F.lit(0.0)).alias("trajectory_length"),
-        F.var_samp("heading").alias("heading_variance"),
+        F.when(F.max(m) == 1, F.var_samp(h)).otherwise(weighted_var).alias("heading_variance"),
     )
+    return agg
 
 
 def agent_counts(tracks: DataFrame) -> DataFrame:

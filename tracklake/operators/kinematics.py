@@ -24,30 +24,35 @@ def speed_accel(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Ego rows with ``speed``, ``accel_ms2`` and ``step_dist`` (distance
-    moved since the previous row of the same object), one ordered pass shared
-    by hard-brake detection and the scenario features.
-
-    The ordered pass runs on ego rows only; it equals the pass over all rows
-    because an object id is either an ego or an agent throughout."""
-    ego = (
-        tracks.where(F.col("is_ego"))
-        .select(
-            "scenario_id",
-            "object_id",
-            "timestep",
-            "is_ego",
-            "heading",
-            "position_x",
-            "position_y",
-            speed().alias("speed"),
-        )
+    """Distinct ego rows with ``copies`` (how many identical rows there are),
+    ``speed``, and for the first copy ``accel_ms2`` and ``step_dist``
+    (distance moved since the previous row of the same object). One ordered
+    pass shared by hard-brake detection and the scenario features.
+
+    Identical copies are collapsed by a partial aggregation before any
+    shuffle, so a row repeated many times never builds up in one window
+    partition. In timestep order a copy follows an identical row, so every
+    copy after the first has acceleration 0 and step distance 0; consumers
+    use ``copies`` for that. The ordered pass runs on ego rows only, which
+    equals the pass over all rows because an object id is either an ego or
+    an agent throughout.
+    """
+    ego = tracks.where(F.col("is_ego")).select(
+        "scenario_id",
+        "object_id",
+        "timestep",
+        "is_ego",
+        "heading",
+        "position_x",
+        "position_y",
+        speed().alias("speed"),
     )
+    distinct = ego.groupBy(*ego.columns).agg(F.count(F.lit(1)).alias("copies"))
     lagged = lag_columns(
-        ego, TRACK_KEYS, "timestep", ["speed", "position_x", "position_y"], settings=settings
+        distinct, TRACK_KEYS, "timestep", ["speed", "position_x", "position_y"], settings=settings
     )
     return lagged.select(
-        *[F.col(c) for c in ego.columns],
+        *[F.col(c) for c in distinct.columns],
         ((F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)).alias("accel_ms2"),
         euclid(
             F.col("position_x") - F.col("prev_position_x"),
@@ -56,10 +61,26 @@ def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     )
 
 
+def expand_copies(ek: DataFrame, cols: list[str]) -> DataFrame:
+    """One output row per input row again: copies after the first get
+    acceleration 0.0 and step distance 0.0 (they follow an identical row)."""
+    idx = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
+    out = ek.select("*", idx)
+    first = F.col("_copy") == 1
+    return out.select(
+        *[
+            F.when(first, F.col(c)).otherwise(F.lit(0.0)).alias(c)
+            if c in ("accel_ms2", "step_dist")
+            else F.col(c)
+            for c in cols
+        ]
+    )
+
+
 def step_distance(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Ego rows with ``step_dist``; NULL on an object's first row."""
-    return ego_kinematics(tracks, settings).select(
-        "scenario_id", "object_id", "timestep", "step_dist"
+    return expand_copies(
+        ego_kinematics(tracks, settings), ["scenario_id", "object_id", "timestep", "step_dist"]
     )
 
 
