@@ -11,7 +11,8 @@ from tracklake.operators.space import (
     assign_clusters,
     first_rows_as_centres,
     fit_centres,
-    standardize,
+    scaler_stats,
+    standardize_with,
 )
 from tracklake.settings import DEFAULT, NO_EVENT, Settings
 
@@ -41,13 +42,14 @@ def cluster_and_dedup(
     ``fixed_centres`` takes the first k rows by id as centres instead of a
     k-means fit (deterministic, used by the oracle checks).
     """
-    n_rows = features.count()
+    stats = scaler_stats(features).first()  # one row: count, means, variances
+    n_rows = stats["_n"]
     if n_rows == 0:
         return features.withColumn("cluster", F.lit(None).cast("int")).withColumn(
             "cluster_distance", F.lit(None).cast("double")
         )
     k = min(settings.dedup_cluster_count, n_rows)
-    scaled = standardize(features)
+    scaled = standardize_with(features, stats)
     if centres is None:
         centres = first_rows_as_centres(scaled, k) if fixed_centres else fit_centres(scaled, k, settings)
     clustered = assign_clusters(scaled, centres, round_dp=round_dp).drop(*Z_COLS)

@@ -40,6 +40,26 @@ def _scale(c: str) -> Column:
     return F.when(var <= bound, F.lit(1.0)).otherwise(F.sqrt(var))
 
 
+def standardize_with(features: DataFrame, stats, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
+    """``standardize`` with statistics already collected (one Row of
+    ``scaler_stats``), as literals in the plan."""
+    n = float(stats["_n"])
+
+    def scale(c):
+        var, mean = stats[f"_var_{c}"], stats[f"_mean_{c}"]
+        if var is None or var <= n * EPS * var + (n * mean * EPS) ** 2:
+            return 1.0
+        return var ** 0.5
+
+    return features.select(
+        *[F.col(c) for c in features.columns],
+        *[
+            ((F.col(c).cast("double") - F.lit(stats[f"_mean_{c}"])) / F.lit(scale(c))).alias(z(c))
+            for c in cols
+        ],
+    )
+
+
 def standardize(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """Add ``z_<c>`` = (c - mean) / scale for each column.
 
@@ -79,6 +99,7 @@ def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list
 
     data = VectorAssembler(inputCols=list(Z_COLS), outputCol="_x").transform(scaled).select("_x")
     data = data.persist()
+    data.count()
 
     def fit(i: int):
         km = KMeans(
@@ -93,7 +114,7 @@ def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list
         return model.summary.trainingCost, i, model
 
     try:
-        with ThreadPoolExecutor(max_workers=min(4, settings.kmeans_starts)) as pool:
+        with ThreadPoolExecutor(max_workers=settings.kmeans_starts) as pool:
             results = list(pool.map(fit, range(settings.kmeans_starts)))
         _, _, best = min(results, key=lambda r: (r[0], r[1]))
         return [[float(x) for x in c] for c in best.clusterCenters()]

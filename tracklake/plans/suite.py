@@ -173,9 +173,11 @@ def q_event_lists(spark, sf_dir):
     return sim.event_lists(_events(spark, sf_dir))
 
 
-def _vectors(spark, sf_dir):
+def _vectors(spark, sf_dir, materialize: bool = False):
     st = Stages(spark, sf_dir)
-    return sim.vector_table(st.features, st.events)
+    v = sim.vector_table(st.features, st.events)
+    # The embed job writes the vector table once; searches read it.
+    return v.checkpoint(eager=True) if materialize else v
 
 
 def _vector_cols(df):
@@ -195,7 +197,7 @@ def q_vector_table(spark, sf_dir):
 
 
 def q_knn(spark, sf_dir):
-    res = sim.search_similar(_vectors(spark, sf_dir), SIMILAR_TO, 5)
+    res = sim.search_similar(_vectors(spark, sf_dir, materialize=True), SIMILAR_TO, 5)
     return res.select(
         "scenario_id", "event_types", _r("mean_speed"), _r("max_decel"), _r("_distance")
     )

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference leaves streaming out on purpose: its stages are batch jobs that
+hand over through Parquet tables. Every operator here is a DataFrame
+function; the batch jobs live in ``tracklake.plans.jobs``.
+"""
