@@ -53,3 +53,19 @@ def test_top_n_paths_agree(spark):
     b = top_n_per_group(df, ["k"], ["v", "t"], 30, DEFAULT.with_(window_group_limit=0, rank_partitions=6))
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.where(F.col("k") == "hot").count() == 30
+
+
+def test_one_chunk_shortcut(spark):
+    from tracklake.operators.ordered import fits_one_chunk
+
+    df = _data(spark)
+    assert fits_one_chunk(df, "t")
+    assert not fits_one_chunk(df, "t", DEFAULT.with_(timestep_chunk=100))
+    a = lag_columns(df, ["k"], "t", ["v"], one_chunk=True)
+    b = lag_columns(df, ["k"], "t", ["v"], settings=DEFAULT.with_(timestep_chunk=50))
+    assert sorted(a.collect()) == sorted(b.collect())
+    c = running_sum(df, ["k"], "t", {"cs": F.col("v")}, one_chunk=True)
+    d = running_sum(df, ["k"], "t", {"cs": F.col("v")}, settings=DEFAULT.with_(timestep_chunk=50))
+    got = {(r.k, r.t): r.cs for r in c.collect()}
+    for r in d.collect():
+        assert (r.cs is None and got[(r.k, r.t)] is None) or abs(r.cs - got[(r.k, r.t)]) < 1e-9

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions import dimension_default, euclid, speed
-from tracklake.operators.ordered import lag_columns, running_sum
+from tracklake.operators.ordered import fits_one_chunk, lag_columns, running_sum
 from tracklake.settings import DEFAULT, Settings
 
 TRACK_KEYS = ("scenario_id", "object_id")
@@ -17,7 +17,10 @@ def speed_accel(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Add ``speed`` and ``accel_ms2`` = (speed - previous speed) / dt per
     (scenario, object) in timestep order; the first row's accel is NULL."""
     with_speed = tracks.withColumn("speed", speed())
-    lagged = lag_columns(with_speed, TRACK_KEYS, "timestep", ["speed"], settings=settings)
+    one = fits_one_chunk(tracks, "timestep", settings)
+    lagged = lag_columns(
+        with_speed, TRACK_KEYS, "timestep", ["speed"], settings=settings, one_chunk=one
+    )
     return lagged.withColumn(
         "accel_ms2", (F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)
     ).drop("prev_speed")
@@ -49,7 +52,12 @@ def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     )
     distinct = ego.groupBy(*ego.columns).agg(F.count(F.lit(1)).alias("copies"))
     lagged = lag_columns(
-        distinct, TRACK_KEYS, "timestep", ["speed", "position_x", "position_y"], settings=settings
+        distinct,
+        TRACK_KEYS,
+        "timestep",
+        ["speed", "position_x", "position_y"],
+        settings=settings,
+        one_chunk=fits_one_chunk(tracks, "timestep", settings),
     )
     return lagged.select(
         *[F.col(c) for c in distinct.columns],
@@ -97,6 +105,7 @@ def integrate_positions(tracks: DataFrame, settings: Settings = DEFAULT) -> Data
             "y_integrated": F.col("velocity_y") * dt,
         },
         settings=settings,
+        one_chunk=fits_one_chunk(tracks, "timestep", settings),
     )
 
 

@@ -7,6 +7,7 @@ all rows, so the operators here split such groups:
 * ``lag_columns`` / ``running_sum``: the window runs per chunk of the order
   key (``timestep_chunk`` steps); one small per-chunk table, built with
   partial aggregation, carries the boundary value across chunks. Exact.
+  When a min/max check shows every value in one chunk, the carry is skipped.
 * ``exact_rank``: row number within a group by a total order, computed from a
   range-partitioned, checkpointed sort (a hot group is spread over many
   partitions) plus per-partition offsets. Exact.
@@ -32,6 +33,17 @@ def _chunk_of(order_col: str, chunk: int) -> Column:
     return F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint")
 
 
+def fits_one_chunk(df: DataFrame, order_col: str, settings: Settings = DEFAULT) -> bool:
+    """True when every order value lies in chunk 0 (0 <= value < chunk), so
+    no group spans two chunks and no carry across chunks is needed.
+
+    One global min/max aggregate (answered from Parquet footers when
+    ``spark.sql.parquet.aggregatePushdown`` is on and ``df`` is a scan).
+    """
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    return lo is None or (lo >= 0 and hi < settings.timestep_chunk)
+
+
 def lag_columns(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,26 +51,32 @@ def lag_columns(
     cols: Sequence[str],
     prefix: str = "prev_",
     settings: Settings = DEFAULT,
+    one_chunk: bool = False,
 ) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` on the previous row of the group.
 
-    Equal to ``lag(c) over (partition by keys order by order_col)``. One
-    shuffle on (keys, chunk) feeds both the window and the per-chunk last
-    rows (the same exchange is reused); only the small per-chunk table moves
-    again.
+    Equal to ``lag(c) over (partition by keys order by order_col)``. The
+    window runs per (keys, chunk); the last row of every chunk (partial
+    aggregation, one row per chunk) is carried to the next non-empty chunk
+    of its group by a window over that small table. ``one_chunk=True``
+    (see ``fits_one_chunk``) states that all order values are in chunk 0, so
+    the carry is skipped.
     """
     keys = list(keys)
-    chunked = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk)).repartition(
-        *keys, _CHUNK
-    )
+    chunked = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
+    if one_chunk:
+        return chunked.select(
+            *[F.col(c) for c in df.columns],
+            *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols],
+        )
     inner = chunked.select(
         "*",
         F.lag(F.col(order_col)).over(w).isNull().alias("_first"),
         *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
     )
-    # Last row of every chunk (no shuffle: already clustered), then the
-    # previous non-empty chunk's last row via a window over that table.
+    # Last row of every chunk, then the previous non-empty chunk's last row
+    # via a window over that table.
     tails = chunked.groupBy(*keys, _CHUNK).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_last")
     )
@@ -84,21 +102,27 @@ def running_sum(
     order_col: str,
     exprs: dict[str, Column],
     settings: Settings = DEFAULT,
+    one_chunk: bool = False,
 ) -> DataFrame:
     """Add running sums (current row included) of ``exprs`` per group.
 
     Equal to ``sum(e) over (partition by keys order by order_col rows between
     unbounded preceding and current row)``; within a chunk the sum is the
-    window's, across chunks the totals of earlier chunks are added.
+    window's, across chunks the totals of earlier chunks are added
+    (skipped when ``one_chunk``).
     """
     keys = list(keys)
     base = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
     for name, e in exprs.items():
         base = base.withColumn(f"_v_{name}", e)
-    base = base.repartition(*keys, _CHUNK)
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    if one_chunk:
+        return base.select(
+            *[F.col(c) for c in df.columns],
+            *[F.sum(f"_v_{n}").over(w).alias(n) for n in exprs],
+        )
     inner = base.select(
         "*", *[F.sum(f"_v_{n}").over(w).alias(f"_in_{n}") for n in exprs]
     )

@@ -45,6 +45,8 @@ class Stages:
         self.spark = spark
         self.tracks = fixture_tracks(spark, sf_dir)
         self.ego = kin.ego_kinematics(self.tracks)
+        if materialize:
+            self.ego = self.ego.checkpoint(eager=True)
         self.events = ev.detect_events(self.tracks, ego=self.ego)
         if materialize:
             self.events = self.events.checkpoint(eager=True)

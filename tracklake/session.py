@@ -15,6 +15,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 
