@@ -492,6 +492,12 @@ ORDER BY _distance, scenario_id LIMIT 5""",
             """
 SELECT c AS curated_count, f AS feature_count, round(CAST(c AS DOUBLE) / CAST(greatest(f, 1) AS DOUBLE), 6) AS yield
 FROM (SELECT count(*) AS c FROM man) a CROSS JOIN (SELECT count(*) AS f FROM feat) b""",
+        ),
+        "dedup_report": sql(
+            ("dd", "feat"),
+            """
+SELECT f AS rows_in, d AS rows_out, f - d AS removed
+FROM (SELECT count(*) AS f FROM feat) a CROSS JOIN (SELECT count(*) AS d FROM dd) b""",
         ),
         "list_events": sql(
             ("ev",),

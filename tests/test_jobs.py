@@ -76,3 +76,26 @@ def test_column_pruning_on_events_scan(spark, tmpdir_path):
     # speed inputs and positions are read; dimensions, validity, timestamps are not
     assert "length_m" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert ev.count() == 10
+
+
+def test_catalog_from_warehouse_optional_tables(spark, tmpdir_path):
+    from tracklake.operators.layout import add_partition_key
+    from tracklake.sinks import write_tracks
+
+    wh = Warehouse(tmpdir_path)
+    write_tracks(add_partition_key(fixture_tracks(spark, SF001)), wh.tracks)
+    cat = Catalog.from_warehouse(spark, tmpdir_path)
+    assert cat.features is None and cat.curated_manifest is None and cat.vectors is None
+    assert cat.events.count() == 0
+    assert sorted(cat.frames()) == ["events", "tracks"]
+    assert cat.stats_summary().first().total_scenarios == 10
+
+
+def test_valid_only_setting(spark):
+    from tracklake.operators.events import detect_events
+    from tracklake.settings import DEFAULT
+
+    t = fixture_tracks(spark, SF001)
+    all_ev = detect_events(t).count()
+    valid_ev = detect_events(t, DEFAULT.with_(valid_only=True)).count()
+    assert valid_ev <= all_ev and all_ev == 10

@@ -56,6 +56,15 @@ def cluster_and_dedup(
     return nearest_per_cluster(clustered, n_rows, len(centres), settings)
 
 
+def dedup_report(features: DataFrame, deduped: DataFrame) -> DataFrame:
+    """One row: scenarios in, kept, and removed as near-duplicates."""
+    n_in = features.agg(F.count(F.lit(1)).alias("rows_in"))
+    n_out = deduped.agg(F.count(F.lit(1)).alias("rows_out"))
+    return n_in.crossJoin(n_out).select(
+        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed")
+    )
+
+
 def primary_events(events: DataFrame) -> DataFrame:
     """One label per scenario with events: the least event type name (files
     are read in path order, so the first type read is the least)."""

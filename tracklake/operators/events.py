@@ -145,6 +145,8 @@ def detect_events(
     tracks: DataFrame, settings: Settings = DEFAULT, ego: DataFrame | None = None
 ) -> DataFrame:
     """All events in the canonical column order, duplicates kept."""
+    if settings.valid_only:
+        tracks = tracks.where(F.col("valid"))
     hb = detect_hard_brakes(tracks, settings, ego).select(*EVENT_COLS)
     prox = proximity_events(agent_ego_pairs(tracks), settings)
     return hb.unionByName(prox)

@@ -70,6 +70,8 @@ def build_features(
 ) -> DataFrame:
     """Feature rows; ``ego`` may pass an ``ego_kinematics`` frame shared with
     event detection."""
+    if settings.valid_only:
+        tracks = tracks.where(F.col("valid"))
     f = add_event_flag(add_agent_count(ego_features(tracks, settings, ego), tracks), events)
     return f.select(
         "scenario_id",

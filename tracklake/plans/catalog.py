@@ -26,6 +26,25 @@ class Catalog:
     vectors: DataFrame | None = None
     settings: Settings = field(default_factory=lambda: DEFAULT)
 
+    @classmethod
+    def from_warehouse(cls, spark: SparkSession, warehouse: str, settings: Settings = DEFAULT) -> "Catalog":
+        """Tracks and events always (events empty when not yet detected);
+        features, curated tracks, manifest and vectors when present."""
+        from tracklake.plans.jobs import Warehouse
+        from tracklake.sources import warehouse as src
+
+        wh = Warehouse(warehouse)
+        return cls(
+            spark,
+            tracks=src.read_tracks(spark, wh.tracks),
+            events=src.read_events(spark, wh.events),
+            features=src.optional_table(spark, wh.features),
+            curated=src.optional_table(spark, wh.curated),
+            curated_manifest=src.optional_table(spark, wh.manifest),
+            vectors=src.optional_table(spark, wh.vectors),
+            settings=settings,
+        )
+
     # -- views -----------------------------------------------------------
     def frames(self) -> dict[str, DataFrame]:
         named = {

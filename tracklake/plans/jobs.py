@@ -20,6 +20,7 @@ from tracklake.operators.curate import (
     cluster_and_dedup,
     curated_tracks,
     curation_yield,
+    dedup_report,
     stratified_sample,
 )
 from tracklake.operators.events import detect_events
@@ -172,13 +173,15 @@ def curate(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) ->
     ensure_checkpoint_dir(spark)
     features = src.read_features(spark, wh.features)
     events = src.read_events(spark, wh.events)
-    deduped = cluster_and_dedup(features, settings)
+    deduped = cluster_and_dedup(features, settings).checkpoint(eager=True)
+    report = dedup_report(features, deduped).first()
     curated = stratified_sample(deduped, events, settings).checkpoint(eager=True)
     tracks = src.read_tracks(spark, wh.tracks)
     sinks.write_curated_tracks(curated_tracks(tracks, curated), wh.curated)
     sinks.write_manifest(curated, wh.manifest)
     y = curation_yield(curated, features).first()
     m = {
+        "dedup_removed": report["removed"],
         "features_in": y["feature_count"],
         "curated_scenarios": y["curated_count"],
         "yield": y["yield"],

@@ -258,6 +258,11 @@ def q_curation_yield(spark, sf_dir):
     )
 
 
+def q_dedup_report(spark, sf_dir):
+    st = Stages(spark, sf_dir, materialize=True)
+    return cu.dedup_report(st.features, _deduped(spark, sf_dir, st.features))
+
+
 def q_kmeans_dedup(spark, sf_dir):
     d = cu.cluster_and_dedup(Stages(spark, sf_dir, materialize=True).features)
     return d.select("scenario_id", "cluster", "cluster_distance")
@@ -377,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "curated_manifest": q_curated_manifest,
     "curated_tracks": q_curated_tracks,
     "curation_yield": q_curation_yield,
+    "dedup_report": q_dedup_report,
     "kmeans_dedup": q_kmeans_dedup,
     "list_events": q_list_events,
     "list_events_by_type": q_list_events_by_type,

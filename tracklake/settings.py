@@ -41,6 +41,9 @@ class Settings:
     kmeans_starts: int = 10
     kmeans_max_iter: int = 300
     kmeans_tol: float = 1e-4
+    # The reference never filters on ``valid``; True drops invalid rows
+    # before detection and features.
+    valid_only: bool = False
 
     # Ordered per-object computations (lag, running sums) run per chunk of
     # this many timesteps, so one very long track never becomes one task.
