@@ -191,8 +191,13 @@ def sql(uses: tuple[str, ...], select: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + select.strip()
 
 
-def R(c: str, dp: int = 6) -> str:
-    return f"round({c}, {dp}) AS {c}"
+def Q(x: str) -> str:
+    """Snap to the 2^-20 grid, as the Spark plans do."""
+    return f"(CAST(floor(({x}) * CAST(1048576 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS DOUBLE) / CAST(1048576 AS DOUBLE))"
+
+
+def R(c: str) -> str:
+    return f"{Q(c)} AS {c}"
 
 
 FEATURE_OUT = ("mean_speed", "max_speed", "max_decel", "trajectory_length", "heading_variance")
@@ -207,8 +212,8 @@ ORACLE: dict[str, str] = {
     ),
     "integrate_positions": sql(
         ("tracks",),
-        """
-SELECT scenario_id, object_id, timestep, round(x_integrated, 6) AS x_integrated, round(y_integrated, 6) AS y_integrated
+        f"""
+SELECT scenario_id, object_id, timestep, {Q("x_integrated")} AS x_integrated, {Q("y_integrated")} AS y_integrated
 FROM (SELECT scenario_id, object_id, timestep,
              sum(velocity_x * CAST(0.1 AS DOUBLE)) OVER w AS x_integrated,
              sum(velocity_y * CAST(0.1 AS DOUBLE)) OVER w AS y_integrated
@@ -249,8 +254,8 @@ FROM (SELECT scenario_bucket, count(*) AS rows FROM btracks GROUP BY scenario_bu
     ),
     "event_rate": sql(
         ("feat",),
-        """
-SELECT round(CAST(count_if(has_event) AS DOUBLE) / CAST(greatest(count(*), 1) AS DOUBLE), 6) AS event_rate
+        f"""
+SELECT {Q("CAST(count_if(has_event) AS DOUBLE) / CAST(greatest(count(*), 1) AS DOUBLE)")} AS event_rate
 FROM feat""",
     ),
     "event_scenarios": sql(("ev",), "SELECT DISTINCT scenario_id FROM ev"),
@@ -315,7 +320,7 @@ _cte(
     + " FROM emb LEFT JOIN evl ON emb.scenario_id = evl.scenario_id",
 )
 
-_V6 = ", ".join(f"round(v{i}, 6) AS v{i}" for i in range(6))
+_V6 = ", ".join(f"{Q(f'v{i}')} AS v{i}" for i in range(6))
 _DIST = " + ".join(f"(v.v{i} - q.v{i}) * (v.v{i} - q.v{i})" for i in range(6))
 
 # -- curation ----------------------------------------------------------------
@@ -468,8 +473,7 @@ ORACLE.update(
         "knn": sql(
             ("vec",),
             f"""
-SELECT scenario_id, event_types, round(mean_speed, 6) AS mean_speed, round(max_decel, 6) AS max_decel,
-       round(_distance, 6) AS _distance
+SELECT scenario_id, event_types, {R("mean_speed")}, {R("max_decel")}, {R("_distance")}
 FROM (SELECT v.*, {_DIST} AS _distance
       FROM vec v CROSS JOIN (SELECT * FROM vec WHERE scenario_id = 'sc_00003' LIMIT 1) q
       WHERE v.scenario_id <> 'sc_00003') s
@@ -489,8 +493,8 @@ ORDER BY _distance, scenario_id LIMIT 5""",
         "curated_tracks": sql(("cur",), "SELECT * FROM cur"),
         "curation_yield": sql(
             ("man", "feat"),
-            """
-SELECT c AS curated_count, f AS feature_count, round(CAST(c AS DOUBLE) / CAST(greatest(f, 1) AS DOUBLE), 6) AS yield
+            f"""
+SELECT c AS curated_count, f AS feature_count, {Q("CAST(c AS DOUBLE) / CAST(greatest(f, 1) AS DOUBLE)")} AS yield
 FROM (SELECT count(*) AS c FROM man) a CROSS JOIN (SELECT count(*) AS f FROM feat) b""",
         ),
         "dedup_report": sql(
@@ -535,12 +539,12 @@ FROM ev GROUP BY event_type ORDER BY count DESC""",
         "adhoc_sql": sql(("ev",), "SELECT event_type, COUNT(*) AS n FROM ev GROUP BY event_type"),
         "stage_metrics": sql(
             ("tracks", "ev", "feat", "man", "vec"),
-            """
+            f"""
 SELECT 'tracks' AS stage, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM tracks
 UNION ALL SELECT 'tracks', 'scenario_count', CAST(count(DISTINCT scenario_id) AS DOUBLE) FROM tracks
 UNION ALL SELECT 'events', 'event_count', CAST(count(*) AS DOUBLE) FROM ev
 UNION ALL SELECT 'features', 'feature_count', CAST(count(*) AS DOUBLE) FROM feat
-UNION ALL SELECT 'features', 'event_rate', round(CAST(count_if(has_event) AS DOUBLE) / CAST(greatest(count(*), 1) AS DOUBLE), 6) FROM feat
+UNION ALL SELECT 'features', 'event_rate', {Q("CAST(count_if(has_event) AS DOUBLE) / CAST(greatest(count(*), 1) AS DOUBLE)")} FROM feat
 UNION ALL SELECT 'curated', 'curated_scenarios', CAST(count(*) AS DOUBLE) FROM man
 UNION ALL SELECT 'embeddings', 'indexed_scenarios', CAST(count(*) AS DOUBLE) FROM vec""",
         ),
@@ -617,8 +621,8 @@ FROM tracks WHERE NOT is_ego GROUP BY object_type ORDER BY agents DESC""",
         ),
         "panel_yield": sql(
             ("tracks", "man"),
-            """
-SELECT raw, curated, round(CAST(curated AS DOUBLE) / CAST(greatest(raw, 1) AS DOUBLE) * CAST(100 AS DOUBLE), 6) AS yield_pct
+            f"""
+SELECT raw, curated, {Q("CAST(curated AS DOUBLE) / CAST(greatest(raw, 1) AS DOUBLE) * CAST(100 AS DOUBLE)")} AS yield_pct
 FROM (SELECT (SELECT COUNT(DISTINCT scenario_id) FROM tracks) AS raw, (SELECT COUNT(*) FROM man) AS curated) s""",
         ),
         "violations_tracks": sql(

@@ -2,8 +2,10 @@
 
 Every plan reads ``events.parquet`` of a scale-factor folder, derives the
 track fixture from it (``sources.fixture``) and runs the pipeline operators on
-the whole of it. Float outputs that depend on summation order are rounded to
-6 decimals so that the DuckDB oracle can compare them.
+the whole of it. Float outputs that depend on summation order are snapped to
+a grid of 2^-20 (``floor(x * 2^20 + 0.5) / 2^20``, exact in IEEE arithmetic)
+so that the DuckDB oracle can compare them: a decimal grid would put exact
+ties on the nice decimal values of the fixture.
 """
 
 from __future__ import annotations
@@ -30,8 +32,15 @@ from tracklake.sources.fixture import fixture_tracks, plant_bad_tracks
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _r(c: str, dp: int = 6):
-    return F.round(F.col(c), dp).alias(c)
+GRID = 1048576.0  # 2^20
+
+
+def snap(x):
+    return F.floor(x * F.lit(GRID) + F.lit(0.5)).cast("double") / F.lit(GRID)
+
+
+def _r(c: str):
+    return snap(F.col(c)).alias(c)
 
 
 class Stages:
@@ -183,7 +192,7 @@ def _vectors(spark, sf_dir, materialize: bool = False):
 
 
 def _vector_cols(df):
-    return [F.round(F.col("vector").getItem(i).cast("double"), 6).alias(v) for i, v in enumerate(sp.V_COLS)]
+    return [snap(F.col("vector").getItem(i).cast("double")).alias(v) for i, v in enumerate(sp.V_COLS)]
 
 
 def q_vector_table(spark, sf_dir):
