@@ -23,6 +23,7 @@ def spark():
         .appName("tracklake-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tracklake-test-ckpt-"))
     )
     for k, v in RECOMMENDED_CONF.items():

@@ -11,6 +11,7 @@ ties on the nice decimal values of the fixture.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,24 +45,36 @@ def _r(c: str):
 
 
 class Stages:
-    """The pipeline over the fixture as shared DataFrames: one ego
-    kinematics pass feeds both event detection and the features.
+    """The pipeline over the fixture as shared DataFrames, built on first
+    use: one ego kinematics pass feeds both event detection and the features.
 
-    ``materialize`` checkpoints events and features (as the batch jobs write
-    them to the warehouse) for plans that read them several times."""
+    ``materialize`` checkpoints the ego pass, events and features (as the
+    batch jobs write them to the warehouse) for plans that read them several
+    times."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
-        self.tracks = fixture_tracks(spark, sf_dir)
-        self.ego = kin.ego_kinematics(self.tracks)
-        if materialize:
-            self.ego = self.ego.checkpoint(eager=True)
-        self.events = ev.detect_events(self.tracks, ego=self.ego)
-        if materialize:
-            self.events = self.events.checkpoint(eager=True)
-        self.features = ft.build_features(self.tracks, self.events, ego=self.ego)
-        if materialize:
-            self.features = self.features.checkpoint(eager=True)
+        self.sf_dir = sf_dir
+        self.materialize = materialize
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.materialize else df
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return fixture_tracks(self.spark, self.sf_dir)
+
+    @cached_property
+    def ego(self) -> DataFrame:
+        return self._keep(kin.ego_kinematics(self.tracks))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self._keep(ev.detect_events(self.tracks, ego=self.ego))
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return self._keep(ft.build_features(self.tracks, self.events, ego=self.ego))
 
 
 def _tracks(spark, sf_dir):
@@ -280,19 +293,20 @@ def q_kmeans_dedup(spark, sf_dir):
 # -- catalog, marts, panels -------------------------------------------------
 
 
-def _catalog(spark, sf_dir, curated: bool = False) -> Catalog:
-    """Catalog over the fixture; the curated tables (which run the
-    clustering) are built only when asked for."""
+def _catalog(spark, sf_dir, needs: tuple[str, ...] = ("tracks", "events")) -> Catalog:
+    """Catalog over the fixture with the tables a request needs; curated
+    tables (which run the clustering) only when asked for."""
+    curated = "curated_manifest" in needs or "curated" in needs
     st = Stages(spark, sf_dir, materialize=curated)
     man = _manifest(spark, sf_dir, st=st) if curated else None
     return Catalog(
         spark,
         tracks=st.tracks,
-        events=st.events,
-        features=st.features,
-        curated=cu.curated_tracks(st.tracks, man) if curated else None,
+        events=st.events if "events" in needs else None,
+        features=st.features if "features" in needs else None,
+        curated=cu.curated_tracks(st.tracks, man) if "curated" in needs else None,
         curated_manifest=man,
-        vectors=sim.vector_table(st.features, st.events),
+        vectors=sim.vector_table(st.features, st.events) if "vectors" in needs else None,
     )
 
 
@@ -305,7 +319,7 @@ def q_list_events_by_type(spark, sf_dir):
 
 
 def q_scenario_detail(spark, sf_dir):
-    return _catalog(spark, sf_dir).scenario_detail(DETAIL_OF)
+    return _catalog(spark, sf_dir, ("tracks",)).scenario_detail(DETAIL_OF)
 
 
 def q_stats_summary(spark, sf_dir):
@@ -321,21 +335,21 @@ def q_adhoc_sql(spark, sf_dir):
 
 
 def q_stage_metrics(spark, sf_dir):
-    c = _catalog(spark, sf_dir, curated=True)
+    c = _catalog(spark, sf_dir, ("tracks", "events", "features", "curated_manifest", "vectors"))
     m = stage_metrics(c.tracks, c.events, c.features, c.curated_manifest, c.vectors)
     return m.select("stage", "metric", _r("value"))
 
 
-def _mart(fn, curated: bool = False):
+def _mart(fn, needs: tuple[str, ...] = ("tracks", "events")):
     def q(spark, sf_dir):
-        return fn(_catalog(spark, sf_dir, curated))
+        return fn(_catalog(spark, sf_dir, needs))
 
     q.__name__ = f"q_{fn.__name__}"
     return q
 
 
 def q_panel_yield(spark, sf_dir):
-    return marts.panel_yield(_catalog(spark, sf_dir, curated=True)).select("raw", "curated", _r("yield_pct"))
+    return marts.panel_yield(_catalog(spark, sf_dir, ("tracks", "curated_manifest"))).select("raw", "curated", _r("yield_pct"))
 
 
 # -- contracts --------------------------------------------------------------
@@ -402,13 +416,13 @@ QUERIES: dict[str, Query] = {
     "stage_metrics": q_stage_metrics,
     "mart_event_frequency": _mart(marts.mart_event_frequency),
     "mart_severity_distribution": _mart(marts.mart_severity_distribution),
-    "mart_agent_types": _mart(marts.mart_agent_types),
-    "mart_data_engine_yield": _mart(marts.mart_data_engine_yield, curated=True),
+    "mart_agent_types": _mart(marts.mart_agent_types, ("tracks",)),
+    "mart_data_engine_yield": _mart(marts.mart_data_engine_yield, ("tracks", "features", "curated_manifest")),
     "mart_scenario_complexity": _mart(marts.mart_scenario_complexity),
     "panel_summary": _mart(marts.panel_summary),
     "panel_events_by_type": _mart(marts.panel_events_by_type),
     "panel_severity": _mart(marts.panel_severity),
-    "panel_agents": _mart(marts.panel_agents),
+    "panel_agents": _mart(marts.panel_agents, ("tracks",)),
     "panel_yield": q_panel_yield,
     "violations_tracks": q_violations_tracks,
     "violations_events": q_violations_events,

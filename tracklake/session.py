@@ -29,6 +29,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", os.environ.get("TRACKLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # No Python call-site capture per API call (error context only); it
+        # costs several JVM round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.schemas import TRACKS
 
 
 def read_source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,60 +19,40 @@ def read_source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_tracks(source_events: DataFrame) -> DataFrame:
-    """Per-timestep object tracks (the 14 contract columns)."""
-    sc = F.floor(F.col("event_id").cast("double") / 100).cast("bigint")
-    ob = F.floor((F.col("event_id") % 100).cast("double") / 25).cast("bigint")
-    base = source_events.select(
-        sc.alias("sc"),
-        ob.alias("ob"),
-        (F.col("event_id") % 25).alias("t"),
-        F.round(F.col("value") * 100).cast("bigint").alias("c"),
-    ).where(
-        ~((F.col("ob") == 3) & (F.col("sc") % 4 == 1))
-        & ~((F.col("ob") == 2) & (F.col("sc") % 6 == 1))
+    """Per-timestep object tracks (the 14 contract columns), as the SQL
+    expressions of FIXTURES.md (one JVM-side parse per column)."""
+    base = source_events.selectExpr(
+        "CAST(floor(CAST(event_id AS DOUBLE) / 100) AS BIGINT) AS sc",
+        "CAST(floor(CAST(event_id % 100 AS DOUBLE) / 25) AS BIGINT) AS ob",
+        "event_id % 25 AS t",
+        "CAST(round(value * 100) AS BIGINT) AS c",
+    ).where("NOT (ob = 3 AND sc % 4 = 1) AND NOT (ob = 2 AND sc % 6 = 1)")
+    sid = "'sc_' || lpad(CAST(sc AS STRING), 5, '0')"
+    ped = "ob = 2 AND sc % 2 = 1"
+    return base.selectExpr(
+        f"{sid} AS scenario_id",
+        "CAST(t AS BIGINT) AS timestep",
+        "CAST(t AS DOUBLE) / 10 AS timestamp_s",
+        f"{sid} || CASE WHEN ob = 0 THEN '_ego' ELSE '_agent_0' || CAST(ob - 1 AS STRING) END AS object_id",
+        f"CASE WHEN {ped} THEN 'PEDESTRIAN' WHEN ob = 3 THEN 'CYCLIST' ELSE 'VEHICLE' END AS object_type",
+        "ob = 0 AS is_ego",
+        """CAST(CASE WHEN ob = 0 THEN t * 100
+                    WHEN ob = 2 AND sc % 5 = 0 THEN t * 100 + c % 300
+                    ELSE t * 100 + ob * 400 - 600 + c % 400 END AS DOUBLE) / 100 AS position_x""",
+        """CAST(CASE WHEN ob = 0 THEN c % 10
+                    WHEN ob = 1 AND sc % 3 = 0 THEN 800 - t * 25
+                    WHEN ob = 2 AND sc % 5 = 0 THEN 50 + c % 100
+                    ELSE 2000 + c % 500 END AS DOUBLE) / 100 AS position_y""",
+        "CAST((sc % 7 - 3) * 500 + c % 20 AS DOUBLE) / 1000 AS heading",
+        """CAST(1000 + sc % 11 * 50 + c % 30
+               - CASE WHEN ob = 0 AND sc % 7 = 0 AND t >= 10
+                      THEN 60 * (CASE WHEN t < 18 THEN t - 9 ELSE 9 END) ELSE 0 END
+               AS DOUBLE) / 100 AS velocity_x""",
+        "CAST(c % 7 AS DOUBLE) / 100 AS velocity_y",
+        f"CASE WHEN {ped} THEN CAST(0.5 AS DOUBLE) WHEN ob = 3 THEN CAST(1.8 AS DOUBLE) ELSE CAST(4.5 AS DOUBLE) END AS length_m",
+        f"CASE WHEN {ped} THEN CAST(0.5 AS DOUBLE) WHEN ob = 3 THEN CAST(0.7 AS DOUBLE) ELSE CAST(2.0 AS DOUBLE) END AS width_m",
+        "c % 50 <> 0 AS valid",
     )
-    sc, ob, t, c = F.col("sc"), F.col("ob"), F.col("t"), F.col("c")
-    sid = F.concat(F.lit("sc_"), F.lpad(sc.cast("string"), 5, "0"))
-    ped = (ob == 2) & (sc % 2 == 1)
-    cyc = ob == 3
-    pos_x = (
-        F.when(ob == 0, t * 100)
-        .when((ob == 2) & (sc % 5 == 0), t * 100 + c % 300)
-        .otherwise(t * 100 + ob * 400 - 600 + c % 400)
-    )
-    pos_y = (
-        F.when(ob == 0, c % 10)
-        .when((ob == 1) & (sc % 3 == 0), 800 - t * 25)
-        .when((ob == 2) & (sc % 5 == 0), 50 + c % 100)
-        .otherwise(2000 + c % 500)
-    )
-    brake = F.when(
-        (ob == 0) & (sc % 7 == 0) & (t >= 10),
-        60 * F.when(t < 18, t - 9).otherwise(9),
-    ).otherwise(0)
-    vel_x = 1000 + (sc % 11) * 50 + c % 30 - brake
-    out = base.select(
-        sid.alias("scenario_id"),
-        t.cast("bigint").alias("timestep"),
-        (t.cast("double") / 10).alias("timestamp_s"),
-        F.concat(
-            sid,
-            F.when(ob == 0, F.lit("_ego")).otherwise(
-                F.concat(F.lit("_agent_0"), (ob - 1).cast("string"))
-            ),
-        ).alias("object_id"),
-        F.when(ped, "PEDESTRIAN").when(cyc, "CYCLIST").otherwise("VEHICLE").alias("object_type"),
-        (ob == 0).alias("is_ego"),
-        (pos_x.cast("double") / 100).alias("position_x"),
-        (pos_y.cast("double") / 100).alias("position_y"),
-        (((sc % 7) - 3) * 500 + c % 20).cast("double").alias("heading_raw"),
-        (vel_x.cast("double") / 100).alias("velocity_x"),
-        ((c % 7).cast("double") / 100).alias("velocity_y"),
-        F.when(ped, 0.5).when(cyc, 1.8).otherwise(4.5).cast("double").alias("length_m"),
-        F.when(ped, 0.5).when(cyc, 0.7).otherwise(2.0).cast("double").alias("width_m"),
-        (c % 50 != 0).alias("valid"),
-    ).withColumn("heading", F.col("heading_raw") / 1000)
-    return out.select(*TRACKS.fieldNames())
 
 
 def fixture_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
