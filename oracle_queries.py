@@ -412,11 +412,11 @@ FEATURE_COLS_C = (
 
 def _report(contract: str, table: str, cols: list[str], rules: list[tuple[str, str, str]]) -> str:
     parts = [
-        f"SELECT '{contract}' AS contract, '{c}' AS column_name, 'not_null' AS check_name, count_if({c} IS NULL) AS violations FROM {table}"
+        f"SELECT '{contract}' AS contract, '{c}' AS column_name, 'not_null' AS check_name, CAST(count_if({c} IS NULL) AS BIGINT) AS violations FROM {table}"
         for c in cols
     ]
     parts += [
-        f"SELECT '{contract}' AS contract, '{c}' AS column_name, '{name}' AS check_name, count_if({c} IS NOT NULL AND ({bad})) AS violations FROM {table}"
+        f"SELECT '{contract}' AS contract, '{c}' AS column_name, '{name}' AS check_name, CAST(count_if({c} IS NOT NULL AND ({bad})) AS BIGINT) AS violations FROM {table}"
         for c, name, bad in rules
     ]
     return "\nUNION ALL\n".join(parts)
