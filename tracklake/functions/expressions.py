@@ -57,13 +57,15 @@ def dimension_default(object_type="object_type", which: int = 0) -> Column:
     return expr
 
 
+# Severity histogram bin labels, lowest to highest.
+SEVERITY_BINS = ("0.0-0.2", "0.2-0.4", "0.4-0.6", "0.6-0.8", "0.8-1.0")
+
+
 def severity_bin(severity="severity") -> Column:
     """Five histogram bins of width 0.2; NULL, NaN and >= 0.8 land in the last."""
     s = _c(severity)
-    return (
-        F.when(s < 0.2, "0.0-0.2")
-        .when(s < 0.4, "0.2-0.4")
-        .when(s < 0.6, "0.4-0.6")
-        .when(s < 0.8, "0.6-0.8")
-        .otherwise("0.8-1.0")
-    )
+    expr = None
+    for i, label in enumerate(SEVERITY_BINS[:-1]):
+        bound = round(0.2 * (i + 1), 1)
+        expr = (F.when if expr is None else expr.when)(s < bound, label)
+    return expr.otherwise(SEVERITY_BINS[-1])
