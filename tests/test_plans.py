@@ -57,3 +57,25 @@ def test_every_query_has_oracle_or_is_documented():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"kmeans_dedup"}
+
+
+def test_skew_paths_equal_default_paths(spark):
+    """Tiny timestep chunks (carry across chunks on every track) and the
+    range-partitioned exact rank give the same events, features and curated
+    set as the default plans."""
+    from tracklake.operators import curate as cu
+    from tracklake.operators.features import build_features
+    from tracklake.settings import DEFAULT
+
+    t = fixture_tracks(spark, SF01)
+    skew = DEFAULT.with_(timestep_chunk=4, window_group_limit=0, rank_partitions=5)
+    ev_a, ev_b = detect_events(t), detect_events(t, skew)
+    assert sorted(ev_a.collect()) == sorted(ev_b.collect())
+    f_a, f_b = build_features(t, ev_a), build_features(t, ev_b, skew)
+    assert sorted(f_a.collect()) == sorted(f_b.collect())
+    d_a = cu.cluster_and_dedup(f_a, fixed_centres=True, round_dp=9)
+    d_b = cu.cluster_and_dedup(f_b, skew, fixed_centres=True, round_dp=9)
+    assert sorted(d_a.collect()) == sorted(d_b.collect()) and d_a.count() == 82
+    s_a = cu.stratified_sample(d_a, ev_a, cap=20)
+    s_b = cu.stratified_sample(d_b, ev_b, skew, cap=20)
+    assert sorted(s_a.collect()) == sorted(s_b.collect()) and s_a.count() == 63
