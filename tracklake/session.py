@@ -32,6 +32,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # No Python call-site capture per API call (error context only); it
         # costs several JVM round trips per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
