@@ -48,9 +48,8 @@ class Stages:
     """The pipeline over the fixture as shared DataFrames, built on first
     use: one ego kinematics pass feeds both event detection and the features.
 
-    ``materialize`` checkpoints the ego pass, events and features (as the
-    batch jobs write them to the warehouse) for plans that read them several
-    times."""
+    ``materialize`` checkpoints events and features (as the batch jobs write
+    them to the warehouse) for plans that read them several times."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
@@ -66,7 +65,7 @@ class Stages:
 
     @cached_property
     def ego(self) -> DataFrame:
-        return self._keep(kin.ego_kinematics(self.tracks))
+        return kin.ego_kinematics(self.tracks)
 
     @cached_property
     def events(self) -> DataFrame:
