@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.operators.space import V_COLS, Z_COLS, embed, standardize
+from tracklake.operators.space import V_COLS, embed, standardize
 from tracklake.settings import FEATURE_COLS, NO_EVENT_LIST
 
 
@@ -58,4 +58,4 @@ def search_similar(vectors: DataFrame, scenario_id: str, k: int = 5) -> DataFram
     return scored.orderBy(F.col("_distance").asc(), F.col("scenario_id").asc()).limit(k)
 
 
-__all__ = ["event_lists", "vector_table", "search_similar", "Z_COLS"]
+__all__ = ["event_lists", "vector_table", "search_similar"]
