@@ -76,19 +76,23 @@ def lag_columns(
         *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
     )
     # Last row of every chunk, then the previous non-empty chunk's last row
-    # via a window over that table.
+    # via a window over that small table. One max_by per column keeps the
+    # buffers fixed-width, so this is a hash aggregation (no sort).
     tails = chunked.groupBy(*keys, _CHUNK).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_last")
+        *[F.max_by(F.col(c), F.col(order_col)).alias(f"_tail_{c}") for c in cols]
     )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
-    carry = tails.select(*keys, _CHUNK, F.lag("_last").over(wc).alias("_carry")).where(
-        F.col("_carry").isNotNull()
-    )
+    carry = tails.select(
+        *keys,
+        _CHUNK,
+        F.lag(F.lit(True)).over(wc).alias("_has_prev"),
+        *[F.lag(f"_tail_{c}").over(wc).alias(f"_carry_{c}") for c in cols],
+    ).where(F.col("_has_prev").isNotNull())
     joined = inner.join(carry, on=[*keys, _CHUNK], how="left")
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
-            F.when(F.col("_first"), F.col(f"_carry.{c}"))
+            F.when(F.col("_first"), F.col(f"_carry_{c}"))
             .otherwise(F.col(f"_lag_{c}"))
             .alias(f"{prefix}{c}")
             for c in cols
