@@ -36,9 +36,17 @@ def test_capped_sample_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_knn_is_top_k_over_one_row_broadcast(spark):
+def test_knn_is_top_k_with_scalar_query_vector(spark):
     plan = _final_plan(E.queries()["knn"](spark, SF01))
-    assert "TakeOrderedAndProject" in plan and "Broadcast" in plan
+    assert "TakeOrderedAndProject" in plan and "Subquery" in plan
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_sort_aggregate_or_nested_loop_join(spark):
+    for name in ("features", "curated_manifest", "stats_summary", "mart_data_engine_yield", "scaled_features"):
+        plan = _final_plan(E.queries()[name](spark, SF01))
+        assert "SortAggregate" not in plan, name
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
 
 def test_shared_stages_agree(spark):

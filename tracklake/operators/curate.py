@@ -58,17 +58,20 @@ def cluster_and_dedup(
 
 def dedup_report(features: DataFrame, deduped: DataFrame) -> DataFrame:
     """One row: scenarios in, kept, and removed as near-duplicates."""
-    n_in = features.agg(F.count(F.lit(1)).alias("rows_in"))
-    n_out = deduped.agg(F.count(F.lit(1)).alias("rows_out"))
-    return n_in.crossJoin(n_out).select(
-        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed")
+    n_out = deduped.select(F.count(F.lit(1))).scalar()
+    return features.agg(F.count(F.lit(1)).alias("rows_in")).select(
+        "rows_in", n_out.alias("rows_out"), (F.col("rows_in") - n_out).alias("removed")
     )
 
 
 def primary_events(events: DataFrame) -> DataFrame:
     """One label per scenario with events: the least event type name (files
     are read in path order, so the first type read is the least)."""
-    return events.groupBy("scenario_id").agg(F.min("event_type").alias("primary_event"))
+    # array_min over the (at most three) distinct types: a hash aggregation,
+    # where min() over strings would sort.
+    return events.groupBy("scenario_id").agg(
+        F.array_min(F.collect_set("event_type")).alias("primary_event")
+    )
 
 
 def stratified_sample(
@@ -82,8 +85,7 @@ def stratified_sample(
     order (independent of partitioning); with ``keep_all_rare`` only NO_EVENT
     is capped. Without any event the input passes unchanged.
 
-    "Any event" is a 0-or-1-row frame joined without keys (semi for the
-    sample, anti for the pass-through), so no action runs while planning.
+    "Any event" is an EXISTS subquery, so no action runs while planning.
     """
     cap = settings.curated_max_per_event if cap is None else cap
     keep_all_rare = settings.curated_keep_all_rare if keep_all_rare is None else keep_all_rare
@@ -101,10 +103,10 @@ def stratified_sample(
     ).drop("_draw")
     if keep_all_rare:
         sampled = sampled.unionByName(labeled.where(~capped_cond))
-    any_event = F.broadcast(events.select(F.lit(1).alias("_any")).limit(1))
+    any_event = events.exists()
     drop = [c for c in HELPERS if c in labeled.columns]
-    with_events = sampled.join(any_event, how="left_semi").drop(*drop)
-    without_events = features.join(any_event, how="left_anti").drop(*drop)
+    with_events = sampled.where(any_event).drop(*drop)
+    without_events = features.where(~any_event).drop(*drop)
     return with_events.unionByName(without_events)
 
 
@@ -115,13 +117,11 @@ def curated_tracks(tracks: DataFrame, curated: DataFrame) -> DataFrame:
 
 def curation_yield(curated: DataFrame, features: DataFrame) -> DataFrame:
     """kept / max(feature rows, 1)."""
-    kept = curated.agg(F.count(F.lit(1)).alias("curated_count"))
-    total = features.agg(F.count(F.lit(1)).alias("feature_count"))
-    return kept.crossJoin(total).select(
+    total = features.select(F.count(F.lit(1))).scalar()
+    return curated.agg(F.count(F.lit(1)).alias("curated_count")).select(
         "curated_count",
-        "feature_count",
-        (
-            F.col("curated_count").cast("double")
-            / F.greatest(F.col("feature_count"), F.lit(1)).cast("double")
-        ).alias("yield"),
+        total.alias("feature_count"),
+        (F.col("curated_count").cast("double") / F.greatest(total, F.lit(1)).cast("double")).alias(
+            "yield"
+        ),
     )

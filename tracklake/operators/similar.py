@@ -39,22 +39,15 @@ def search_similar(vectors: DataFrame, scenario_id: str, k: int = 5) -> DataFram
 
     Raises ``ValueError`` when the id is not in the table.
     """
-    target = vectors.where(F.col("scenario_id") == F.lit(scenario_id)).select(
-        F.col("vector").alias("_q")
-    ).limit(1)
+    target = vectors.where(F.col("scenario_id") == F.lit(scenario_id)).select("vector").limit(1)
     if target.isEmpty():
         raise ValueError(f"Scenario {scenario_id} not found")
-    dims = len(V_COLS)
+    q = target.scalar()  # the query vector, one value computed once
     d = None
-    for i in range(dims):
-        diff = F.col("vector").getItem(i).cast("double") - F.col("_q").getItem(i).cast("double")
+    for i in range(len(V_COLS)):
+        diff = F.col("vector").getItem(i).cast("double") - q.getItem(i).cast("double")
         d = diff * diff if d is None else d + diff * diff
-    scored = (
-        vectors.where(F.col("scenario_id") != F.lit(scenario_id))
-        .crossJoin(F.broadcast(target))
-        .withColumn("_distance", d)
-        .drop("_q")
-    )
+    scored = vectors.where(F.col("scenario_id") != F.lit(scenario_id)).withColumn("_distance", d)
     return scored.orderBy(F.col("_distance").asc(), F.col("scenario_id").asc()).limit(k)
 
 

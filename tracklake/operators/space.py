@@ -31,11 +31,11 @@ def scaler_stats(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> Dat
     return features.agg(*aggs)
 
 
-def _scale(c: str) -> Column:
+def _scale(stats: Column, c: str) -> Column:
     """Population std, or 1.0 for a column that is constant up to rounding
     (variance <= n*eps*var + (n*mean*eps)^2)."""
-    n = F.col("_n").cast("double")
-    var, mean = F.col(f"_var_{c}"), F.col(f"_mean_{c}")
+    n = stats.getField("_n").cast("double")
+    var, mean = stats.getField(f"_var_{c}"), stats.getField(f"_mean_{c}")
     bound = n * F.lit(EPS) * var + (n * mean * F.lit(EPS)) * (n * mean * F.lit(EPS))
     return F.when(var <= bound, F.lit(1.0)).otherwise(F.sqrt(var))
 
@@ -63,14 +63,17 @@ def standardize_with(features: DataFrame, stats, cols: Sequence[str] = FEATURE_C
 def standardize(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """Add ``z_<c>`` = (c - mean) / scale for each column.
 
-    The statistics are one aggregated row joined back by a broadcast cross
-    join (exactly one row, so the broadcast is bounded).
+    The statistics are one aggregated row, attached as a scalar subquery
+    (computed once, then a constant of the plan; no join).
     """
-    stats = F.broadcast(scaler_stats(features, cols))
-    joined = features.crossJoin(stats)
-    return joined.select(
+    st = scaler_stats(features, cols)
+    stats = st.select(F.struct(*[F.col(c) for c in st.columns])).scalar()
+    return features.select(
         *[F.col(c) for c in features.columns],
-        *[((F.col(c).cast("double") - F.col(f"_mean_{c}")) / _scale(c)).alias(z(c)) for c in cols],
+        *[
+            ((F.col(c).cast("double") - stats.getField(f"_mean_{c}")) / _scale(stats, c)).alias(z(c))
+            for c in cols
+        ],
     )
 
 

@@ -113,12 +113,14 @@ class Catalog:
         )
 
     def stats_summary(self) -> DataFrame:
-        scen = self.tracks.agg(F.countDistinct("scenario_id").alias("total_scenarios"))
-        evs = self.events.agg(
-            F.count(F.lit(1)).alias("total_events"),
-            F.countDistinct("scenario_id").alias("scenarios_with_events"),
+        evs = self.events.select(
+            F.struct(F.count(F.lit(1)).alias("n"), F.countDistinct("scenario_id").alias("s"))
+        ).scalar()
+        return self.tracks.agg(F.countDistinct("scenario_id").alias("total_scenarios")).select(
+            "total_scenarios",
+            evs.getField("n").alias("total_events"),
+            evs.getField("s").alias("scenarios_with_events"),
         )
-        return scen.crossJoin(evs)
 
     def stats_breakdown(self) -> DataFrame:
         return (

@@ -13,10 +13,6 @@ def _scenario_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.countDistinct("scenario_id").alias(name))
 
 
-def _row_count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def mart_event_frequency(cat: Catalog) -> DataFrame:
     return (
         cat.events.groupBy("event_type")
@@ -59,16 +55,15 @@ def mart_agent_types(cat: Catalog) -> DataFrame:
 def mart_data_engine_yield(cat: Catalog) -> DataFrame:
     """Scenarios in tracks, featurized scenarios, curated rows, and curated
     as a percentage of track scenarios (NULL without scenarios)."""
+    feat = cat.features.select(F.countDistinct("scenario_id")).scalar()
+    cur = cat.curated_manifest.select(F.count(F.lit(1))).scalar()
     total = _scenario_count(cat.tracks, "total_scenarios")
-    feat = _scenario_count(cat.features, "featurized")
-    cur = _row_count(cat.curated_manifest, "curated_count")
-    one = total.crossJoin(feat).crossJoin(cur)
-    return one.select(
+    return total.select(
         "total_scenarios",
-        "featurized",
-        "curated_count",
+        feat.alias("featurized"),
+        cur.alias("curated_count"),
         F.round(
-            F.col("curated_count").cast("double")
+            cur.cast("double")
             * F.lit(100.0)
             / F.nullif(F.col("total_scenarios"), F.lit(0)).cast("double"),
             1,
@@ -124,15 +119,12 @@ def panel_agents(cat: Catalog) -> DataFrame:
 
 def panel_yield(cat: Catalog) -> DataFrame:
     """Curated scenarios over max(track scenarios, 1), in percent."""
-    raw = _scenario_count(cat.tracks, "raw")
-    cur = _row_count(cat.curated_manifest, "curated")
-    return raw.crossJoin(cur).select(
+    cur = cat.curated_manifest.select(F.count(F.lit(1))).scalar()
+    return _scenario_count(cat.tracks, "raw").select(
         "raw",
-        "curated",
+        cur.alias("curated"),
         (
-            F.col("curated").cast("double")
-            / F.greatest(F.col("raw"), F.lit(1)).cast("double")
-            * F.lit(100.0)
+            cur.cast("double") / F.greatest(F.col("raw"), F.lit(1)).cast("double") * F.lit(100.0)
         ).alias("yield_pct"),
     )
 
