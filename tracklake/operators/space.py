@@ -31,15 +31,6 @@ def scaler_stats(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> Dat
     return features.agg(*aggs)
 
 
-def _scale(stats: Column, c: str) -> Column:
-    """Population std, or 1.0 for a column that is constant up to rounding
-    (variance <= n*eps*var + (n*mean*eps)^2)."""
-    n = stats.getField("_n").cast("double")
-    var, mean = stats.getField(f"_var_{c}"), stats.getField(f"_mean_{c}")
-    bound = n * F.lit(EPS) * var + (n * mean * F.lit(EPS)) * (n * mean * F.lit(EPS))
-    return F.when(var <= bound, F.lit(1.0)).otherwise(F.sqrt(var))
-
-
 def standardize_with(features: DataFrame, stats, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """``standardize`` with statistics already collected (one Row of
     ``scaler_stats``), as literals in the plan."""
@@ -63,18 +54,11 @@ def standardize_with(features: DataFrame, stats, cols: Sequence[str] = FEATURE_C
 def standardize(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """Add ``z_<c>`` = (c - mean) / scale for each column.
 
-    The statistics are one aggregated row, attached as a scalar subquery
-    (computed once, then a constant of the plan; no join).
+    The statistics are one aggregated row (a single pass with partial
+    aggregation); it is fetched and enters the plan as literals, so the
+    standardisation is a per-row projection with no join.
     """
-    st = scaler_stats(features, cols)
-    stats = st.select(F.struct(*[F.col(c) for c in st.columns])).scalar()
-    return features.select(
-        *[F.col(c) for c in features.columns],
-        *[
-            ((F.col(c).cast("double") - stats.getField(f"_mean_{c}")) / _scale(stats, c)).alias(z(c))
-            for c in cols
-        ],
-    )
+    return standardize_with(features, scaler_stats(features, cols).first(), cols)
 
 
 def embed(scaled: DataFrame) -> DataFrame:

@@ -182,13 +182,19 @@ DETAIL_OF = "sc_00003"
 SAMPLE_CAP = 20
 
 
+def _stored_features(spark, sf_dir):
+    """Features as the embed job reads them: materialized once, so the
+    scaler-statistics pass and the main scan read the same rows."""
+    return Stages(spark, sf_dir, materialize=True).features
+
+
 def q_scaled_features(spark, sf_dir):
-    sc = sp.standardize(_features(spark, sf_dir))
+    sc = sp.standardize(_stored_features(spark, sf_dir))
     return sc.select("scenario_id", *[_r(z) for z in sp.Z_COLS])
 
 
 def q_embeddings(spark, sf_dir):
-    e = sp.embed(sp.standardize(_features(spark, sf_dir)))
+    e = sp.embed(sp.standardize(_stored_features(spark, sf_dir)))
     return e.select("scenario_id", *[_r(v) for v in sp.V_COLS])
 
 
@@ -197,7 +203,7 @@ def q_event_lists(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir, materialize: bool = False):
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, materialize=True)
     v = sim.vector_table(st.features, st.events)
     # The embed job writes the vector table once; searches read it.
     return v.checkpoint(eager=True) if materialize else v
@@ -296,7 +302,7 @@ def _catalog(spark, sf_dir, needs: tuple[str, ...] = ("tracks", "events")) -> Ca
     """Catalog over the fixture with the tables a request needs; curated
     tables (which run the clustering) only when asked for."""
     curated = "curated_manifest" in needs or "curated" in needs
-    st = Stages(spark, sf_dir, materialize=curated)
+    st = Stages(spark, sf_dir, materialize=curated or "vectors" in needs)
     man = _manifest(spark, sf_dir, st=st) if curated else None
     return Catalog(
         spark,
