@@ -69,3 +69,39 @@ def test_one_chunk_shortcut(spark):
     got = {(r.k, r.t): r.cs for r in c.collect()}
     for r in d.collect():
         assert (r.cs is None and got[(r.k, r.t)] is None) or abs(r.cs - got[(r.k, r.t)]) < 1e-9
+
+
+def test_chunked_ordered_ops_property(spark):
+    """Random groups, sparse or negative timesteps, NULL values and random
+    chunk sizes: the chunked lag and running sum equal plain windows."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", "c"]),
+            st.integers(min_value=-50, max_value=400),
+            st.one_of(st.none(), st.integers(min_value=-1000, max_value=1000)),
+        ),
+        min_size=1,
+        max_size=60,
+        unique_by=lambda r: (r[0], r[1]),
+    )
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows=rows_st, chunk=st.integers(min_value=1, max_value=64))
+    def check(rows, chunk):
+        df = spark.createDataFrame(
+            [(k, t, None if v is None else float(v)) for k, t, v in rows], "k STRING, t BIGINT, v DOUBLE"
+        )
+        s = DEFAULT.with_(timestep_chunk=chunk)
+        w = Window.partitionBy("k").orderBy("t")
+        want = {(r.k, r.t): r.p for r in df.withColumn("p", F.lag("v").over(w)).collect()}
+        got = {(r.k, r.t): r.prev_v for r in lag_columns(df, ["k"], "t", ["v"], settings=s).collect()}
+        assert got == want
+        wr = w.rowsBetween(Window.unboundedPreceding, 0)
+        want_s = {(r.k, r.t): r.cs for r in df.withColumn("cs", F.sum("v").over(wr)).collect()}
+        got_s = {(r.k, r.t): r.cs for r in running_sum(df, ["k"], "t", {"cs": F.col("v")}, settings=s).collect()}
+        assert got_s == want_s  # integer-valued doubles: sums are exact
+
+    check()
