@@ -106,3 +106,37 @@ def test_fixture_event_counts(spark):
     assert t.count() == 8950
     counts = {r.event_type: r["count"] for r in detect_events(t).groupBy("event_type").count().collect()}
     assert counts == {"HARD_BRAKE": 15, "CUT_IN": 51, "NEAR_MISS": 28}
+
+
+def test_per_row_operators_with_copies(spark):
+    """speed_accel and integrate_positions keep one output row per input row
+    when rows repeat, with the row-by-row values: a copy follows an identical
+    row (acceleration 0) and adds its own v*dt to the running sum."""
+    import pytest
+
+    from tracklake.operators.kinematics import integrate_positions
+
+    speeds = [10.0, 12.0, 7.0, 7.5]
+    mult = [2, 1, 3, 1]
+    base = [row("p", t, "p_agent_00", vx=v, vy=1.0) for t, v in enumerate(speeds)]
+    rows = [r for r, k in zip(base, mult) for _ in range(k)]
+    df = frame(spark, rows)
+    seq = [v for v, k in zip(speeds, mult) for _ in range(k)]
+    spd = [(v * v + 1.0) ** 0.5 for v in seq]
+    acc = [(r.timestep, r.accel_ms2) for r in speed_accel(df).collect()]
+    exp = sorted(
+        [(t, None if i == 0 else (spd[i] - spd[i - 1]) / 0.1)
+         for i, t in enumerate(t for t, k in enumerate(mult) for _ in range(k))],
+        key=lambda x: (x[0], -1e18 if x[1] is None else x[1]),
+    )
+    got = sorted(acc, key=lambda x: (x[0], -1e18 if x[1] is None else x[1]))
+    assert [t for t, _ in got] == [t for t, _ in exp]
+    for (_, a), (_, b) in zip(got, exp):
+        assert (a is None and b is None) or a == pytest.approx(b)
+    ip = sorted((r.timestep, r.x_integrated, r.y_integrated) for r in integrate_positions(df).collect())
+    run, want = 0.0, []
+    for i, v in enumerate(seq):
+        run += v * 0.1
+        want.append(run)
+    assert [x for _, x, _ in ip] == pytest.approx(want)
+    assert [y for _, _, y in ip] == pytest.approx([0.1 * (i + 1) for i in range(len(seq))])

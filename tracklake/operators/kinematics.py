@@ -13,17 +13,41 @@ from tracklake.settings import DEFAULT, Settings
 TRACK_KEYS = ("scenario_id", "object_id")
 
 
+def collapse_copies(df: DataFrame) -> DataFrame:
+    """Identical rows as one row with ``copies``, by partial aggregation
+    before the shuffle, so a heavily repeated row never builds up in one
+    window partition."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _copy_index(df: DataFrame) -> DataFrame:
+    """One row per copy again, with ``_copy`` = 1..copies."""
+    return df.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+
+
 def speed_accel(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Add ``speed`` and ``accel_ms2`` = (speed - previous speed) / dt per
-    (scenario, object) in timestep order; the first row's accel is NULL."""
-    with_speed = tracks.withColumn("speed", speed())
-    one = fits_one_chunk(tracks, "timestep", settings)
+    (scenario, object) in timestep order; the first row's accel is NULL.
+
+    The ordered pass runs over distinct rows; a copy follows an identical
+    row, so every copy after the first gets acceleration 0.
+    """
+    distinct = collapse_copies(tracks.withColumn("speed", speed()))
     lagged = lag_columns(
-        with_speed, TRACK_KEYS, "timestep", ["speed"], settings=settings, one_chunk=one
+        distinct,
+        TRACK_KEYS,
+        "timestep",
+        ["speed"],
+        settings=settings,
+        one_chunk=fits_one_chunk(tracks, "timestep", settings),
+    )
+    accel = (F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)
+    out = _copy_index(lagged)
+    return out.select(
+        *[F.col(c) for c in tracks.columns],
+        "speed",
+        F.when(F.col("_copy") == 1, accel).otherwise(F.lit(0.0)).alias("accel_ms2"),
     )
-    return lagged.withColumn(
-        "accel_ms2", (F.col("speed") - F.col("prev_speed")) / F.lit(settings.dt)
-    ).drop("prev_speed")
 
 
 def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -94,19 +118,34 @@ def step_distance(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def integrate_positions(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Dead-reckoned positions: running sum of ``v * dt`` per (scenario,
-    object) in timestep order, the current step included."""
+    object) in timestep order, the current step included.
+
+    The running sum runs over distinct rows weighted by ``copies``; copy i of
+    m then sits (m - i) steps of ``v * dt`` before the weighted total.
+    """
     dt = F.lit(settings.dt)
-    return running_sum(
-        tracks,
+    distinct = collapse_copies(tracks)
+    m = F.col("copies")
+    summed = running_sum(
+        distinct,
         TRACK_KEYS,
         "timestep",
         {
-            "x_integrated": F.col("velocity_x") * dt,
-            "y_integrated": F.col("velocity_y") * dt,
+            "x_integrated": F.col("velocity_x") * dt * m,
+            "y_integrated": F.col("velocity_y") * dt * m,
         },
         settings=settings,
         one_chunk=fits_one_chunk(tracks, "timestep", settings),
     )
+    out = _copy_index(summed)
+    back = m - F.col("_copy")
+    return out.select(
+        *[F.col(c) for c in tracks.columns],
+        *[
+            F.when(back == 0, F.col(n)).otherwise(F.col(n) - back * F.col(v) * dt).alias(n)
+            for n, v in (("x_integrated", "velocity_x"), ("y_integrated", "velocity_y"))
+        ],
+    )
 
 
 def fill_dimensions(tracks: DataFrame) -> DataFrame:
