@@ -50,6 +50,22 @@ def speed_accel(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     )
 
 
+def ego_rows(tracks: DataFrame) -> DataFrame:
+    """Distinct ego rows (the columns the ego pass and the agent join need)
+    with ``copies``; collapsed by a partial aggregation before the shuffle."""
+    ego = tracks.where(F.col("is_ego")).select(
+        "scenario_id",
+        "object_id",
+        "timestep",
+        "is_ego",
+        "heading",
+        "position_x",
+        "position_y",
+        speed().alias("speed"),
+    )
+    return collapse_copies(ego)
+
+
 def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Distinct ego rows with ``copies`` (how many identical rows there are),
     ``speed``, and for the first copy ``accel_ms2`` and ``step_dist``
@@ -64,17 +80,7 @@ def ego_kinematics(tracks: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     equals the pass over all rows because an object id is either an ego or
     an agent throughout.
     """
-    ego = tracks.where(F.col("is_ego")).select(
-        "scenario_id",
-        "object_id",
-        "timestep",
-        "is_ego",
-        "heading",
-        "position_x",
-        "position_y",
-        speed().alias("speed"),
-    )
-    distinct = ego.groupBy(*ego.columns).agg(F.count(F.lit(1)).alias("copies"))
+    distinct = ego_rows(tracks)
     lagged = lag_columns(
         distinct,
         TRACK_KEYS,
