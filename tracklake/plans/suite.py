@@ -27,6 +27,7 @@ from tracklake.operators.layout import add_partition_key, bucket_counts, bucket_
 from tracklake.plans import marts
 from tracklake.plans.catalog import Catalog
 from tracklake.plans.jobs import stage_metrics
+from tracklake.session import ensure_checkpoint_dir
 from tracklake.settings import CUT_IN
 from tracklake.sources.fixture import fixture_tracks, plant_bad_tracks
 
@@ -57,7 +58,10 @@ class Stages:
         self.materialize = materialize
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialize else df
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
 
     @cached_property
     def tracks(self) -> DataFrame:
@@ -206,7 +210,10 @@ def _vectors(spark, sf_dir, materialize: bool = False):
     st = Stages(spark, sf_dir, materialize=True)
     v = sim.vector_table(st.features, st.events)
     # The embed job writes the vector table once; searches read it.
-    return v.checkpoint(eager=True) if materialize else v
+    if not materialize:
+        return v
+    ensure_checkpoint_dir(spark)
+    return v.checkpoint(eager=True)
 
 
 def _vector_cols(df):
