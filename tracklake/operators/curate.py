@@ -53,7 +53,7 @@ def cluster_and_dedup(
     if centres is None:
         centres = first_rows_as_centres(scaled, k) if fixed_centres else fit_centres(scaled, k, settings)
     clustered = assign_clusters(scaled, centres, round_dp=round_dp).drop(*Z_COLS)
-    return nearest_per_cluster(clustered, n_rows, len(centres), settings)
+    return nearest_per_cluster(clustered, n_rows, k, settings)
 
 
 def dedup_report(features: DataFrame, deduped: DataFrame) -> DataFrame:
