@@ -166,7 +166,7 @@ def exact_rank(
     A row's rank is the number of its group's rows in earlier partitions plus
     its position among the group's rows in its own partition. The offsets
     table has at most (partitions + groups) rows, since every partition holds
-    one contiguous key range; it is broadcast.
+    one contiguous key range.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -194,7 +194,9 @@ def exact_rank(
         "_first_pos",
         F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_before"),
     )
-    ranked = pos.join(F.broadcast(offsets), on=["_pid", *group_cols], how="inner")
+    # At most (partitions + groups) rows: AQE broadcasts it when its measured
+    # size is under the threshold and shuffles it otherwise (many groups).
+    ranked = pos.join(offsets, on=["_pid", *group_cols], how="inner")
     return ranked.select(
         *[F.col(c) for c in df.columns],
         (F.col("_before") + F.col("_pos") - F.col("_first_pos") + 1).alias(rank_col),
