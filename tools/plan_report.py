@@ -9,7 +9,6 @@ the final AQE plan after a noop write.
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -30,8 +29,6 @@ def main() -> None:
     rows = []
     for name, fn in E.queries().items():
         plan = final_plan(fn(spark, sf_dir))
-        shuffles = len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
-        shuffles += plan.count("Exchange SinglePartition")
         rows.append(
             (
                 name,
