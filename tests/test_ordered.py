@@ -105,3 +105,13 @@ def test_chunked_ordered_ops_property(spark):
         assert got_s == want_s  # integer-valued doubles: sums are exact
 
     check()
+
+
+def test_exact_rank_null_groups_and_orders(spark):
+    rows = [(None, 3.0, 1), (None, 1.0, 2), ("g", None, 3), ("g", 2.0, 4), ("g", 2.0, 5), (None, None, 6)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE, t BIGINT")
+    got = exact_rank(df, ["k"], ["v", "t"], settings=DEFAULT.with_(rank_partitions=3))
+    w = Window.partitionBy("k").orderBy("v", "t")
+    want = df.withColumn("_rank", F.row_number().over(w))
+    assert sorted(got.collect(), key=repr) == sorted(want.select(*got.columns).collect(), key=repr)
+    assert got.count() == 6

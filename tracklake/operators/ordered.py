@@ -196,9 +196,17 @@ def exact_rank(
     )
     # At most (partitions + groups) rows: AQE broadcasts it when its measured
     # size is under the threshold and shuffles it otherwise (many groups).
-    ranked = pos.join(offsets, on=["_pid", *group_cols], how="inner")
+    # Null-safe on the group columns: a NULL group is a group too.
+    o = offsets.select(
+        F.col("_pid").alias("_o_pid"),
+        *[F.col(c).alias(f"_o_{c}") for c in group_cols],
+        "_first_pos",
+        "_before",
+    )
+    cond = [pos["_pid"] == o["_o_pid"]] + [pos[c].eqNullSafe(o[f"_o_{c}"]) for c in group_cols]
+    ranked = pos.join(o, on=cond, how="inner")
     return ranked.select(
-        *[F.col(c) for c in df.columns],
+        *[pos[c] for c in df.columns],
         (F.col("_before") + F.col("_pos") - F.col("_first_pos") + 1).alias(rank_col),
     )
 
