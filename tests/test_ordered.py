@@ -115,3 +115,17 @@ def test_exact_rank_null_groups_and_orders(spark):
     want = df.withColumn("_rank", F.row_number().over(w))
     assert sorted(got.collect(), key=repr) == sorted(want.select(*got.columns).collect(), key=repr)
     assert got.count() == 6
+
+
+def test_chunked_ops_with_null_keys(spark):
+    rows = [(None, t, float(t * t)) for t in range(0, 40, 3)] + [("a", t, float(t)) for t in range(0, 40, 4)]
+    df = spark.createDataFrame(rows, "k STRING, t BIGINT, v DOUBLE")
+    s = DEFAULT.with_(timestep_chunk=7)
+    w = Window.partitionBy("k").orderBy("t")
+    want = {(r.k, r.t): r.p for r in df.withColumn("p", F.lag("v").over(w)).collect()}
+    got = {(r.k, r.t): r.prev_v for r in lag_columns(df, ["k"], "t", ["v"], settings=s).collect()}
+    assert got == want
+    ws = w.rowsBetween(Window.unboundedPreceding, 0)
+    want_s = {(r.k, r.t): r.cs for r in df.withColumn("cs", F.sum("v").over(ws)).collect()}
+    got_s = {(r.k, r.t): r.cs for r in running_sum(df, ["k"], "t", {"cs": F.col("v")}, settings=s).collect()}
+    assert got_s == want_s

@@ -33,6 +33,16 @@ def _chunk_of(order_col: str, chunk: int) -> Column:
     return F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` where NULL matches NULL, as a window partition
+    treats a NULL key as one group. Keeps the left columns and the right
+    non-key columns."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    joined = left.join(r, on=cond, how="left")
+    return joined.select(*[left[c] for c in left.columns], *[r[c] for c in right.columns if c not in keys])
+
+
 def fits_one_chunk(df: DataFrame, order_col: str, settings: Settings = DEFAULT) -> bool:
     """True when every order value lies in chunk 0 (0 <= value < chunk), so
     no group spans two chunks and no carry across chunks is needed.
@@ -88,7 +98,7 @@ def lag_columns(
         F.lag(F.lit(True)).over(wc).alias("_has_prev"),
         *[F.lag(f"_tail_{c}").over(wc).alias(f"_carry_{c}") for c in cols],
     ).where(F.col("_has_prev").isNotNull())
-    joined = inner.join(carry, on=[*keys, _CHUNK], how="left")
+    joined = _join_null_safe(inner, carry, [*keys, _CHUNK])
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
@@ -138,7 +148,7 @@ def running_sum(
         F.count(F.lit(1)).over(wc).alias("_earlier"),
         *[F.sum(f"_t_{n}").over(wc).alias(f"_o_{n}") for n in exprs],
     ).where(F.col("_earlier") > 0)
-    joined = inner.join(offsets, on=[*keys, _CHUNK], how="left")
+    joined = _join_null_safe(inner, offsets, [*keys, _CHUNK])
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
