@@ -20,8 +20,16 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tracklake") -> SparkSession:
-    """A local session for tests and the benchmark (never used on a cluster)."""
+def local_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "tracklake",
+    event_log_dir: str | None = None,
+) -> SparkSession:
+    """A local session for tests and the benchmark (never used on a cluster).
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without the web UI)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -36,6 +44,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config(
+            "spark.eventLog.dir", event_log_dir
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
