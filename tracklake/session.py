@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Long-lived sessions run the same plan shapes again and again; keep
+    # their compiled whole-stage code (static setting, read at start-up).
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 
