@@ -99,3 +99,22 @@ def test_valid_only_setting(spark):
     all_ev = detect_events(t).count()
     valid_ev = detect_events(t, DEFAULT.with_(valid_only=True)).count()
     assert valid_ev <= all_ev and all_ev == 10
+
+
+def test_curated_tracks_prune_bucket_folders(spark, tmpdir_path):
+    """Curated tracks on the bucketed table read only the buckets of the
+    curated ids (a partition filter on the scan)."""
+    from tracklake.operators.curate import curated_tracks
+    from tracklake.operators.layout import add_partition_key
+    from tracklake.sinks import write_tracks
+
+    wh = Warehouse(tmpdir_path)
+    write_tracks(add_partition_key(fixture_tracks(spark, SF001)), wh.tracks)
+    t = src.read_tracks(spark, wh.tracks)
+    ids = spark.createDataFrame([("sc_00003",)], "scenario_id STRING")
+    ct = curated_tracks(t, ids)
+    rows = ct.collect()
+    assert {r.scenario_id for r in rows} == {"sc_00003"} and len(rows) == 100
+    plan = ct._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(scenario_bucket" in plan and "scenario_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "IN (6)" in plan or "= 6)" in plan

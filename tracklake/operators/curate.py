@@ -14,6 +14,8 @@ from tracklake.operators.space import (
     scaler_stats,
     standardize_with,
 )
+from tracklake.functions import bucket_of
+from tracklake.schemas import BUCKET_COL
 from tracklake.settings import DEFAULT, NO_EVENT, Settings
 
 HELPERS = ("primary_event", "cluster", "cluster_distance")
@@ -110,9 +112,19 @@ def stratified_sample(
     return with_events.unionByName(without_events)
 
 
-def curated_tracks(tracks: DataFrame, curated: DataFrame) -> DataFrame:
-    """Tracks of the curated scenarios (left semi join, no id list)."""
-    return tracks.join(curated.select("scenario_id"), on="scenario_id", how="left_semi")
+def curated_tracks(tracks: DataFrame, curated: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Tracks of the curated scenarios (left semi join, no id list).
+
+    On bucket-partitioned tracks, the distinct buckets of the curated ids (at
+    most ``scenario_bucket_count`` values) become a partition filter, so
+    folders without a curated scenario are not read.
+    """
+    ids = curated.select("scenario_id")
+    if BUCKET_COL in tracks.columns:
+        bucket = bucket_of("scenario_id", settings.scenario_bucket_count)
+        buckets = [r[0] for r in ids.select(bucket.alias("b")).distinct().collect()]
+        tracks = tracks.where(F.col(BUCKET_COL).isin(buckets))
+    return tracks.join(ids, on="scenario_id", how="left_semi")
 
 
 def curation_yield(curated: DataFrame, features: DataFrame) -> DataFrame:

@@ -177,7 +177,7 @@ def curate(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) ->
     report = dedup_report(features, deduped).first()
     curated = stratified_sample(deduped, events, settings).checkpoint(eager=True)
     tracks = src.read_tracks(spark, wh.tracks)
-    sinks.write_curated_tracks(curated_tracks(tracks, curated), wh.curated)
+    sinks.write_curated_tracks(curated_tracks(tracks, curated, settings), wh.curated)
     sinks.write_manifest(curated, wh.manifest)
     y = curation_yield(curated, features).first()
     m = {
