@@ -44,14 +44,17 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def fits_one_chunk(df: DataFrame, order_col: str, settings: Settings = DEFAULT) -> bool:
-    """True when every order value lies in chunk 0 (0 <= value < chunk), so
-    no group spans two chunks and no carry across chunks is needed.
+    """True when every order value is non-NULL and lies in chunk 0
+    (0 <= value < chunk), so no group spans two chunks and no carry across
+    chunks is needed (a NULL order value forms its own chunk).
 
-    One global min/max aggregate (answered from Parquet footers when
-    ``spark.sql.parquet.aggregatePushdown`` is on and ``df`` is a scan).
+    One global aggregate of min, max and the NULL count (min/max come from
+    Parquet footers when ``spark.sql.parquet.aggregatePushdown`` is on).
     """
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    return lo is None or (lo >= 0 and hi < settings.timestep_chunk)
+    lo, hi, nulls = df.agg(
+        F.min(order_col), F.max(order_col), F.count_if(F.col(order_col).isNull())
+    ).first()
+    return nulls == 0 and (lo is None or (lo >= 0 and hi < settings.timestep_chunk))
 
 
 def lag_columns(
@@ -82,14 +85,21 @@ def lag_columns(
         )
     inner = chunked.select(
         "*",
-        F.lag(F.col(order_col)).over(w).isNull().alias("_first"),
+        (F.row_number().over(w) == 1).alias("_first"),
         *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
     )
     # Last row of every chunk, then the previous non-empty chunk's last row
     # via a window over that small table. One max_by per column keeps the
     # buffers fixed-width, so this is a hash aggregation (no sort).
+    # (Rows with a NULL order value form the NULL chunk, first in order; their
+    # order among themselves is undefined, so any of them is its last row.)
     tails = chunked.groupBy(*keys, _CHUNK).agg(
-        *[F.max_by(F.col(c), F.col(order_col)).alias(f"_tail_{c}") for c in cols]
+        *[
+            F.when(F.col(_CHUNK).isNull(), F.first(F.col(c)))
+            .otherwise(F.max_by(F.col(c), F.col(order_col)))
+            .alias(f"_tail_{c}")
+            for c in cols
+        ]
     )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
     carry = tails.select(
