@@ -148,7 +148,9 @@ def integrate_positions(tracks: DataFrame, settings: Settings = DEFAULT) -> Data
     return out.select(
         *[F.col(c) for c in tracks.columns],
         *[
-            F.when(back == 0, F.col(n)).otherwise(F.col(n) - back * F.col(v) * dt).alias(n)
+            F.when(back == 0, F.col(n))
+            .otherwise(F.col(n) - back * F.coalesce(F.col(v), F.lit(0.0)) * dt)
+            .alias(n)
             for n, v in (("x_integrated", "velocity_x"), ("y_integrated", "velocity_y"))
         ],
     )
