@@ -84,7 +84,14 @@ def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    data = VectorAssembler(inputCols=list(Z_COLS), outputCol="_x").transform(scaled).select("_x")
+    n_parts = settings.kmeans_partitions or int(
+        scaled.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    )
+    data = (
+        VectorAssembler(inputCols=list(Z_COLS), outputCol="_x")
+        .transform(scaled.repartitionByRange(n_parts, "scenario_id").sortWithinPartitions("scenario_id"))
+        .select("_x")
+    )
     data = data.persist()
     data.count()
 
