@@ -53,7 +53,11 @@ def cluster_and_dedup(
     k = min(settings.dedup_cluster_count, n_rows)
     scaled = standardize_with(features, stats)
     if centres is None:
-        centres = first_rows_as_centres(scaled, k) if fixed_centres else fit_centres(scaled, k, settings)
+        centres = (
+            first_rows_as_centres(scaled, k)
+            if fixed_centres
+            else fit_centres(scaled, k, settings, n_rows=n_rows)
+        )
     clustered = assign_clusters(scaled, centres, round_dp=round_dp).drop(*Z_COLS)
     return nearest_per_cluster(clustered, n_rows, k, settings)
 

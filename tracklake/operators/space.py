@@ -73,7 +73,9 @@ def embed(scaled: DataFrame) -> DataFrame:
     return scaled.select("*", *[(F.col(c) / norm).alias(v) for c, v in zip(Z_COLS, V_COLS)])
 
 
-def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list[list[float]]:
+def fit_centres(
+    scaled: DataFrame, k: int, settings: Settings = DEFAULT, n_rows: int | None = None
+) -> list[list[float]]:
     """k-means centres: best (lowest cost) of ``kmeans_starts`` seeded fits.
 
     The fits are independent Spark jobs over one persisted input and run from
@@ -84,9 +86,11 @@ def fit_centres(scaled: DataFrame, k: int, settings: Settings = DEFAULT) -> list
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    n_parts = settings.kmeans_partitions or int(
-        scaled.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    )
+    n_parts = settings.kmeans_partitions
+    if n_parts is None:
+        cap = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_rows = n_rows if n_rows is not None else scaled.count()
+        n_parts = max(1, min(cap, -(-n_rows // settings.kmeans_rows_per_partition)))
     data = (
         VectorAssembler(inputCols=list(Z_COLS), outputCol="_x")
         .transform(scaled.repartitionByRange(n_parts, "scenario_id").sortWithinPartitions("scenario_id"))

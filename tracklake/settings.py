@@ -42,9 +42,11 @@ class Settings:
     kmeans_max_iter: int = 300
     kmeans_tol: float = 1e-4
     # k-means|| samples per partition, so the fit input is range-partitioned
-    # on scenario_id into this many partitions (None: shuffle partitions);
-    # the same data and count then give the same centres.
+    # on scenario_id into this many partitions; None: one per
+    # ``kmeans_rows_per_partition`` rows, at most the shuffle partitions. The
+    # same data and count then give the same centres.
     kmeans_partitions: int | None = None
+    kmeans_rows_per_partition: int = 1_000_000
     # The reference never filters on ``valid``; True drops invalid rows
     # before detection and features.
     valid_only: bool = False
