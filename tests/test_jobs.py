@@ -118,3 +118,30 @@ def test_curated_tracks_prune_bucket_folders(spark, tmpdir_path):
     plan = ct._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(scenario_bucket" in plan and "scenario_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "IN (6)" in plan or "= 6)" in plan
+
+
+def test_ingest_validating_while_writing(spark, tmpdir_path):
+    from tracklake.operators.contracts import ContractError
+    from tracklake.plans.jobs import ingest
+    from tracklake.settings import DEFAULT
+    from tracklake.sources.fixture import plant_bad_tracks
+
+    one_pass = DEFAULT.with_(validate_while_writing=True)
+    good = os.path.join(tmpdir_path, "good")
+    write_raw(fixture_tracks(spark, SF001), good)
+    m = ingest(spark, good, Warehouse(os.path.join(tmpdir_path, "wh1")), one_pass)
+    assert m["row_count"] == 875
+    bad = os.path.join(tmpdir_path, "bad")
+    write_raw(plant_bad_tracks(fixture_tracks(spark, SF001)), bad)
+    with pytest.raises(ContractError) as ex:
+        ingest(spark, bad, Warehouse(os.path.join(tmpdir_path, "wh2")), one_pass)
+    got = {(c, k): n for _, c, k, n in ex.value.failures}
+    assert got == {
+        ("object_type", "in (VEHICLE,PEDESTRIAN,CYCLIST)"): 6,
+        ("heading", "<= 4.0"): 35,
+        ("length_m", "> 0.0"): 10,
+    }
+    # the default validates before writing: nothing lands for bad input
+    with pytest.raises(ContractError):
+        ingest(spark, bad, Warehouse(os.path.join(tmpdir_path, "wh3")))
+    assert not os.path.exists(os.path.join(tmpdir_path, "wh3", "tracks"))

@@ -150,6 +150,33 @@ def violation_report(df: DataFrame, contract: Contract) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def observed(df: DataFrame, contract: Contract):
+    """``df`` with every rule counted as an observed metric while it is
+    computed (for a single read that validates and writes). Returns the
+    frame and a function that raises ``ContractError`` once the frame's
+    action has finished and any count is above zero."""
+    from pyspark.sql import Observation
+
+    problems = schema_problems(df, contract)
+    if problems:
+        raise ContractError(contract.name, problems)
+    rules = contract.all_rules()
+    obs = Observation(f"{contract.name}_contract")
+    out = df.observe(obs, *[F.count_if(r.bad()).alias(f"_r{i}") for i, r in enumerate(rules)])
+
+    def check() -> None:
+        got = obs.get
+        failures = [
+            (contract.name, r.column, r.check, int(got[f"_r{i}"]))
+            for i, r in enumerate(rules)
+            if got[f"_r{i}"]
+        ]
+        if failures:
+            raise ContractError(contract.name, failures)
+
+    return out, check
+
+
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
     """Raise ``ContractError`` if any rule is broken; return ``df``."""
     failures = [

@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake import sinks
-from tracklake.operators.contracts import validate_events, validate_features, validate_tracks
+from tracklake.operators.contracts import (
+    TRACK_CONTRACT,
+    observed,
+    validate_events,
+    validate_features,
+    validate_tracks,
+)
 from tracklake.operators.curate import (
     cluster_and_dedup,
     curated_tracks,
@@ -123,8 +129,13 @@ def stage_metrics(
 def ingest(spark: SparkSession, raw_dir: str, wh: Warehouse, settings: Settings = DEFAULT) -> dict:
     """Raw shards -> contract check -> bucket key -> partitioned tracks."""
     raw = src.read_raw_shards(spark, raw_dir)
-    validate_tracks(raw)
-    sinks.write_tracks(add_partition_key(raw.select(*TRACKS.fieldNames()), settings), wh.tracks)
+    if settings.validate_while_writing:
+        checked, check = observed(raw, TRACK_CONTRACT)
+        sinks.write_tracks(add_partition_key(checked.select(*TRACKS.fieldNames()), settings), wh.tracks)
+        check()
+    else:
+        validate_tracks(raw)
+        sinks.write_tracks(add_partition_key(raw.select(*TRACKS.fieldNames()), settings), wh.tracks)
     tracks = src.read_tracks(spark, wh.tracks)
     counts = bucket_counts(tracks)
     r = bucket_range(counts).first()

@@ -50,6 +50,10 @@ class Settings:
     # The reference never filters on ``valid``; True drops invalid rows
     # before detection and features.
     valid_only: bool = False
+    # Ingest: False validates in a scan before writing (a failed check leaves
+    # the old table untouched); True counts the contract rules while writing
+    # (one read) and raises after the write if any rule is broken.
+    validate_while_writing: bool = False
 
     # Ordered per-object computations (lag, running sums) run per chunk of
     # this many timesteps, so one very long track never becomes one task.
