@@ -176,3 +176,20 @@ def test_event_contract_report_property(spark):
         assert rep[("severity", ">= 0.0")] == bad_lo and rep[("severity", "<= 1.0")] == bad_hi
 
     check()
+
+
+def test_request_dispatch_all_kinds(spark):
+    from tracklake.operators.similar import vector_table
+
+    cat = _catalog(spark)
+    cat.vectors = vector_table(cat.features, cat.events)
+    assert cat.request("events", event_type="CUT_IN", limit=1).count() == 1
+    assert cat.request("scenario", scenario_id="a").count() == 2
+    assert cat.request("sql", text="SELECT count(*) AS n FROM {tracks}").first().n == 8
+    sim = cat.request("similar", scenario_id="a", limit=5)
+    assert sim.columns == ["scenario_id", "event_types", "mean_speed", "max_decel", "_distance"]
+    assert [r.scenario_id for r in sim.collect()] == ["b"]
+    summary, breakdown = cat.request("stats")
+    assert summary.count() == 1 and breakdown.count() == 3
+    with pytest.raises(ValueError):
+        cat.request("nope")
