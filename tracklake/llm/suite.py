@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import bitplanes, bpe, chat, mixing, quality, sharding, syncmers
+from tracklake.llm import bitplanes, bpe, chat, metric_join, mixing, ngram_join, pii, quality, sharding, syncmers
 from tracklake.llm.common import find_package_on_workers, materialize, shared_path
 from tracklake.llm.oracle import ORACLE  # noqa: F401 - part of this module's interface
 
@@ -30,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles have Jaccard 0.9 or more."""
+    return ngram_join.components(table(spark, sf_dir, "documents"), size=3, num=90, den=100).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document: random Fourier features, ridge from
     partition-summed normal equations, isotonic calibration."""
@@ -46,6 +53,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it, in every document."""
+    out = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] < pii.KINDS.index("term"))
+    return out.select(
+        "doc_id", *(pii.count_of(spans, k).alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"),
+        F.sha2(F.col("text"), 256).alias("clean_sha256"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes through virtual slots."""
     rows, _ = sharding.shard(table(spark, sf_dir, "documents"))
@@ -91,6 +110,11 @@ def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with cosine 0.93 or more, and their components."""
+    return metric_join.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op10_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-BPE ids of every document, written as bit planes and read back."""
     folder = shared_path(spark, "token-ids")
@@ -101,11 +125,14 @@ def op10_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
     "op5_sharding": op5_sharding,
     "op6_chat_format": op6_chat_format,
     "op7_poisson_mix": op7_poisson_mix,
     "op8_syncmers": op8_syncmers,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bitplanes": op10_bitplanes,
 }
