@@ -4,7 +4,7 @@ Encoding keeps the symbols of a word in a doubly linked list and the ranks of
 all mergeable neighbours in a priority queue; an entry that no longer matches
 the list when it is popped is stale and skipped. Decoding concatenates the
 vocabulary strings of the ids. The vocabulary file is a parameter and is read
-once in each Python worker; words already met are kept in a bounded memo.
+once in each Python worker; pieces already met are kept in a bounded memo.
 
 Results on odd input: a null text encodes as the empty text (no ids) and
 decodes to the empty text; the string of an added token inside a text becomes
@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -32,8 +34,12 @@ from tracklake.llm.common import map_rows
 # Fixed value: the word pattern of byte-level BPE vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words remembered by one Python worker, and the longest word remembered.
-MEMO_WORDS, MEMO_CHARS = 400_000, 64
+#: Two white-space characters in a row, or one at either end: what follows a
+#: single blank inside such a run may belong with what stands before it.
+RUNS = re.compile(r"\s\s|^\s|\s\Z")
+
+#: Pieces remembered by one Python worker in each generation, and the longest.
+MEMO_PIECES, MEMO_CHARS = 400_000, 64
 
 
 def byte_chars() -> list[str]:
@@ -45,18 +51,23 @@ def byte_chars() -> list[str]:
 
 
 class _Memo(dict):
-    """Word -> packed ids; forgets everything when full, which costs time only."""
+    """Piece -> packed ids. When it is full, the pieces of the generation
+    before are forgotten unless met again, which costs time only."""
 
     def __init__(self, encode) -> None:
         super().__init__()
         self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.encode(word), "<u4").tobytes()
-        if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_WORDS:
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= MEMO_CHARS:
+            if len(self) >= MEMO_PIECES:
+                self.older = dict(self)
                 self.clear()
-            self[word] = ids
+            self[piece] = ids
         return ids
 
 
@@ -73,10 +84,13 @@ class Codec:
         chars = byte_chars()
         byte_of = {c: b for b, c in enumerate(chars)}
         self.first = [vocab[c] for c in chars]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.base = len(vocab)
+        self.ranks: dict[int, int] = {}  # left id * base + right id -> rank
+        self.made: list[int] = []  # rank -> id of the merged symbol
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a] * self.base + vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = [b""] * (1 + max([*vocab.values(), *self.added.values()]))
         for token, i in vocab.items():
@@ -86,46 +100,58 @@ class Codec:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.split_added = regex.compile(f"({'|'.join(map(regex.escape, longest_first))})") if self.added else None
         self.words = regex.compile(WORDS)
-        self.memo = _Memo(self.encode_word)
+        self.word_ids = _Memo(self.encode_word)
+        self.blank_ids = _Memo(lambda piece: self.encode_run(" " + piece))
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> bytes:
         """Merge the word's bytes, lowest rank first, leftmost first at ties."""
         ids = [self.first[b] for b in word.encode("utf-8", "replace")]
-        n = len(ids)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
-        for i in range(n - 1):
-            if found := self.merges.get((ids[i], ids[i + 1])):
-                queue.append((found[0], i, ids[i], ids[i + 1], found[1]))
-        heapq.heapify(queue)
-        while queue:
-            _, i, a, b, new = heapq.heappop(queue)
-            j = after[i]
-            if ids[i] != a or j < 0 or ids[j] != b:
-                continue  # stale: one of the two symbols has merged since
-            ids[i], ids[j] = new, -1
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if found := self.merges.get((new, ids[k])):
-                    heapq.heappush(queue, (found[0], i, new, ids[k], found[1]))
-            if (h := before[i]) >= 0 and (found := self.merges.get((ids[h], new))):
-                heapq.heappush(queue, (found[0], h, ids[h], new, found[1]))
-        return [i for i in ids if i >= 0]
+        n, base, ranks = len(ids), self.base, self.ranks
+        # A queue entry is rank * n + place; it is stale unless the symbol now
+        # at that place and the next one still have that rank.
+        queue = [r * n + i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := ranks.get(a * base + b)) is not None]
+        if queue:
+            before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+            heapq.heapify(queue)
+            while queue:
+                rank, i = divmod(heapq.heappop(queue), n)
+                j = after[i]
+                if j >= n or ids[i] < 0 or ranks.get(ids[i] * base + ids[j]) != rank:
+                    continue
+                new = ids[i] = self.made[rank]
+                ids[j] = -1
+                after[i] = k = after[j]
+                if k < n:
+                    before[k] = i
+                    if (r := ranks.get(new * base + ids[k])) is not None:
+                        heapq.heappush(queue, r * n + i)
+                if (h := before[i]) >= 0 and (r := ranks.get(ids[h] * base + new)) is not None:
+                    heapq.heappush(queue, r * n + h)
+            ids = [i for i in ids if i >= 0]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode_run(self, text: str) -> bytes:
+        """Encode a text word by word; added tokens count as text."""
+        return b"".join(map(self.word_ids.__getitem__, self.words.findall(text)))
+
+    def encode_plain(self, text: str) -> bytes:
+        """As ``encode_run``. Between two other characters a single blank starts
+        a word, so the text may be cut there and each piece remembered."""
+        if RUNS.search(text):
+            return self.encode_run(text)
+        first, *rest = text.split(" ")
+        return self.encode_run(first) + b"".join(map(self.blank_ids.__getitem__, rest))
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if self.split_added is None or not self.split_added.search(text):
-            return b"".join(map(self.memo.__getitem__, self.words.findall(text)))
-        out = []
-        for part in self.split_added.split(text):
-            if (i := self.added.get(part)) is not None:
-                out.append(i.to_bytes(4, "little"))
-            else:
-                out.extend(map(self.memo.__getitem__, self.words.findall(part)))
-        return b"".join(out)
+            return self.encode_plain(text)
+        parts = self.split_added.split(text)
+        return b"".join(
+            self.added[p].to_bytes(4, "little") if p in self.added else self.encode_plain(p) for p in parts if p
+        )
 
     def decode(self, ids) -> str:
         known = self.strings
