@@ -19,8 +19,8 @@ again, or twice at once, leaves the same bytes under the same name. ``read``
 reads whole files back, one file at a time in a task.
 
 Results on odd input: a null or empty text has only the end id; null doc_ids
-come first; rows with equal doc_id are ordered by text, and equal rows are
-stored once each; an empty table gives an empty manifest and no files. Other
+come first; rows with equal doc_id are ordered by a hash of the text, and equal
+rows are stored once each; an empty table gives an empty manifest and no files. Other
 columns of the input are not stored.
 """
 
@@ -44,8 +44,9 @@ from tracklake.llm.common import clean_text, find_package_on_workers
 MAGIC = b"TLPLANE1"
 #: Ids in a block, and ids after which a file ends (at the next document).
 BLOCK, FILE_IDS = 1 << 16, 1 << 24
-#: Pieces of text that one Python worker remembers, and the longest of them.
-MEMO_PIECES, MEMO_CHARS = 400_000, 64
+#: Pieces of text that one Python worker remembers in each generation, and the
+#: bytes of the longest.
+MEMO_PIECES, MEMO_CHARS = 800_000, 64
 
 MANIFEST = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("part", "number", "docs", "ids", "bytes")]
@@ -181,34 +182,39 @@ def read_file(uri: str) -> Iterator[tuple[int | None, np.ndarray]]:
             yield (doc_id if known else None), np.concatenate(parts)
 
 
-class _Pieces(dict):
-    """Text between blanks -> ids. Words of this vocabulary never span blanks,
-    so encoding the pieces one by one equals encoding the whole text."""
+class _Pieces:
+    """Pieces of text between white space -> ids. Words of this vocabulary never
+    span white space and ignore case, so the pieces' ids in a row are the ids
+    of the whole text. Pieces already met are remembered in two generations."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > MEMO_PIECES:
-            self.clear()
-            new = list(pieces)
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[p] = np.asarray(e.ids, "<u4").tobytes()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") for t in texts]
-        pieces = set().union(*cut)
-        long = {p for p in pieces if len(p) > MEMO_CHARS}
-        self.learn(pieces)
-        out = [np.frombuffer(b"".join(map(self.__getitem__, c)), "<u4") for c in cut]
-        for p in long:
-            self.pop(p, None)
+        # On bytes, only ASCII letters are lowered and only ASCII white space splits.
+        cut = [t.encode("utf-8", "replace").lower().split() for t in texts]
+        wanted = set().union(*cut)
+        if len(self.known) + len(wanted) > MEMO_PIECES:
+            self.older, self.known = self.known, {}
+        here, new = self.known, []
+        for p in wanted.difference(here):
+            if (ids := self.older.get(p)) is not None:
+                here[p] = ids
+            else:
+                new.append(p)
+        found = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
+        for p, e in zip(new, found, strict=True):
+            here[p] = np.asarray(e.ids, "<u4").tobytes()
+        out = [np.frombuffer(b"".join(map(here.__getitem__, c)), "<u4") for c in cut]
+        for p in new:
+            if len(p) > MEMO_CHARS:
+                del here[p]
         return out
 
 
@@ -234,8 +240,9 @@ def write(
     fs.create_dir(root, recursive=True)
     end = np.asarray([end_id], "<u4")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), clean_text(text).alias("text"))
-    # The hash only cuts a run of equal doc_ids; order within one stays by text.
-    ranged = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # The hash lets a run of equal doc_ids be cut; the driver samples both numbers, no text.
+    by = [F.col("doc_id"), F.xxhash64("text")]
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, memo = TaskContext.get(), pieces(tokenizer)
