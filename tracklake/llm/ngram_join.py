@@ -55,7 +55,7 @@ _LOW = 1 << 62
 
 
 def set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (128-bit hash of the set; null if empty)."""
+    """doc_id, text_hash, n_shingles, set_id (128-bit hash of the set; null if empty)."""
 
     def make():
         def apply(texts):
@@ -66,7 +66,8 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
         return apply
 
     outputs = [("n_shingles", T.LongType(), pa.int64()), ("set_id", T.BinaryType(), pa.binary())]
-    return map_rows(docs.select("doc_id", "text"), ["text"], outputs, make).drop("text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return map_rows(rows, ["text"], outputs, make).drop("text")
 
 
 def frequent_shingles(docs: DataFrame, size: int, more_than: int = FREQUENT, most: int = LIST) -> tuple[np.ndarray, int]:
@@ -297,7 +298,7 @@ def verified_links(docs: DataFrame, members: DataFrame, size: int, num: int, den
 
 
 def components(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """doc_id, n_shingles, set_id and component_id of every row of ``docs``.
+    """doc_id, text_hash, n_shingles, set_id and component_id of every row of ``docs``.
 
     Two documents link when ``den * |both| >= num * |either|`` over their
     distinct shingles of ``size`` words; the component is named by its smallest
@@ -321,3 +322,29 @@ def components(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     by_set = rooted.join(names, "root").select(F.col("set_id").alias("k_set"), "component_id")
     named_rows = rows.where("set_id IS NOT NULL").join(by_set, F.col("set_id") == F.col("k_set")).drop("k_set")
     return named_rows.unionByName(rows.where("set_id IS NULL").withColumn("component_id", F.col("doc_id")))
+
+
+
+def one_of_each(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id, at ties
+    the smallest text hash. Rows without words, and rows of components that
+    have no doc_id, all stay. Only the keys of rows that go meet the texts."""
+    found = components(docs, size, num, den).where("set_id IS NOT NULL AND component_id IS NOT NULL")
+    found = found.groupBy("component_id", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    found = materialize(found, "near-duplicates")
+    first = found.where("doc_id = component_id").groupBy("component_id").agg(F.min("text_hash").alias("first_hash"))
+    ranked = found.join(first, "component_id")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    key = [F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")]
+    gone = materialize(ranked.where(~stays).select(*key), "rows-that-go")
+    repeated = materialize(ranked.where(stays & (F.col("rows") > 1)).select(*key), "rows-that-repeat")
+    out = _by_key(docs, gone.unionAll(repeated), "left_anti")
+    if not repeated.isEmpty():
+        out = out.unionByName(_by_key(docs, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    if keys.count() <= NAMED:
+        keys = F.broadcast(keys)
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["k_doc"]) & (F.xxhash64(docs["text"]) == keys["k_hash"]), how)

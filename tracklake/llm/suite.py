@@ -124,6 +124,13 @@ def op10_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read(spark, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -135,4 +142,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_syncmers": op8_syncmers,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bitplanes": op10_bitplanes,
+    "pipeline": pipeline,
 }
