@@ -15,7 +15,7 @@ Results on odd input: a null source is a source of its own; a null text or
 doc_id hashes as absent; repeated rows draw equal counts; sources without a
 weight, or with a weight of 0 or less, are left out when weights are given; an
 empty table gives an empty mix. Columns of the input named ``copy`` or
-``shuffle_key`` are replaced.
+``shuffle_key`` are replaced, or kept in place of those (``keep_clashing``).
 """
 
 from __future__ import annotations
@@ -73,20 +73,21 @@ def rates(docs: DataFrame, weights: dict | None = None, power: float = 0.5, rati
     )
 
 
-def replicate(docs: DataFrame, source_rates: DataFrame, seed: int = 42, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def replicate(
+    docs: DataFrame, source_rates: DataFrame, seed: int = 42, doc_id: str = "doc_id", text: str = "text", keep_clashing: bool = False
+) -> DataFrame:
     """The mix: all columns of ``docs``, ``copy`` (0, 1, ...) and
-    ``shuffle_key``, in the order of a global shuffle.
+    ``shuffle_key``, in the order of a global shuffle. With ``keep_clashing``
+    the columns of ``docs`` alone, whatever their names.
 
     The rates are one row a source; Spark broadcasts them when they are small
     and otherwise joins by shuffle, splitting a hot source."""
-    names = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
+    names = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key") or keep_clashing]
     draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(STEP)).cast("int"))
     table = source_rates.select("mix_source", draws.alias("mix_draws"), cdf(F.col("rate") / draws).alias("mix_cdf"))
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(doc_id).cast("string"), F.md5(F.col(text))))
-    joined = (
-        docs.select(*names, key.alias("mix_key"))
-        .join(table, F.col("source").eqNullSafe(F.col("mix_source")))
-    )
+    whole = docs.select(F.struct(*names).alias("whole"), key.alias("mix_key"))
+    joined = whole.join(table, F.col("whole.source").eqNullSafe(F.col("mix_source")))
 
     def inverse(k: Column) -> Column:
         u = F.when(k == 1, uniform(F.col("mix_key"))).otherwise(
@@ -100,11 +101,13 @@ def replicate(docs: DataFrame, source_rates: DataFrame, seed: int = 42, doc_id:
         .where("mix_count > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("mix_count") - 1)))
     )
-    shuffled = copies.select(
-        *names, "copy", F.md5(F.concat_ws("|", F.col("mix_key"), F.lit("copy"), F.col("copy").cast("string"))).alias("shuffle_key")
-    )
-    return shuffled.repartition("shuffle_key").sortWithinPartitions("shuffle_key", doc_id, "copy")
+    place = F.md5(F.concat_ws("|", F.col("mix_key"), F.lit("copy"), F.col("copy").cast("string")))
+    dealt = copies.select("whole", "copy", place.alias("shuffle_key")).repartition("shuffle_key")
+    ordered = dealt.sortWithinPartitions("shuffle_key", f"whole.{doc_id}", "copy")
+    return ordered.select("whole.*") if keep_clashing else ordered.select("whole.*", "copy", "shuffle_key")
 
 
-def mix(docs: DataFrame, weights: dict | None = None, power: float = 0.5, ratio: float = 1.0, seed: int = 42) -> DataFrame:
-    return replicate(docs, rates(docs, weights, power, ratio), seed)
+def mix(
+    docs: DataFrame, weights: dict | None = None, power: float = 0.5, ratio: float = 1.0, seed: int = 42, keep_clashing: bool = False
+) -> DataFrame:
+    return replicate(docs, rates(docs, weights, power, ratio), seed, keep_clashing=keep_clashing)

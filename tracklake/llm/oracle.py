@@ -1,5 +1,108 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
+
+The others (classifier, BPE, sanitisation, slot map, syncmers, id files and the
+pipeline) are held against brute-force versions in tests/llm.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# Components of the links in ``link`` (a, b) over the nodes in ``node`` (id).
+_COMPONENTS = """
+reach AS (
+  SELECT id AS node, id AS seen FROM node
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) l(a, b) ON l.a = r.seen
+),
+component AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)"""
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])
+                               WHEN len(w) > 0 THEN [w] ELSE [] END) AS s
+    FROM words)
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT x.a, x.b FROM (
+    SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c
+    FROM shingle p JOIN shingle q ON p.s = q.s AND p.doc_id < q.doc_id GROUP BY ALL) x
+  JOIN size m ON m.doc_id = x.a JOIN size n ON n.doc_id = x.b
+  WHERE 100 * x.c >= 90 * (m.n + n.n - x.c)
+),
+node AS (SELECT doc_id AS id FROM documents),{_COMPONENTS}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d JOIN component c ON c.node = d.doc_id LEFT JOIN size s ON s.doc_id = d.doc_id
+"""
+
+EMBEDDING_DEDUP = f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.v) = len(q.v)
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.93
+),
+node AS (SELECT vec_id AS id FROM embeddings),{_COMPONENTS},
+degree AS (SELECT e, count(*) AS n FROM (SELECT a AS e FROM link UNION ALL SELECT b FROM link) GROUP BY e)
+SELECT v.vec_id, coalesce(g.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM embeddings v JOIN component c ON c.node = v.vec_id LEFT JOIN degree g ON g.e = v.vec_id
+"""
+
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, t, CASE t WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) r(t)
+),
+shown AS (
+  SELECT *, regexp_replace(text, '<(\\*\|)', '<\\\1', 'g') AS body,
+         regexp_replace(replace(replace(role, '\', '\b'), chr(10), '\n'), '<(\\*\|)', '<\\\1', 'g') AS head
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+# P(X <= k) of a Poisson number is summed term by term, as in the operator.
+POISSON_MIX = """
+WITH size AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
+rate AS (
+  SELECT source, w / sum(w) OVER () * (sum(n) OVER ()) / n AS rate FROM size
+),
+draw AS (
+  SELECT d.*, r.rate, md5(concat_ws('|', '42', d.doc_id::VARCHAR, md5(d.text))) AS k
+  FROM documents d JOIN rate r ON r.source IS NOT DISTINCT FROM d.source
+),
+point AS (
+  SELECT *, ('0x' || substr(k, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM draw
+),
+counted AS (
+  SELECT *, len(list_filter(range(0, 154), lambda j: list_sum(list_transform(range(0, j + 1), lambda i: exp(i * ln(rate) - rate - lgamma(i + 1)))) <= u)) AS c
+  FROM point
+),
+copies AS (SELECT *, unnest(range(0, c)) AS copy FROM counted WHERE c > 0)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+       md5(concat_ws('|', k, 'copy', copy::VARCHAR)) AS shuffle_key
+FROM copies
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_ngram_join": NGRAM_JOIN,
+    "op6_chat_format": CHAT_FORMAT,
+    "op7_poisson_mix": POISSON_MIX,
+    "op9_embedding_dedup": EMBEDDING_DEDUP,
+}

@@ -21,7 +21,7 @@ Results on odd input: a null text has no spans and stays null; spans of
 different kinds may overlap, and overlapping spans get the mark of the first;
 an entity in every document carries no information, so its terms stay; rows
 with equal doc_id and text get equal spans; null doc_ids match one another; an
-empty table gives an empty one. An input column ``spans`` is replaced.
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -157,10 +157,11 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + F.lit(1), F.length(text))))
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, name: str = "spans") -> DataFrame:
     """``docs`` with the entities and disclosing terms of ``text`` replaced,
-    and ``spans``: all spans found in the given text, by start and then kind."""
-    kept = [c for c in docs.columns if c.lower() != "spans"]
+    and a column ``name``: all spans found in the given text, by start and then
+    kind. A column of that name in ``docs`` is replaced."""
+    kept = [c for c in docs.columns if c.lower() != name.lower()]
     text = F.col("whole.text")
     whole = docs.select(F.struct(*kept).alias("whole"))
     plain = whole.where(~may_hold(text)).withColumn("spans", F.array().cast(_SPANS))
@@ -180,7 +181,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
         added, F.col("whole.doc_id").eqNullSafe(F.col("t_doc")) & (F.col("text_hash") == F.col("t_hash")), "left"
     ).select("whole", F.array_sort(F.concat("spans", F.coalesce("term_spans", F.array().cast(_SPANS)))).alias("spans"))
     out = plain.unionByName(joined)
-    return out.select(*(masked(text, F.col("spans")).alias(c) if c.lower() == "text" else F.col("whole")[c].alias(c) for c in kept), "spans")
+    return out.select(*(masked(text, F.col("spans")).alias(c) if c.lower() == "text" else F.col("whole")[c].alias(c) for c in kept), F.col("spans").alias(name))
 
 
 def listed(spans: Column) -> Column:
