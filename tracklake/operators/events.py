@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions import clip01, euclid
-from tracklake.operators.kinematics import ego_kinematics
+from tracklake.operators.kinematics import copy_accel, ego_kinematics
 from tracklake.schemas import EVENTS
 from tracklake.settings import CUT_IN, DEFAULT, EVENT_COLS, HARD_BRAKE, NEAR_MISS, Settings
 
@@ -21,17 +21,16 @@ def empty_events(spark) -> DataFrame:
 
 def hard_brakes_from_accel(ego: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Ego rows whose acceleration is below the threshold (strict), from
-    ``ego_kinematics`` (copies after the first have acceleration 0)."""
+    ``ego_kinematics``: against the object's previous row, ego or not. A copy
+    after the first has its own acceleration."""
     thr = settings.hard_brake_threshold_ms2
-    first_hit = F.col("accel_ms2") < thr
-    copy_hit = (F.col("copies") > 1) & F.lit(0.0 < thr)
-    braking = ego.where(F.col("is_ego") & (first_hit | copy_hit))
+    again = copy_accel(settings)
+    first_hit, copy_hit = F.col("accel_all") < thr, again < thr
+    braking = ego.where(F.col("is_ego") & (first_hit | F.coalesce(copy_hit, F.lit(False))))
     agg = braking.groupBy("scenario_id", "object_id").agg(
         F.min("timestep").alias("timestep_start"),
         F.max("timestep").alias("timestep_end"),
-        F.min(
-            F.least(F.when(first_hit, F.col("accel_ms2")), F.when(copy_hit, F.lit(0.0)))
-        ).alias("_min_accel"),
+        F.min(F.least(F.when(first_hit, F.col("accel_all")), F.when(copy_hit, again))).alias("_min_accel"),
     )
     return agg.select(
         "scenario_id",

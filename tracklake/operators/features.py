@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.operators.kinematics import ego_kinematics
+from tracklake.operators.kinematics import copy_accel, copy_step, ego_kinematics
 from tracklake.settings import DEFAULT, Settings
 
 
@@ -17,24 +17,39 @@ def ego_features(
 
     A scenario without an ego row has no feature row. ``max`` skips NaN, the
     path length of a single-row ego is 0.0. Rows of ``ego_kinematics`` carry
-    ``copies``: means and variance are weighted by it, and copies add an
-    acceleration of 0 and a step of 0.
+    ``copies``: mean and variance are weighted by it, and copies add their own
+    acceleration and step. The variance is put together from the built-in
+    (stable) moments of the rows with equal ``copies``, of which a scenario has
+    few, around the common mean.
     """
     ego = ego_kinematics(tracks, settings) if ego is None else ego
-    s, m, h = F.col("speed"), F.col("copies"), F.col("heading")
-    n = F.sum(m).cast("double")
-    s1 = F.sum(m * h)
-    weighted_var = F.when(
-        n > 1, F.greatest(F.lit(0.0), (F.sum(m * h * h) - s1 * s1 / n) / (n - 1))
+    s, m, h = F.col("speed"), F.col("copies").cast("double"), F.col("heading")
+    parts = ego.groupBy("scenario_id", "copies").agg(
+        (F.sum(s) * m).alias("s"),
+        (F.count(s) * m).alias("n"),
+        F.max(F.when(~F.isnan(s), s)).alias("top"),
+        F.least(F.min("accel_ms2"), F.min(copy_accel(settings))).alias("low"),
+        (F.sum("step_dist")).alias("path"),
+        (F.sum(copy_step()) * (m - 1)).alias("path_copies"),
+        (F.count(h) * m).alias("hn"),
+        F.avg(h).alias("hm"),
+        (F.var_pop(h) * F.count(h) * m).alias("h2"),
     )
-    agg = ego.groupBy("scenario_id").agg(
-        (F.sum(s * m) / n).alias("mean_speed"),
-        F.max(F.when(~F.isnan(s), s)).alias("max_speed"),
-        F.least(F.min("accel_ms2"), F.min(F.when(m > 1, F.lit(0.0)))).alias("max_decel"),
-        F.coalesce(F.sum("step_dist"), F.lit(0.0)).alias("trajectory_length"),
-        F.when(F.max(m) == 1, F.var_samp(h)).otherwise(weighted_var).alias("heading_variance"),
+    agg = parts.groupBy("scenario_id").agg(
+        (F.sum("s") / F.nullif(F.sum("n"), F.lit(0.0))).alias("mean_speed"),
+        F.max("top").alias("max_speed"),
+        F.min("low").alias("max_decel"),
+        (F.coalesce(F.sum("path"), F.lit(0.0)) + F.coalesce(F.sum("path_copies"), F.lit(0.0))).alias("trajectory_length"),
+        F.collect_list(F.when(F.col("hn") > 0, F.struct("hn", "hm", "h2"))).alias("h"),
+    )
+    total = lambda x, e: F.aggregate(x, F.lit(0.0), lambda a, p: a + e(p))
+    n = total(F.col("h"), lambda p: p["hn"])
+    agg = agg.withColumn("hn", n).withColumn("hm", total(F.col("h"), lambda p: p["hn"] * p["hm"]) / F.nullif(n, F.lit(0.0)))
+    spread = total(F.col("h"), lambda p: p["h2"] + p["hn"] * (p["hm"] - F.col("hm")) * (p["hm"] - F.col("hm")))
+    variance = F.when(F.col("hn") > 1, spread / (F.col("hn") - 1))
+    return agg.select(
+        "scenario_id", "mean_speed", "max_speed", "max_decel", "trajectory_length", variance.alias("heading_variance")
     )
-    return agg
 
 
 def agent_counts(tracks: DataFrame) -> DataFrame:

@@ -6,14 +6,18 @@ all rows, so the operators here split such groups:
 
 * ``lag_columns`` / ``running_sum``: the window runs per chunk of the order
   key (``timestep_chunk`` steps); one small per-chunk table, built with
-  partial aggregation, carries the boundary value across chunks. Exact.
-  When a min/max check shows every value in one chunk, the carry is skipped.
+  partial aggregation straight from the input, carries the boundary value
+  across chunks. Exact, and one plan whatever the values: the carry holds only
+  chunks that follow another one, so it is empty where tracks fit one chunk.
 * ``exact_rank``: row number within a group by a total order, computed from a
   range-partitioned, checkpointed sort (a hot group is spread over many
   partitions) plus per-partition offsets. Exact.
-* ``top_n_per_group``: ``row_number <= n``; for small n Spark's
-  WindowGroupLimit keeps at most n rows per group in each task before the
-  shuffle, above that ``exact_rank`` is used.
+* ``top_n_per_group``: a window over (group, salt) keeps at most n rows of
+  each salted part, then ``exact_rank`` ranks what is left, so no task holds a
+  group whatever n is.
+
+Keys are not null (the contracts check it): a null key's chunks are not
+carried over.
 """
 
 from __future__ import annotations
@@ -33,28 +37,13 @@ def _chunk_of(order_col: str, chunk: int) -> Column:
     return F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint")
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys`` where NULL matches NULL, as a window partition
-    treats a NULL key as one group. Keeps the left columns and the right
-    non-key columns."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    joined = left.join(r, on=cond, how="left")
-    return joined.select(*[left[c] for c in left.columns], *[r[c] for c in right.columns if c not in keys])
-
-
-def fits_one_chunk(df: DataFrame, order_col: str, settings: Settings = DEFAULT) -> bool:
-    """True when every order value is non-NULL and lies in chunk 0
-    (0 <= value < chunk), so no group spans two chunks and no carry across
-    chunks is needed (a NULL order value forms its own chunk).
-
-    One global aggregate of min, max and the NULL count (min/max come from
-    Parquet footers when ``spark.sql.parquet.aggregatePushdown`` is on).
-    """
-    lo, hi, nulls = df.agg(
-        F.min(order_col), F.max(order_col), F.count_if(F.col(order_col).isNull())
-    ).first()
-    return nulls == 0 and (lo is None or (lo >= 0 and hi < settings.timestep_chunk))
+def _join_carry(inner: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of the chunked rows with the few chunks that follow another
+    one. The rows already lie by (keys, chunk), so only the carry moves."""
+    on = [*keys, _CHUNK]
+    r = carry.select(*[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in carry.columns if c not in on])
+    joined = inner.join(r, on=[inner[k] == r[f"_r_{k}"] for k in on], how="left")
+    return joined.select(*[inner[c] for c in inner.columns], *[r[c] for c in carry.columns if c not in on])
 
 
 def lag_columns(
@@ -64,60 +53,51 @@ def lag_columns(
     cols: Sequence[str],
     prefix: str = "prev_",
     settings: Settings = DEFAULT,
-    one_chunk: bool = False,
+    tails_from: DataFrame | None = None,
+    among: Column | None = None,
 ) -> DataFrame:
-    """Add ``prefix + c``: the value of ``c`` on the previous row of the group.
+    """Add ``prefix + c``: the value of ``c`` on the previous row of the group,
+    or with ``among`` on the previous row for which it holds.
 
     Equal to ``lag(c) over (partition by keys order by order_col)``. The
-    window runs per (keys, chunk); the last row of every chunk (partial
-    aggregation, one row per chunk) is carried to the next non-empty chunk
-    of its group by a window over that small table. ``one_chunk=True``
-    (see ``fits_one_chunk``) states that all order values are in chunk 0, so
-    the carry is skipped.
+    window runs per (keys, chunk); the last row of every chunk is carried to
+    the next non-empty chunk of its group. ``tails_from`` may name a cheaper
+    frame with the same distinct rows to take the chunk ends from.
     """
     keys = list(keys)
     chunked = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
+    row = F.struct(*[F.col(c) for c in cols])
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
-    if one_chunk:
-        return chunked.select(
-            *[F.col(c) for c in df.columns],
-            *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols],
-        )
-    inner = chunked.select(
-        "*",
-        (F.row_number().over(w) == 1).alias("_first"),
-        *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
-    )
-    # Last row of every chunk, then the previous non-empty chunk's last row
-    # via a window over that small table. One max_by per column keeps the
-    # buffers fixed-width, so this is a hash aggregation (no sort).
-    # (Rows with a NULL order value form the NULL chunk, first in order; their
-    # order among themselves is undefined, so any of them is its last row.)
-    tails = chunked.groupBy(*keys, _CHUNK).agg(
-        *[
-            F.when(F.col(_CHUNK).isNull(), F.first(F.col(c)))
-            .otherwise(F.max_by(F.col(c), F.col(order_col)))
-            .alias(f"_tail_{c}")
-            for c in cols
-        ]
-    )
-    wc = Window.partitionBy(*keys).orderBy(_CHUNK)
-    carry = tails.select(
-        *keys,
-        _CHUNK,
-        F.lag(F.lit(True)).over(wc).alias("_has_prev"),
-        *[F.lag(f"_tail_{c}").over(wc).alias(f"_carry_{c}") for c in cols],
-    ).where(F.col("_has_prev").isNotNull())
-    joined = _join_null_safe(inner, carry, [*keys, _CHUNK])
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            F.when(F.col("_first"), F.col(f"_carry_{c}"))
-            .otherwise(F.col(f"_lag_{c}"))
-            .alias(f"{prefix}{c}")
-            for c in cols
-        ],
+    if among is None:
+        last = F.lag(row).over(w)
+    else:
+        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+        last = F.last(F.when(among, row), ignorenulls=True).over(earlier)
+    inner = chunked.select("*", last.alias("_last"))
+    # One row per chunk that has such a row: its last one, by partial
+    # aggregation of a fixed-width buffer per column (no sort).
+    source = (df if tails_from is None else tails_from).withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
+    if among is not None:
+        source = source.where(among)
+    tails = source.groupBy(*keys, _CHUNK).agg(
+        *[F.max_by(F.col(c), F.coalesce(F.col(order_col), F.lit(0))).alias(f"_tail_{c}") for c in cols]
     )
+    # A row of another chunk takes the end of the last chunk before it. The
+    # ends of all chunks of a track lie in one small window partition.
+    if among is None:
+        wc = Window.partitionBy(*keys).orderBy(_CHUNK)
+        carry = tails.select(
+            *keys, _CHUNK, F.lag(F.struct(*[F.col(f"_tail_{c}").alias(c) for c in cols])).over(wc).alias("_carry")
+        )
+    else:
+        chunks = (df if tails_from is None else tails_from).select(*keys, _chunk_of(order_col, settings.timestep_chunk).alias(_CHUNK)).distinct()
+        ends = tails.select(*keys, _CHUNK, F.struct(*[F.col(f"_tail_{c}").alias(c) for c in cols]).alias("_end"))
+        every = chunks.join(ends, on=[*keys, _CHUNK], how="left")
+        wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carry = every.select(*keys, _CHUNK, F.last("_end", ignorenulls=True).over(wc).alias("_carry"))
+    joined = _join_carry(inner, carry.where(F.col("_carry").isNotNull()), keys)
+    prev = F.coalesce(F.col("_last"), F.col("_carry"))
+    return joined.select(*[F.col(c) for c in df.columns], *[prev.getField(c).alias(f"{prefix}{c}") for c in cols])
 
 
 def running_sum(
@@ -126,14 +106,15 @@ def running_sum(
     order_col: str,
     exprs: dict[str, Column],
     settings: Settings = DEFAULT,
-    one_chunk: bool = False,
+    totals_from: tuple[DataFrame, dict[str, Column]] | None = None,
 ) -> DataFrame:
     """Add running sums (current row included) of ``exprs`` per group.
 
     Equal to ``sum(e) over (partition by keys order by order_col rows between
     unbounded preceding and current row)``; within a chunk the sum is the
-    window's, across chunks the totals of earlier chunks are added
-    (skipped when ``one_chunk``).
+    window's, across chunks the totals of earlier chunks are added.
+    ``totals_from`` may name a cheaper frame, and expressions over it, with the
+    same totals.
     """
     keys = list(keys)
     base = df.withColumn(_CHUNK, _chunk_of(order_col, settings.timestep_chunk))
@@ -142,15 +123,13 @@ def running_sum(
     w = Window.partitionBy(*keys, _CHUNK).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    if one_chunk:
-        return base.select(
-            *[F.col(c) for c in df.columns],
-            *[F.sum(f"_v_{n}").over(w).alias(n) for n in exprs],
-        )
     inner = base.select(
         "*", *[F.sum(f"_v_{n}").over(w).alias(f"_in_{n}") for n in exprs]
     )
-    totals = base.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in exprs])
+    source, parts = (df, exprs) if totals_from is None else totals_from
+    totals = source.groupBy(*keys, _chunk_of(order_col, settings.timestep_chunk).alias(_CHUNK)).agg(
+        *[F.sum(e).alias(f"_t_{n}") for n, e in parts.items()]
+    )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
@@ -158,7 +137,7 @@ def running_sum(
         F.count(F.lit(1)).over(wc).alias("_earlier"),
         *[F.sum(f"_t_{n}").over(wc).alias(f"_o_{n}") for n in exprs],
     ).where(F.col("_earlier") > 0)
-    joined = _join_null_safe(inner, offsets, [*keys, _CHUNK])
+    joined = _join_carry(inner, offsets, keys)
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
@@ -238,13 +217,13 @@ def top_n_per_group(
     n: int,
     settings: Settings = DEFAULT,
 ) -> DataFrame:
-    """Rows with ``row_number() <= n`` within each group (a total order)."""
-    if n <= settings.window_group_limit:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return (
-            df.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= n)
-            .drop("_rn")
-        )
-    ranked = exact_rank(df, group_cols, order_cols, settings=settings)
+    """Rows with ``row_number() <= n`` within each group (a total order).
+
+    The first of the n rows of a group are among the first n of its salted
+    parts; the window sees one part in a task, and the rank is distributed."""
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in group_cols]), F.lit(settings.rank_salts))
+    salted = df.withColumn("_salt", salt)
+    w = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
+    first = salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn", "_salt")
+    ranked = exact_rank(first, group_cols, order_cols, settings=settings)
     return ranked.where(F.col("_rank") <= n).drop("_rank")

@@ -31,9 +31,9 @@ class Settings:
     cut_in_distance_m: float = 5.0
     near_miss_gap_m: float = 2.0
     scenario_bucket_count: int = 32
-    target_file_size_mb: int = 100
+    target_file_size_mb: int = 100  # unused, here as in the reference
     dedup_cluster_count: int = 50
-    dedup_distance_threshold: float = 0.3
+    dedup_distance_threshold: float = 0.3  # unused, here as in the reference
     curated_max_per_event: int = 80
     curated_keep_all_rare: bool = True
     dt: float = 0.1
@@ -43,8 +43,8 @@ class Settings:
     kmeans_tol: float = 1e-4
     # k-means|| samples per partition, so the fit input is range-partitioned
     # on scenario_id into this many partitions; None: one per
-    # ``kmeans_rows_per_partition`` rows, at most the shuffle partitions. The
-    # same data and count then give the same centres.
+    # ``kmeans_rows_per_partition`` rows, whatever the session. The same data
+    # then give the same centres.
     kmeans_partitions: int | None = None
     kmeans_rows_per_partition: int = 1_000_000
     # The reference never filters on ``valid``; True drops invalid rows
@@ -58,9 +58,9 @@ class Settings:
     # Ordered per-object computations (lag, running sums) run per chunk of
     # this many timesteps, so one very long track never becomes one task.
     timestep_chunk: int = 1 << 16
-    # Top-n per group: up to this n the per-task WindowGroupLimit bounds the
-    # rows that reach one group; above it the exact distributed rank is used.
-    window_group_limit: int = 1000
+    # Top-n per group: parts of a group that are cut to n rows each before
+    # the rows left are ranked.
+    rank_salts: int = 32
     # Partitions for range-partitioned ranking; None means
     # spark.sql.shuffle.partitions.
     rank_partitions: int | None = None
@@ -71,6 +71,7 @@ class Settings:
 
 DEFAULT = Settings()
 
+# The order of the vector components, and of the event columns.
 FEATURE_COLS = (
     "mean_speed",
     "max_speed",
