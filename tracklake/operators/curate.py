@@ -62,6 +62,41 @@ def cluster_and_dedup(
     return nearest_per_cluster(clustered, n_rows, k, settings)
 
 
+def kmeans_invariants(features: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """One row that holds a fitted clustering against its rules: rows in, rows
+    allowed per cluster, clusters allowed, and whether the kept rows stay
+    within both, are the closest of their cluster, and the fit costs no more
+    than the fixed centres do."""
+    stats = scaler_stats(features).first()
+    n_rows = stats["_n"]
+    k = min(settings.dedup_cluster_count, n_rows)
+    n = max(1, n_rows // max(k, 1))
+    scaled = standardize_with(features, stats)
+    fitted = fit_centres(scaled, k, settings, n_rows=n_rows)
+    kept = cluster_and_dedup(features, settings, centres=fitted).select("scenario_id", F.lit(True).alias("kept"))
+    cost = F.sum(F.col("cluster_distance") * F.col("cluster_distance"))
+    fixed = assign_clusters(scaled, first_rows_as_centres(scaled, k)).select(cost).scalar()
+    rows = assign_clusters(scaled, fitted).join(kept, "scenario_id", "left")
+    here = F.col("kept").isNotNull()
+    per = rows.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(here).alias("kept_rows"),
+        F.max(F.when(here, F.col("cluster_distance"))).alias("farthest_kept"),
+        F.min(F.when(~here, F.col("cluster_distance"))).alias("nearest_left"),
+        cost.alias("cost"),
+    )
+    closest = F.col("nearest_left").isNull() | (F.col("farthest_kept") <= F.col("nearest_left"))
+    return per.agg(
+        F.sum("rows").alias("rows_in"),
+        F.lit(n).cast("long").alias("per_cluster"),
+        F.lit(k).cast("long").alias("k"),
+        (F.count(F.lit(1)) <= k).alias("clusters_ok"),
+        F.bool_and(F.col("kept_rows") == F.least(F.col("rows"), F.lit(n))).alias("kept_ok"),
+        F.bool_and(closest).alias("closest_ok"),
+        (F.sum("cost") <= fixed).alias("cost_ok"),
+    )
+
+
 def dedup_report(features: DataFrame, deduped: DataFrame) -> DataFrame:
     """One row: scenarios in, kept, and removed as near-duplicates."""
     n_out = deduped.select(F.count(F.lit(1))).scalar()

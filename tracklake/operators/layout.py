@@ -31,3 +31,16 @@ def bucket_range(counts: DataFrame) -> DataFrame:
         F.min("rows").alias("min_rows"),
         F.max("rows").alias("max_rows"),
     )
+
+
+def layout_summary(tracks: DataFrame) -> DataFrame:
+    """One row: rows, scenarios, buckets and the smallest and largest bucket,
+    from one aggregation (a scenario lies in one bucket)."""
+    per = tracks.groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("scenario_id").alias("scenarios"))
+    return per.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum("scenarios"), F.lit(0)).alias("scenario_count"),
+        F.count(F.lit(1)).alias("n_buckets"),
+        F.min("rows").alias("min_bucket_rows"),
+        F.max("rows").alias("max_bucket_rows"),
+    )

@@ -88,9 +88,8 @@ def fit_centres(
 
     n_parts = settings.kmeans_partitions
     if n_parts is None:
-        cap = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         n_rows = n_rows if n_rows is not None else scaled.count()
-        n_parts = max(1, min(cap, -(-n_rows // settings.kmeans_rows_per_partition)))
+        n_parts = max(1, -(-n_rows // settings.kmeans_rows_per_partition))
     data = (
         VectorAssembler(inputCols=list(Z_COLS), outputCol="_x")
         .transform(scaled.repartitionByRange(n_parts, "scenario_id").sortWithinPartitions("scenario_id"))
