@@ -4,6 +4,8 @@ statistics, ad-hoc SQL, similar scenarios)."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +31,15 @@ class Catalog:
     @classmethod
     def from_warehouse(cls, spark: SparkSession, warehouse: str, settings: Settings = DEFAULT) -> "Catalog":
         """Tracks and events always (events empty when not yet detected);
-        features, curated tracks, manifest and vectors when present."""
+        features, curated tracks, manifest and vectors when present. The
+        tables and marts are registered as temp views of ``spark``, so SQL by
+        plain name works at once; pass ``spark.newSession()`` to keep the
+        names out of a session that uses them otherwise."""
         from tracklake.plans.jobs import Warehouse
         from tracklake.sources import warehouse as src
 
         wh = Warehouse(warehouse)
-        return cls(
+        cat = cls(
             spark,
             tracks=src.read_tracks(spark, wh.tracks),
             events=src.read_events(spark, wh.events),
@@ -44,6 +49,8 @@ class Catalog:
             vectors=src.optional_table(spark, wh.vectors),
             settings=settings,
         )
+        cat.register()
+        return cat
 
     # -- views -----------------------------------------------------------
     def frames(self) -> dict[str, DataFrame]:
@@ -58,21 +65,37 @@ class Catalog:
         return {k: v for k, v in named.items() if v is not None}
 
     def register(self, prefix: str = "") -> list[str]:
-        """Register the present tables as temp views ``prefix + name``."""
-        names = []
-        for name, df in self.frames().items():
+        """Register the present tables, and the marts whose tables are
+        present, as temp views ``prefix + name``."""
+        from tracklake.plans.marts import mart_views
+
+        views = self.frames() | mart_views(self)
+        for name, df in views.items():
             df.createOrReplaceTempView(prefix + name)
-            names.append(prefix + name)
-        return names
+        return [prefix + name for name in views]
 
     def sql(self, text: str) -> DataFrame:
-        """Ad-hoc SQL. Tables are referenced as ``{tracks}``, ``{events}``...
-        (bound per call, no global view), or by plain name after
-        ``register()``."""
-        frames = self.frames()
-        if "{" in text:
-            return self.spark.sql(text, **frames)
-        return self.spark.sql(text)
+        """Ad-hoc SQL over registered names. ``{tracks}``, ``{events}``, ...
+        name the tables of this catalog whatever is registered; braces in
+        string literals, and any other braces, stay as they are."""
+        frames, views = self.frames(), {}
+
+        def name(m: re.Match) -> str:
+            table = m.group("table")
+            if table not in frames:
+                return m.group()
+            if table not in views:
+                views[table] = f"catalog_{uuid.uuid4().hex}_{table}"
+                frames[table].createOrReplaceTempView(views[table])
+            return views[table]
+
+        # A quoted part is matched first and left alone.
+        bound = re.sub(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|\{(?P<table>\w+)\}""", lambda m: name(m) if m.group("table") else m.group(), text)
+        try:
+            return self.spark.sql(bound)
+        finally:
+            for view in views.values():  # the plan is resolved by now
+                self.spark.catalog.dropTempView(view)
 
     # -- requests --------------------------------------------------------
     def list_events(self, event_type: str | None = None, limit: int = 20) -> DataFrame:

@@ -9,7 +9,9 @@ checked rows are the written rows and nothing is computed twice.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 from tracklake import sinks
 from tracklake.operators.contracts import (
     TRACK_CONTRACT,
+    ContractError,
     observed,
+    schema_problems,
     validate_events,
     validate_features,
     validate_tracks,
@@ -31,7 +35,7 @@ from tracklake.operators.curate import (
 )
 from tracklake.operators.events import detect_events
 from tracklake.operators.features import build_features, event_rate
-from tracklake.operators.layout import add_partition_key, bucket_counts, bucket_range
+from tracklake.operators.layout import add_partition_key, layout_summary
 from tracklake.operators.similar import search_similar, vector_table
 from tracklake.schemas import TRACKS
 from tracklake.session import ensure_checkpoint_dir
@@ -50,6 +54,10 @@ class Warehouse:
     def tracks(self) -> str:
         return self._p("tracks")
 
+    @property
+    def staged_tracks(self) -> str:
+        return self._p("tracks__staged")
+
     @property
     def events(self) -> str:
         return self._p("events")
@@ -75,9 +83,15 @@ class Warehouse:
         return self._p("metrics")
 
 
-def metrics_frame(spark: SparkSession, stage: str, values: dict[str, float]) -> DataFrame:
-    rows = [(stage, k, float(v) if v is not None else None) for k, v in values.items()]
-    return spark.createDataFrame(rows, "stage STRING, metric STRING, value DOUBLE")
+METRICS = "run_id STRING, recorded_at TIMESTAMP, stage STRING, metric STRING, value DOUBLE"
+
+
+def metrics_frame(spark: SparkSession, stage: str, values: dict[str, float], run_id: str | None = None) -> DataFrame:
+    """Rows of the metrics table, keyed by (run_id, stage, metric); a stage
+    run by itself is a run of its own."""
+    run, now = run_id or uuid.uuid4().hex, datetime.now(timezone.utc)
+    rows = [(run, now, stage, k, float(v) if v is not None else None) for k, v in values.items()]
+    return spark.createDataFrame(rows, METRICS)
 
 
 def stage_metrics(
@@ -126,32 +140,32 @@ def stage_metrics(
     return out
 
 
-def ingest(spark: SparkSession, raw_dir: str, wh: Warehouse, settings: Settings = DEFAULT) -> dict:
-    """Raw shards -> contract check -> bucket key -> partitioned tracks."""
+def ingest(
+    spark: SparkSession, raw_dir: str, wh: Warehouse, settings: Settings = DEFAULT, run_id: str | None = None
+) -> dict:
+    """Raw shards -> contract check -> bucket key -> partitioned tracks.
+
+    With ``validate_while_writing`` the tracks are written to a folder beside
+    the table, which they replace only after the check."""
     raw = src.read_raw_shards(spark, raw_dir)
+    if problems := schema_problems(raw, TRACK_CONTRACT):
+        raise ContractError(TRACK_CONTRACT.name, problems)
+    tracks = add_partition_key(raw.select(*TRACKS.fieldNames()), settings)
     if settings.validate_while_writing:
-        checked, check = observed(raw, TRACK_CONTRACT)
-        sinks.write_tracks(add_partition_key(checked.select(*TRACKS.fieldNames()), settings), wh.tracks)
+        # Counted behind the range shuffle: its sampling reads the rows as well.
+        checked, check = observed(sinks.ordered_tracks(tracks), TRACK_CONTRACT)
+        sinks.write_ordered_tracks(checked, wh.staged_tracks)
         check()
+        sinks.replace_folder(spark, wh.staged_tracks, wh.tracks)
     else:
         validate_tracks(raw)
-        sinks.write_tracks(add_partition_key(raw.select(*TRACKS.fieldNames()), settings), wh.tracks)
-    tracks = src.read_tracks(spark, wh.tracks)
-    counts = bucket_counts(tracks)
-    r = bucket_range(counts).first()
-    total = tracks.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("scenario_id").alias("s")).first()
-    m = {
-        "row_count": total["n"],
-        "scenario_count": total["s"],
-        "n_buckets": r["n_buckets"],
-        "min_bucket_rows": r["min_rows"],
-        "max_bucket_rows": r["max_rows"],
-    }
-    sinks.write_metrics(metrics_frame(spark, "tracks", m), wh.metrics)
+        sinks.write_tracks(tracks, wh.tracks)
+    m = layout_summary(src.read_tracks(spark, wh.tracks)).first().asDict()
+    sinks.write_metrics(metrics_frame(spark, "tracks", m, run_id), wh.metrics)
     return m
 
 
-def detect(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) -> dict:
+def detect(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, run_id: str | None = None) -> dict:
     """Tracks -> hard brakes, cut-ins, near misses -> contract -> events."""
     ensure_checkpoint_dir(spark)
     tracks = src.read_tracks(spark, wh.tracks)
@@ -160,11 +174,11 @@ def detect(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) ->
     sinks.write_events(events, wh.events)
     by_type = {r["event_type"]: r["n"] for r in events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).collect()}
     m = {"event_count": sum(by_type.values()), **{f"{k.lower()}_count": v for k, v in by_type.items()}}
-    sinks.write_metrics(metrics_frame(spark, "events", m), wh.metrics)
+    sinks.write_metrics(metrics_frame(spark, "events", m, run_id), wh.metrics)
     return m
 
 
-def featurize(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) -> dict:
+def featurize(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, run_id: str | None = None) -> dict:
     """Tracks + events -> one feature row per scenario -> contract -> features."""
     ensure_checkpoint_dir(spark)
     tracks = src.read_tracks(spark, wh.tracks)
@@ -174,17 +188,24 @@ def featurize(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT)
     sinks.write_features(features, wh.features)
     rate = event_rate(features).first()["event_rate"]
     m = {"feature_count": features.count(), "event_rate": rate}
-    sinks.write_metrics(metrics_frame(spark, "features", m), wh.metrics)
+    sinks.write_metrics(metrics_frame(spark, "features", m, run_id), wh.metrics)
     return m
 
 
-def curate(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) -> dict:
+def curate(
+    spark: SparkSession,
+    wh: Warehouse,
+    settings: Settings = DEFAULT,
+    run_id: str | None = None,
+    fixed_centres: bool = False,
+    round_dp: int | None = None,
+) -> dict:
     """Features -> k-means dedup -> stratified sample -> curated tracks and
-    manifest."""
+    manifest. ``fixed_centres`` and ``round_dp`` as in ``cluster_and_dedup``."""
     ensure_checkpoint_dir(spark)
     features = src.read_features(spark, wh.features)
     events = src.read_events(spark, wh.events)
-    deduped = cluster_and_dedup(features, settings).checkpoint(eager=True)
+    deduped = cluster_and_dedup(features, settings, fixed_centres=fixed_centres, round_dp=round_dp).checkpoint(eager=True)
     report = dedup_report(features, deduped).first()
     curated = stratified_sample(deduped, events, settings).checkpoint(eager=True)
     tracks = src.read_tracks(spark, wh.tracks)
@@ -198,11 +219,13 @@ def curate(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT) ->
         "yield": y["yield"],
         "curated_track_rows": src.read_table(spark, wh.curated).count(),
     }
-    sinks.write_metrics(metrics_frame(spark, "curated", m), wh.metrics)
+    sinks.write_metrics(metrics_frame(spark, "curated", m, run_id), wh.metrics)
     return m
 
 
-def embed(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, probe_k: int = 5) -> dict:
+def embed(
+    spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, probe_k: int = 5, run_id: str | None = None
+) -> dict:
     """Features + events -> unit vectors -> vector table; one probe search."""
     features = src.read_features(spark, wh.features)
     events = src.read_events(spark, wh.events)
@@ -212,17 +235,18 @@ def embed(spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, prob
     probe_id = vectors.agg(F.min("scenario_id")).first()[0]
     if probe_id is not None:
         m["probe_neighbours"] = len(search_similar(vectors, probe_id, probe_k).collect())
-    sinks.write_metrics(metrics_frame(spark, "embeddings", m), wh.metrics)
+    sinks.write_metrics(metrics_frame(spark, "embeddings", m, run_id), wh.metrics)
     return m
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, warehouse: str, settings: Settings = DEFAULT) -> dict:
-    """All stages in order, starting from given raw shards."""
-    wh = Warehouse(warehouse)
+    """All stages in order, starting from given raw shards; their metrics
+    share one run id."""
+    wh, run_id = Warehouse(warehouse), uuid.uuid4().hex
     return {
-        "tracks": ingest(spark, raw_dir, wh, settings),
-        "events": detect(spark, wh, settings),
-        "features": featurize(spark, wh, settings),
-        "curated": curate(spark, wh, settings),
-        "embeddings": embed(spark, wh, settings),
+        "tracks": ingest(spark, raw_dir, wh, settings, run_id),
+        "events": detect(spark, wh, settings, run_id),
+        "features": featurize(spark, wh, settings, run_id),
+        "curated": curate(spark, wh, settings, run_id),
+        "embeddings": embed(spark, wh, settings, run_id=run_id),
     }

@@ -39,16 +39,28 @@ def mart_severity_distribution(cat: Catalog) -> DataFrame:
     return _severity_hist(cat, "severity_bucket")
 
 
+def _agents(cat: Catalog) -> DataFrame:
+    """Rows and summed speed of each agent, by partial aggregation."""
+    agents = cat.tracks.where(~F.col("is_ego"))
+    return agents.groupBy("object_type", "object_id").agg(F.sum(speed()).alias("speeds"), F.count(speed()).alias("rows"))
+
+
+def _agent_totals(cat: Catalog, name: str) -> DataFrame:
+    return _agents(cat).groupBy("object_type").agg(
+        F.count("object_id").alias(name), F.round(F.sum("speeds") / F.sum("rows"), 2).alias("avg_speed")
+    )
+
+
 def mart_agent_types(cat: Catalog) -> DataFrame:
-    return (
-        cat.tracks.where(~F.col("is_ego"))
-        .groupBy("object_type")
-        .agg(
-            F.countDistinct("object_id").alias("unique_agents"),
-            F.countDistinct("scenario_id").alias("scenarios_present"),
-            F.round(F.avg(speed()), 2).alias("avg_speed"),
-        )
-        .orderBy(F.col("unique_agents").desc(), F.col("object_type").asc())
+    """Agents and scenarios are counted over one row each, in two branches
+    joined on the type: two distinct counts in one aggregation would expand
+    every row."""
+    seen = cat.tracks.where(~F.col("is_ego")).select("object_type", "scenario_id").distinct()
+    scenarios = seen.groupBy("object_type").agg(F.count("scenario_id").alias("scenarios_present"))
+    scenarios = scenarios.withColumnRenamed("object_type", "_type")
+    both = _agent_totals(cat, "unique_agents").join(scenarios, F.col("object_type").eqNullSafe(F.col("_type")))
+    return both.select("object_type", "unique_agents", "scenarios_present", "avg_speed").orderBy(
+        F.col("unique_agents").desc(), F.col("object_type").asc()
     )
 
 
@@ -106,15 +118,7 @@ def panel_severity(cat: Catalog) -> DataFrame:
 
 
 def panel_agents(cat: Catalog) -> DataFrame:
-    return (
-        cat.tracks.where(~F.col("is_ego"))
-        .groupBy("object_type")
-        .agg(
-            F.countDistinct("object_id").alias("agents"),
-            F.round(F.avg(speed()), 2).alias("avg_speed"),
-        )
-        .orderBy(F.col("agents").desc(), F.col("object_type").asc())
-    )
+    return _agent_totals(cat, "agents").orderBy(F.col("agents").desc(), F.col("object_type").asc())
 
 
 def panel_yield(cat: Catalog) -> DataFrame:
@@ -134,3 +138,16 @@ DEFAULT_ADHOC = "SELECT event_type, COUNT(*) AS n FROM {events} GROUP BY event_t
 
 def panel_default_query(cat: Catalog) -> DataFrame:
     return cat.sql(DEFAULT_ADHOC)
+
+
+def mart_views(cat: Catalog) -> dict[str, DataFrame]:
+    """The marts whose tables the catalog has, by view name."""
+    views = {
+        "mart_event_frequency": mart_event_frequency(cat),
+        "mart_severity_distribution": mart_severity_distribution(cat),
+        "mart_agent_types": mart_agent_types(cat),
+        "mart_scenario_complexity": mart_scenario_complexity(cat),
+    }
+    if cat.features is not None and cat.curated_manifest is not None:
+        views["mart_data_engine_yield"] = mart_data_engine_yield(cat)
+    return views

@@ -10,6 +10,7 @@ ties on the nice decimal values of the fixture.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -24,11 +25,13 @@ from tracklake.operators import kinematics as kin
 from tracklake.operators import similar as sim
 from tracklake.operators import space as sp
 from tracklake.operators.layout import add_partition_key, bucket_counts, bucket_range
-from tracklake.plans import marts
+from tracklake import sinks
+from tracklake.plans import jobs, marts
 from tracklake.plans.catalog import Catalog
-from tracklake.plans.jobs import stage_metrics
+from tracklake.plans.jobs import Warehouse, stage_metrics
 from tracklake.session import ensure_checkpoint_dir
 from tracklake.settings import CUT_IN
+from tracklake.sources import warehouse as src
 from tracklake.sources.fixture import fixture_tracks, plant_bad_tracks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +109,7 @@ def q_tracks(spark, sf_dir):
 
 
 def q_speed_accel(spark, sf_dir):
-    return kin.speed_accel(_tracks(spark, sf_dir)).select(
+    return kin.speed_accel(_tracks(spark, sf_dir), columns=()).select(
         "scenario_id", "object_id", "timestep", "speed", "accel_ms2"
     )
 
@@ -116,7 +119,7 @@ def q_step_distance(spark, sf_dir):
 
 
 def q_integrate_positions(spark, sf_dir):
-    return kin.integrate_positions(_tracks(spark, sf_dir)).select(
+    return kin.integrate_positions(_tracks(spark, sf_dir), columns=()).select(
         "scenario_id", "object_id", "timestep", _r("x_integrated"), _r("y_integrated")
     )
 
@@ -364,6 +367,89 @@ def q_panel_yield(spark, sf_dir):
     return marts.panel_yield(_catalog(spark, sf_dir, ("tracks", "curated_manifest"))).select("raw", "curated", _r("yield_pct"))
 
 
+def q_kmeans_invariants(spark, sf_dir):
+    return cu.kmeans_invariants(Stages(spark, sf_dir, materialize=True).features)
+
+
+def q_adhoc_sql_by_name(spark, sf_dir):
+    """SQL by plain table name, in a session of its own so that the names of
+    the caller's session stay."""
+    cat = _catalog(spark.newSession(), sf_dir)
+    cat.register()
+    return cat.sql("SELECT event_type, COUNT(*) AS n, 'one {brace}' AS note FROM events GROUP BY event_type")
+
+
+def q_sql_over_mart_view(spark, sf_dir):
+    cat = _catalog(spark.newSession(), sf_dir)
+    cat.register()
+    return cat.sql(
+        "SELECT f.event_type, f.event_count, SUM(s.count) AS binned FROM mart_event_frequency f"
+        " JOIN mart_severity_distribution s ON s.event_type = f.event_type GROUP BY f.event_type, f.event_count"
+    )
+
+
+# -- the stored pipeline ------------------------------------------------------
+
+
+def _stored(spark, sf_dir, *stages: str) -> Warehouse:
+    """A new warehouse in the shared folder: the fixture as raw shards, then
+    the batch jobs named, in order."""
+    root = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    wh = Warehouse(f"{root}/warehouse")
+    sinks.write_raw(_tracks(spark, sf_dir), f"{root}/raw")
+    jobs.ingest(spark, f"{root}/raw", wh)
+    for stage in stages:
+        if stage == "curate":
+            jobs.curate(spark, wh, fixed_centres=True, round_dp=9)
+        else:
+            getattr(jobs, stage)(spark, wh)
+    return wh
+
+
+def q_stored_tracks(spark, sf_dir):
+    return src.read_tracks(spark, _stored(spark, sf_dir).tracks)
+
+
+def q_stored_events(spark, sf_dir):
+    return src.read_events(spark, _stored(spark, sf_dir, "detect").events)
+
+
+def q_stored_features(spark, sf_dir):
+    f = src.read_features(spark, _stored(spark, sf_dir, "detect", "featurize").features)
+    return f.select("scenario_id", *[_r(c) for c in FEATURE_OUT], "n_agents", "has_event")
+
+
+def q_stored_curated_tracks(spark, sf_dir):
+    wh = _stored(spark, sf_dir, "detect", "featurize", "curate")
+    return src.read_table(spark, wh.curated)
+
+
+def q_stored_vectors(spark, sf_dir):
+    v = src.read_vectors(spark, _stored(spark, sf_dir, "detect", "featurize", "embed").vectors)
+    return v.select(
+        "scenario_id", *_vector_cols(v), *[_r(c) for c in FEATURE_OUT], "n_agents", "has_event", "event_types"
+    )
+
+
+def q_stored_scenario_detail(spark, sf_dir):
+    wh = _stored(spark, sf_dir)
+    return Catalog.from_warehouse(spark.newSession(), wh.root).request("scenario", scenario_id=DETAIL_OF)
+
+
+def q_stored_similar(spark, sf_dir):
+    wh = _stored(spark, sf_dir, "detect", "featurize", "embed")
+    near = Catalog.from_warehouse(spark.newSession(), wh.root).request("similar", scenario_id=SIMILAR_TO, limit=5)
+    return near.select("scenario_id", "event_types", _r("mean_speed"), _r("max_decel"), _r("_distance"))
+
+
+def q_stored_metrics(spark, sf_dir):
+    """The metrics that the jobs of one run wrote."""
+    wh = _stored(spark, sf_dir, "detect", "featurize", "curate", "embed")
+    wanted = ("row_count", "scenario_count", "event_count", "feature_count", "event_rate", "curated_scenarios", "indexed_scenarios")
+    m = src.read_table(spark, wh.metrics).where(F.col("metric").isin(*wanted))
+    return m.select("stage", "metric", _r("value"))
+
+
 # -- contracts --------------------------------------------------------------
 
 
@@ -436,6 +522,17 @@ QUERIES: dict[str, Query] = {
     "panel_severity": _mart(marts.panel_severity),
     "panel_agents": _mart(marts.panel_agents, ("tracks",)),
     "panel_yield": q_panel_yield,
+    "kmeans_invariants": q_kmeans_invariants,
+    "adhoc_sql_by_name": q_adhoc_sql_by_name,
+    "sql_over_mart_view": q_sql_over_mart_view,
+    "stored_tracks": q_stored_tracks,
+    "stored_events": q_stored_events,
+    "stored_features": q_stored_features,
+    "stored_curated_tracks": q_stored_curated_tracks,
+    "stored_vectors": q_stored_vectors,
+    "stored_scenario_detail": q_stored_scenario_detail,
+    "stored_similar": q_stored_similar,
+    "stored_metrics": q_stored_metrics,
     "violations_tracks": q_violations_tracks,
     "violations_events": q_violations_events,
     "violations_features": q_violations_features,

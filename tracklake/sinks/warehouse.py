@@ -1,6 +1,9 @@
 """Writers of the warehouse tables (full static overwrite).
 
-Partitioned writes use the REBALANCE hint: AQE splits a partition that is too
+Tracks are range-partitioned on (bucket, scenario, object, timestep): files of
+a bucket hold disjoint id ranges, so a lookup opens one or two of them, and a
+hot bucket, scenario or object is cut into as many ranges as it needs. The
+other partitioned write uses the REBALANCE hint: AQE splits a partition that is too
 large (a hot bucket or event type) and merges small ones, so files stay near
 the advisory size whatever the key skew, with no task holding a whole hot
 key. Rows are sorted within each file by (scenario, object, timestep), which
@@ -9,7 +12,7 @@ keeps row-group statistics tight for id lookups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tracklake.schemas import BUCKET_COL
 from tracklake.settings import EVENT_COLS
@@ -22,15 +25,30 @@ def write_raw(df: DataFrame, out_dir: str) -> None:
     df.write.mode("overwrite").parquet(out_dir)
 
 
+def ordered_tracks(df: DataFrame) -> DataFrame:
+    """Tracks as they are stored: ranges of (bucket, ids), sorted."""
+    return df.repartitionByRange(BUCKET_COL, *_TRACK_ORDER).sortWithinPartitions(BUCKET_COL, *_TRACK_ORDER)
+
+
+def write_ordered_tracks(ordered: DataFrame, out_dir: str) -> None:
+    ordered.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out_dir)
+
+
 def write_tracks(df: DataFrame, out_dir: str) -> None:
     """Tracks partitioned by ``scenario_bucket``."""
-    (
-        df.hint("rebalance", BUCKET_COL)
-        .sortWithinPartitions(BUCKET_COL, *_TRACK_ORDER)
-        .write.mode("overwrite")
-        .partitionBy(BUCKET_COL)
-        .parquet(out_dir)
-    )
+    write_ordered_tracks(ordered_tracks(df), out_dir)
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a staged folder in the place of ``target`` through the file system
+    Spark uses for it: the old one goes only when the new one is whole."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    new, old = path(staged), path(target)
+    fs = old.getFileSystem(conf)
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {staged} to {target}")
 
 
 def write_events(events: DataFrame, out_dir: str) -> None:
@@ -64,5 +82,5 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Stage metrics are appended, one row per (run, stage, metric)."""
+    """Stage metrics are appended, one row per (run_id, stage, metric)."""
     metrics.coalesce(1).write.mode("append").parquet(path)
