@@ -13,12 +13,12 @@ from tracklake.schemas import EVENTS, FEATURES, TRACKS
 def test_valid_tracks_and_event_pass(spark):
     t = frame(spark, [row("s", 0, "s_ego", ego=True), row("s", 1, "s_ego", ego=True)])
     ct.validate_tracks(t)
-    e = spark.createDataFrame([("sc_00000", "sc_00000_ego", "HARD_BRAKE", 10, 15, 0.8)], EVENTS)
+    e = spark.createDataFrame([("sc_00717", "sc_00717_ego", "NEAR_MISS", 3, 41, 0.35)], EVENTS)
     ct.validate_events(e)
 
 
 def test_bad_event_type_rejected(spark):
-    e = spark.createDataFrame([("sc_00000", "sc_00000_ego", "INVALID_TYPE", 10, 15, 0.8)], EVENTS)
+    e = spark.createDataFrame([("sc_00717", "sc_00717_ego", "SWERVE", 3, 41, 0.35)], EVENTS)
     with pytest.raises(ct.ContractError) as ex:
         ct.validate_events(e)
     assert ex.value.failures == [("events", "event_type", "in (HARD_BRAKE,CUT_IN,NEAR_MISS)", 1)]

@@ -19,11 +19,58 @@ def events_of(df):
 
 
 def test_hard_brake_found(spark):
-    speeds = [20.0 if t < 10 else max(0.0, 20.0 - (t - 10) * 5.0) for t in range(20)]
-    ev = detect_hard_brakes(frame(spark, ego_track("test", speeds)))
-    assert events_of(ev) == [("HARD_BRAKE", "test_ego", 11, 14, 1.0)]
-    acc = speed_accel(frame(spark, ego_track("test", speeds)))
-    assert min(r.accel_ms2 for r in acc.collect() if r.accel_ms2 is not None) == -50.0
+    # 12 m/s for four steps, then 11.5, 9, 9, 6.2 m/s: accelerations -5, -25, 0, -28
+    speeds = [12.0, 12.0, 12.0, 12.0, 11.5, 9.0, 9.0, 6.2]
+    ev = detect_hard_brakes(frame(spark, ego_track("fast", speeds)))
+    assert events_of(ev) == [("HARD_BRAKE", "fast_ego", 4, 7, 1.0)]
+    acc = speed_accel(frame(spark, ego_track("fast", speeds)))
+    low = min(r.accel_ms2 for r in acc.collect() if r.accel_ms2 is not None)
+    assert round(low, 9) == -28.0
+
+
+def test_hard_brake_where_the_ego_flag_changes(spark):
+    """The row before counts, ego or not; the event needs an ego row."""
+    rows = [
+        row("m", 0, "m_obj", vx=20.0), row("m", 1, "m_obj", ego=True, vx=10.0), row("m", 2, "m_obj", ego=True, vx=10.0),
+        row("m", 3, "m_obj", vx=2.0), row("m", 4, "m_obj", ego=True, vx=2.0),
+    ]
+    assert events_of(detect_hard_brakes(frame(spark, rows))) == [("HARD_BRAKE", "m_obj", 1, 1, 1.0)]
+    from tracklake.operators.features import ego_features
+    from tracklake.settings import DEFAULT
+
+    for s in (DEFAULT, DEFAULT.with_(timestep_chunk=1)):
+        assert detect_hard_brakes(frame(spark, rows), s).count() == 1
+        # features go from ego row to ego row: 10, 10, 2 m/s
+        assert ego_features(frame(spark, rows), s).first().max_decel == -80.0
+
+
+def test_copies_of_odd_speeds(spark):
+    """The difference of a NaN, infinite or NULL speed to itself is no 0."""
+    import math
+
+    from tracklake.operators.features import ego_features
+
+    for odd, want in ((float("nan"), True), (float("inf"), True), (None, None)):
+        base = list(row("n", 1, "n_ego", ego=True, vx=0.0))
+        base[9] = odd
+        t = frame(spark, [row("n", 0, "n_ego", ego=True, vx=1.0), tuple(base), tuple(base)])
+        got = [r.accel_ms2 for r in speed_accel(t).collect() if r.timestep == 1]
+        assert len(got) == 2 and all((a is None) if want is None else math.isnan(a) or math.isinf(a) for a in got)
+        assert 0.0 not in got
+        assert ego_features(t).first().max_decel != 0.0
+
+
+def test_a_million_copies_of_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from tracklake.operators.kinematics import integrate_positions
+
+    one = frame(spark, [row("c", 1, "c_ego", ego=True, vx=2.0, vy=1.0)])
+    many = one.crossJoin(spark.range(1_000_000).select()).union(frame(spark, [row("c", 0, "c_ego", ego=True, vx=1.0)]))
+    acc = speed_accel(many, columns=()).agg(F.count("*"), F.max("accel_ms2"), F.count_if(F.col("accel_ms2") == 0)).first()
+    assert acc[0] == 1_000_001 and acc[1] > 12 and acc[2] == 999_999
+    last = integrate_positions(many, columns=()).agg(F.max("x_integrated"), F.max("y_integrated")).first()
+    assert abs(last[0] - 200_000.1) < 1e-3 and abs(last[1] - 100_000) < 1e-3
 
 
 def test_no_false_positive(spark):
@@ -103,9 +150,20 @@ def test_fixture_event_counts(spark):
     from tracklake.sources.fixture import fixture_tracks
 
     t = fixture_tracks(spark, SF01)
-    assert t.count() == 8950
+    assert t.count() == 10_000
     counts = {r.event_type: r["count"] for r in detect_events(t).groupBy("event_type").count().collect()}
-    assert counts == {"HARD_BRAKE": 15, "CUT_IN": 51, "NEAR_MISS": 28}
+    assert counts == {"HARD_BRAKE": 22, "CUT_IN": 48, "NEAR_MISS": 27}
+
+
+def test_fixture_keeps_every_row_and_whole_ids(spark):
+    from pyspark.sql import functions as F
+
+    from tracklake.sources.fixture import derive_tracks
+
+    source = spark.range(9_999_950, 10_000_450).select(F.col("id").alias("event_id"), F.lit(12.5).alias("value"))
+    t = derive_tracks(source)
+    ids = {r.scenario_id for r in t.select("scenario_id").distinct().collect()}
+    assert t.count() == 500 and ids == {"sc_99999", *(f"sc_{i}" for i in range(100_000, 100_005))}
 
 
 def test_per_row_operators_with_copies(spark):

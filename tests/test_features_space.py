@@ -213,3 +213,27 @@ def test_copies_collapse_exactly(spark):
     from tracklake.operators.kinematics import step_distance
 
     assert step_distance(tracks).count() == len(rows)
+
+
+def test_variance_of_close_headings_with_copies(spark):
+    """Repeats must not cost accuracy: the spread is 1e-8 of the value."""
+    import statistics
+    from fractions import Fraction
+
+    h = [3.0 + i * 1e-8 for i in range(20)] + [3.0 + 4e-8] * 3
+    rows = [row("v", min(i, 4 if i >= 20 else i), "v_ego", ego=True, heading=x) for i, x in enumerate(h)]
+    rows = rows[:20] + [rows[4]] * 3
+    want = float(statistics.variance([Fraction(r[8]) for r in rows]))
+    assert ft.ego_features(frame(spark, rows)).first().heading_variance == pytest.approx(want, rel=1e-6)
+
+
+def test_fit_does_not_follow_the_session(spark):
+    feats = _features(spark, 300).cache()
+    before, kept = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            kept.append(sorted(r.scenario_id for r in cu.cluster_and_dedup(feats).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert kept[0] == kept[1]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from conftest import SF001
+from conftest import SF01, SF001
 
 from tracklake.plans.catalog import Catalog
 from tracklake.plans.jobs import Warehouse, run_pipeline
@@ -28,7 +28,7 @@ def test_full_pipeline(spark, tmpdir_path):
     raw = os.path.join(tmpdir_path, "raw")
     write_raw(fixture_tracks(spark, SF001), raw)
     m = run_pipeline(spark, raw, os.path.join(tmpdir_path, "wh"))
-    assert m["tracks"]["row_count"] == 875
+    assert m["tracks"]["row_count"] == 1000
     assert m["tracks"]["scenario_count"] == 10
     assert m["events"]["event_count"] == 10
     assert m["events"]["hard_brake_count"] == 2
@@ -46,6 +46,7 @@ def test_full_pipeline(spark, tmpdir_path):
     assert per.where(F.col("n") > 1).count() == 0
     metrics = src.read_table(spark, wh.metrics)
     assert metrics.select("stage").distinct().count() == 5
+    assert metrics.select("run_id").distinct().count() == 1
 
     cat = Catalog(
         spark,
@@ -62,6 +63,11 @@ def test_full_pipeline(spark, tmpdir_path):
     assert detail.count() == 4
     sim = cat.similar("sc_00003", 3).collect()
     assert len(sim) == 3
+    # a second run replaces the tables and adds its metrics
+    run_pipeline(spark, raw, os.path.join(tmpdir_path, "wh"))
+    metrics = src.read_table(spark, wh.metrics)
+    assert metrics.select("run_id").distinct().count() == 2
+    assert metrics.groupBy("run_id", "stage", "metric").count().where("count > 1").count() == 0
 
 
 def test_column_pruning_on_events_scan(spark, tmpdir_path):
@@ -101,6 +107,24 @@ def test_valid_only_setting(spark):
     assert valid_ev <= all_ev and all_ev == 10
 
 
+def test_valid_only_with_a_shared_ego(spark):
+    """A shared ego frame drops invalid rows as the rest does."""
+    from helpers import ego_track, frame
+    from tracklake.operators.events import detect_events
+    from tracklake.operators.features import build_features
+    from tracklake.operators.kinematics import ego_kinematics
+    from tracklake.settings import DEFAULT
+
+    rows = ego_track("v", [20.0, 20.0, 5.0, 20.0])
+    rows[2] = (*rows[2][:-1], False)
+    t, s = frame(spark, rows), DEFAULT.with_(valid_only=True)
+    assert detect_events(t).count() == 1
+    ego = ego_kinematics(t, s)
+    assert detect_events(t, s).count() == detect_events(t, s, ego=ego).count() == 0
+    none = detect_events(t, s)
+    assert build_features(t, none, s).collect() == build_features(t, none, s, ego=ego).collect()
+
+
 def test_curated_tracks_prune_bucket_folders(spark, tmpdir_path):
     """Curated tracks on the bucketed table read only the buckets of the
     curated ids (a partition filter on the scan)."""
@@ -130,7 +154,7 @@ def test_ingest_validating_while_writing(spark, tmpdir_path):
     good = os.path.join(tmpdir_path, "good")
     write_raw(fixture_tracks(spark, SF001), good)
     m = ingest(spark, good, Warehouse(os.path.join(tmpdir_path, "wh1")), one_pass)
-    assert m["row_count"] == 875
+    assert m["row_count"] == 1000
     bad = os.path.join(tmpdir_path, "bad")
     write_raw(plant_bad_tracks(fixture_tracks(spark, SF001)), bad)
     with pytest.raises(ContractError) as ex:
@@ -138,10 +162,48 @@ def test_ingest_validating_while_writing(spark, tmpdir_path):
     got = {(c, k): n for _, c, k, n in ex.value.failures}
     assert got == {
         ("object_type", "in (VEHICLE,PEDESTRIAN,CYCLIST)"): 6,
-        ("heading", "<= 4.0"): 35,
-        ("length_m", "> 0.0"): 10,
+        ("heading", "<= 4.0"): 33,
+        ("length_m", "> 0.0"): 9,
     }
+    # a good table survives a bad load, and nothing is left beside it
+    with pytest.raises(ContractError):
+        ingest(spark, bad, Warehouse(os.path.join(tmpdir_path, "wh1")), one_pass)
+    assert src.read_tracks(spark, os.path.join(tmpdir_path, "wh1", "tracks")).where("object_type = 'TRUCK'").count() == 0
+    m = ingest(spark, good, Warehouse(os.path.join(tmpdir_path, "wh1")), one_pass)
+    assert m["row_count"] == 1000 and not os.path.exists(os.path.join(tmpdir_path, "wh1", "tracks__staged"))
     # the default validates before writing: nothing lands for bad input
     with pytest.raises(ContractError):
         ingest(spark, bad, Warehouse(os.path.join(tmpdir_path, "wh3")))
     assert not os.path.exists(os.path.join(tmpdir_path, "wh3", "tracks"))
+
+
+def test_track_files_of_a_bucket_hold_disjoint_ids(spark, tmpdir_path):
+    from tracklake.operators.layout import add_partition_key
+    from tracklake.sinks import write_tracks
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_tracks(add_partition_key(fixture_tracks(spark, SF01)), tmpdir_path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    t = src.read_tracks(spark, tmpdir_path).withColumn("f", F.input_file_name())
+    spans = t.groupBy("scenario_bucket", "f").agg(F.min("scenario_id").alias("a"), F.max("scenario_id").alias("b")).collect()
+    for x in spans:
+        for y in spans:
+            if x.f < y.f and x.scenario_bucket == y.scenario_bucket:
+                assert x.b <= y.a or y.b <= x.a
+    assert len(spans) > 32
+
+
+def test_sql_by_name_on_a_warehouse(spark, tmpdir_path):
+    raw = os.path.join(tmpdir_path, "raw")
+    write_raw(fixture_tracks(spark, SF001), raw)
+    run_pipeline(spark, raw, os.path.join(tmpdir_path, "wh"))
+    cat = Catalog.from_warehouse(spark.newSession(), os.path.join(tmpdir_path, "wh"))
+    n = cat.request("sql", text="SELECT count(*) AS n, '{events} {x' AS note FROM events").first()
+    assert (n.n, n.note) == (10, "{events} {x")
+    assert cat.sql("SELECT count(*) AS n, \"it's {tracks}\" AS t FROM {tracks}").first().asDict() == {"n": 1000, "t": "it's {tracks}"}
+    for mart in ("event_frequency", "severity_distribution", "agent_types", "data_engine_yield", "scenario_complexity"):
+        assert cat.sql(f"SELECT * FROM mart_{mart}").count() > 0, mart
+    assert not spark.newSession().catalog.tableExists("mart_event_frequency")

@@ -9,7 +9,8 @@ from conftest import SF001
 
 import __spark_entry__ as E
 
-QUERIES = E.queries()
+from tracklake.plans.suite import QUERIES  # noqa: E402 - tests/llm has its own
+
 ORACLE = E.oracle_sql()
 
 
