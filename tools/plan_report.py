@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tracklake.plans.suite import QUERIES  # noqa: E402
 from tracklake.session import local_session  # noqa: E402
 
 
@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = final_plan(fn(spark, sf_dir))
         rows.append(
             (
