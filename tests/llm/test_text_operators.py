@@ -62,7 +62,10 @@ def test_bpe_odd_rows(spark, byte_bpe):
     for r in out.collect():
         assert r["ids"] == byte_bpe.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["back"] == (r["text"] or "")
+    both = bpe.round_trip(odd_docs(spark), path, back="back")
+    assert both.columns == out.columns and sorted(both.collect(), key=str) == sorted(out.collect(), key=str)
     empty = spark.createDataFrame([], "doc_id long, text string")
+    assert bpe.round_trip(empty, path, digest="d").count() == 0
     assert bpe.decode(bpe.encode(empty, path), path).count() == 0
     nulls = spark.createDataFrame([(None,), ([1, None, 10**6],)], "ids array<int>")
     assert [r["text"] for r in bpe.decode(nulls, path).collect()] == ["", byte_bpe.decode([1])]

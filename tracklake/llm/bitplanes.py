@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.llm.common import clean_text, find_package_on_workers
+from tracklake.llm.common import clean_text, clear_others, find_package_on_workers, may_clear
 
 MAGIC = b"TLPLANE1"
 #: Ids in a block, and ids after which a file ends (at the next document).
@@ -223,6 +223,9 @@ def pieces(path: str) -> _Pieces:
     return _Pieces(path)
 
 
+may_clear("id files", pieces.cache_clear)
+
+
 def write(
     docs: DataFrame,
     tokenizer: str,
@@ -245,6 +248,7 @@ def write(
     ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_others("id files")
         task, memo = TaskContext.get(), pieces(tokenizer)
         part, number, out, made = task.partitionId(), 0, None, []
 

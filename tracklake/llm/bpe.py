@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tracklake.llm.common import map_rows
+from tracklake.llm.common import map_rows, may_clear
 
 # Fixed value: the word pattern of byte-level BPE vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -39,7 +39,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 RUNS = re.compile(r"\s\s|^\s|\s\Z")
 
 #: Pieces remembered by one Python worker in each generation, and the longest.
-MEMO_PIECES, MEMO_CHARS = 400_000, 64
+MEMO_PIECES, MEMO_CHARS = 200_000, 64
 
 
 def byte_chars() -> list[str]:
@@ -164,6 +164,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+may_clear("bpe", codec.cache_clear)
+
+
 def _lists(packed: list[bytes]) -> pa.Array:
     ends = np.cumsum([0] + [len(p) // 4 for p in packed])
     flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
@@ -187,7 +190,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", diges
     outputs = [(ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))]
     if digest:
         outputs.append((digest, T.StringType(), pa.string()))
-    return map_rows(df, [text], outputs, make)
+    return map_rows(df, [text], outputs, make, owner="bpe")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -197,4 +200,29 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
         c = codec(path)
         return lambda lists: ([c.decode(x or ()) for x in lists],)
 
-    return map_rows(df, [ids], [(text, T.StringType(), pa.string())], make)
+    return map_rows(df, [ids], [(text, T.StringType(), pa.string())], make, owner="bpe")
+
+
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", back: str = "decoded", digest: str | None = None
+) -> DataFrame:
+    """Add ``ids``, ``back`` (the text decoded from them) and, if named,
+    ``digest``, as ``encode`` and then ``decode`` would, in one pass: the ids
+    need not travel between two Python workers of a task, which would each
+    hold the vocabulary and the pieces remembered."""
+
+    def make():
+        c = codec(path)
+
+        def apply(texts):
+            packed = [c.encode(t) for t in texts]
+            decoded = [c.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+            sums = ([hashlib.sha256(p).hexdigest() for p in packed],) if digest else ()
+            return (_lists(packed), decoded, *sums)
+
+        return apply
+
+    outputs = [(ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), (back, T.StringType(), pa.string())]
+    if digest:
+        outputs.append((digest, T.StringType(), pa.string()))
+    return map_rows(df, [text], outputs, make, owner="bpe")

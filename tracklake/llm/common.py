@@ -41,6 +41,22 @@ def find_package_on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([*parts, _ROOT])
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def may_clear(owner: str, clear: Callable[[], None]) -> None:
+    """Name a cache of this Python worker that tasks of others may clear."""
+    _caches[owner] = clear
+
+
+def clear_others(owner: str = "") -> None:
+    """Free what operators other than ``owner`` remember in this worker. Spark
+    keeps workers for later tasks, where that memory is wanted."""
+    for name, clear in _caches.items():
+        if name != owner:
+            clear()
+
+
 def with_fields(df: DataFrame, *new: tuple[str, T.DataType]) -> T.StructType:
     """Schema of ``df`` with the new fields last; a column of the same name
     (in any case, as Spark resolves names) is replaced."""
@@ -55,11 +71,13 @@ def map_rows(
     outputs: list[tuple[str, T.DataType, pa.DataType]],
     make: Callable[[], Callable[..., tuple[list, ...]]],
     rows: int = 256,
+    owner: str = "",
 ) -> DataFrame:
     """Add columns computed in Python from ``inputs``, ``rows`` rows at a time.
 
     ``make()`` runs once in each task and returns a function from the input
-    lists to the output lists. Other columns pass through as Arrow data."""
+    lists to the output lists. Other columns pass through as Arrow data.
+    ``owner`` names the cache that the task uses."""
     find_package_on_workers(df.sparkSession)
     schema = with_fields(df, *((n, t) for n, t, _ in outputs))
     kept = [f.name for f in schema.fields[: len(schema.fields) - len(outputs)]]
@@ -69,6 +87,7 @@ def map_rows(
     names = [*kept, *(n for n, _, _ in outputs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_others(owner)
         apply = make()
         for whole in batches:
             for lo in range(0, whole.num_rows, rows):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.llm.common import find_package_on_workers, map_rows, materialize
+from tracklake.llm.common import clear_others, find_package_on_workers, map_rows, materialize
 
 STATS = (
     "log_chars", "log_words", "word_chars", "word_chars_dev", "upper_share", "digit_share", "space_share", "symbol_share",
@@ -130,6 +130,7 @@ def isotonic(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tupl
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Statistics, label and fold of up to 4096 rows at a time."""
+    clear_others()
     for whole in batches:
         for lo in range(0, whole.num_rows, 4096):
             b = whole.slice(lo, 4096)

@@ -22,7 +22,7 @@ _C1, _C2, _C3 = (np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53,
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: Bytes of text handled at a time (a longer text is handled alone).
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

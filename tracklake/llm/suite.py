@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tracklake.llm import bitplanes, bpe, chat, metric_join, mixing, ngram_join, pii, quality, sharding, syncmers
 from tracklake.llm.common import find_package_on_workers, materialize, shared_path
-from tracklake.llm.oracle import ORACLE  # noqa: F401 - part of this module's interface
+from tracklake.llm.oracle import ORACLE  # noqa: F401 - read by __spark_entry__
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -47,9 +47,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text and the text decoded from them."""
     path = vocabulary(BYTE_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, digest="ids_sha256").drop("text")
-    return bpe.decode(encoded, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+    out = bpe.round_trip(docs, path, digest="ids_sha256")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 

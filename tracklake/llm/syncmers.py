@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.llm.common import clean_text, find_package_on_workers, with_fields
+from tracklake.llm.common import clean_text, clear_others, find_package_on_workers, map_rows, with_fields
 
 K, S = 40, 8
 #: (K, S) of short texts, and their length.
@@ -125,8 +125,6 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
 
 def fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """Add the fingerprint string of ``text``."""
-    from tracklake.llm.common import map_rows
-
     def make():
         return lambda texts: ([to_string(anchors(t or "")) for t in texts],)
 
@@ -207,6 +205,7 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     schema = with_fields(dealt.select("doc_id"), *COMPARED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_others()
         held, out = None, []  # the last document, which waits for the next one
 
         def compared(following: tuple) -> tuple:
