@@ -16,8 +16,8 @@ doubles until it fits. Any order gives the same links.
 
 A shingle shared by many groups is not paired out: all its groups are tied to
 the smallest. Tied and paired groups make clusters, so every link lies within
-one; clusters are verified as blocks of bounded size against each other, all
-set sizes that can match, and a block yields only the links that span it. Links
+one; clusters are verified as blocks of bounded size against each other, in
+bands of sizes that can match, and a block yields only the links that span it. Links
 between blocks meet in connected components.
 
 Results on odd input: a null text, or one without words, has an empty set and
@@ -29,16 +29,17 @@ an empty one. Other columns play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.llm.common import find_package_on_workers, map_rows, materialize
+from tracklake.llm.common import clear_others, find_package_on_workers, map_rows, materialize
 from tracklake.llm.components import connected
 from tracklake.llm.shingles import shingle_sets
 
@@ -46,8 +47,8 @@ from tracklake.llm.shingles import shingle_sets
 FREQUENT, LIST = 32, 2_000_000
 #: Members of all groups that share a shingle, up to which groups are paired out.
 PAIRED = 32
-#: A block of a cluster ends where its sets' shingles, and ``SET_WEIGHT`` for
-#: each set, pass this number: about 900 short sets, fewer long ones.
+#: A block of a cluster holds about so many shingles, counting ``SET_WEIGHT``
+#: more for each set: some 900 short sets, fewer long ones.
 BLOCK, SET_WEIGHT = 500_000, 400
 #: Most documents to verify that are named to all tasks; more are joined by shuffle.
 NAMED = 500_000
@@ -82,6 +83,7 @@ def frequent_shingles(docs: DataFrame, size: int, more_than: int = FREQUENT, mos
     width = np.uint64(-(-_LOW // parts))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_others()
         for whole in batches:
             rows: dict[str, list] = {"part": [], "tokens": [], "counts": []}
             for lo in range(0, whole.num_rows, 256):
@@ -253,15 +255,20 @@ def _spanning(sets: list[np.ndarray], left: int, num: int, den: int, within: boo
 def verified_links(docs: DataFrame, members: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Links ``a``-``b`` between set ids that span the components of each
     cluster. ``members``: cluster, n, set_id, doc_id of the sets to compare."""
-    by_size = Window.partitionBy("cluster").orderBy("n", "set_id").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.col("n") + F.lit(SET_WEIGHT)).over(by_size), F.lit(0))
-    spans = materialize(members.withColumn("block", F.floor(before / BLOCK).cast("int")), "cluster-members")
-    blocks = spans.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    a, b = blocks.alias("a"), blocks.alias("b")
-    jobs = a.join(b, F.col("a.cluster") == F.col("b.cluster")).where(
-        (F.col("a.block") <= F.col("b.block")) & (F.col("b.low") * F.lit(num) <= F.col("a.high") * F.lit(den))
-    )
-    jobs = jobs.select(F.col("a.cluster").alias("cluster"), F.col("a.block").alias("x"), F.col("b.block").alias("y"))
+    # Sizes in bands: a linked pair lies in one band or in two that follow.
+    if num < den:
+        band = F.floor(F.log("n") / F.lit(math.log(den / num) * (1 + 1e-9)))
+    else:
+        band = F.col("n")
+    banded = materialize(members.withColumn("band", band.cast("long")), "cluster-members")
+    weights = banded.groupBy("cluster", "band").agg(F.sum(F.col("n") + F.lit(SET_WEIGHT)).alias("weight"))
+    parts = weights.select("cluster", "band", F.ceil(F.col("weight") / BLOCK).alias("parts"))
+    number = lambda sub: F.shiftleft(F.col("band"), 32) + sub
+    spans = banded.join(parts, ["cluster", "band"]).withColumn("block", number(F.pmod(F.xxhash64("set_id"), F.col("parts"))))
+    blocks = parts.select("cluster", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("sub"))
+    blocks = blocks.select("cluster", "band", number(F.col("sub")).alias("block"))
+    first = blocks.select("cluster", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("block").alias("x"))
+    jobs = first.join(blocks.withColumnRenamed("block", "y"), ["cluster", "band"]).where("x <= y").select("cluster", "x", "y")
     ends = jobs.select("cluster", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
     wanted = materialize(spans.join(ends, ["cluster", "block"]).select("doc_id", "set_id", "cluster", "x", "y", "block"), "sets-to-compare")
     keyed = wanted.groupBy(F.col("doc_id").alias("w_doc"), F.col("set_id").alias("w_set")).agg(
@@ -284,6 +291,7 @@ def verified_links(docs: DataFrame, members: DataFrame, size: int, num: int, den
     )
 
     def compare(table: pa.Table) -> pa.Table:
+        clear_others()
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
         held: dict[bytes, tuple[int, np.ndarray]] = {}
         for block, i, raw in zip(*(table.column(c).to_pylist() for c in ("block", "set_id", "tokens")), strict=True):
