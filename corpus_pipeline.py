@@ -47,9 +47,10 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary(BYTE_BPE)
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), path, digest="ids_sha256").drop("text")
-    decoded = bpe.decode(encoded, path)
-    return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    out = bpe.round_trip(docs.select("doc_id", "source", "text"), path, digest="ids_sha256")
+    return out.select(
+        "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [
