@@ -118,6 +118,14 @@ def test_personal_data_odd_rows(spark):
     assert pii.sanitise(docs.where("false")).count() == 0
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1, 127.0.0.1 and 192.168.0.1", "0.0.0.0 or 00.1.2.000", "000.0000.00.0255 0.0.0.256 0.00256.0.0 1.0.0", "0" * 4000 + ".0.0." + "0" * 4000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pii.sanitise(docs).withColumn("listed", pii.listed(F.col("spans"))).collect()
+    assert {r["doc_id"]: r["listed"] for r in out} == {i: listed(personal_spans(t)) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["text"] for r in out}[0] == "[IP], [IP] and [IP]"
+
+
 def test_disclosing_terms_by_definition(spark):
     """Terms that stand beside one address only are removed there and nowhere else."""
     rows = [(i, f"please write zebraman the head at chief@corp.example.com today {i} times") for i in range(3)]

@@ -73,7 +73,8 @@ def _digits(c: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """The protected entities of a text, by start and then kind."""
-    octet = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+    # Zeros alone, or leading zeros that are never given back and 1 to 255.
+    octet = "(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?))"
     always = F.lit(True)
     found = [
         finds(text, PATTERNS[0], lambda m: always, 0, lambda m: F.lower(m)),
