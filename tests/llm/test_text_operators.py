@@ -120,6 +120,18 @@ def test_pieces_equal_whole_texts(word_bpe):
     assert [x.tolist() for x in memo.encode(texts)] == [word_bpe.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_control_strings_keep_their_case(spark, word_bpe):
+    path = suite.vocabulary(suite.WORD_BPE)
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|endoftext|> Upper", "X<|StartOfText|>Y<|startoftext|>Z <|END", "<|ENDOFTEXT|> <|endoftext|> A<|endoftext|>B"]
+    want = [word_bpe.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 not in want[0] + want[1] and 49407 in want[2]
+    assert [x.tolist() for x in bitplanes.pieces(path).encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = bitplanes.read(spark, bitplanes.write(docs, path, shared_path(spark, "ids")).cache()).orderBy("start").collect()
+    starts = np.cumsum([0] + [len(ids) + 1 for ids in want]).tolist()
+    assert [(r["start"], list(r["ids"])) for r in rows] == [(a, [*ids, 1]) for a, ids in zip(starts, want, strict=False)]
+
+
 def test_bit_planes_round_trip(tmp_path, monkeypatch):
     rng = np.random.default_rng(1)
     for top in (1, 2, 49_408, 2**32 - 1):

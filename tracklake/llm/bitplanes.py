@@ -185,7 +185,9 @@ def read_file(uri: str) -> Iterator[tuple[int | None, np.ndarray]]:
 class _Pieces:
     """Pieces of text between white space -> ids. Words of this vocabulary never
     span white space and ignore case, so the pieces' ids in a row are the ids
-    of the whole text. Pieces already met are remembered in two generations."""
+    of the whole text. Control strings match in their own case only, so pieces
+    that hold one in any case keep theirs. Pieces already met are remembered in
+    two generations."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -193,12 +195,19 @@ class _Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.control = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def _cut(self, text: bytes) -> list[bytes]:
+        lower = text.lower()
+        if lower == text or not any(c in lower for c in self.control):
+            return lower.split()
+        return [p if any(c in low for c in self.control) else low for p, low in zip(text.split(), lower.split(), strict=True)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         # On bytes, only ASCII letters are lowered and only ASCII white space splits.
-        cut = [t.encode("utf-8", "replace").lower().split() for t in texts]
+        cut = [self._cut(t.encode("utf-8", "replace")) for t in texts]
         wanted = set().union(*cut)
         if len(self.known) + len(wanted) > MEMO_PIECES:
             self.older, self.known = self.known, {}
