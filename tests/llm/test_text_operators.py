@@ -196,3 +196,24 @@ def test_syncmers_by_definition():
     shifted = syncmers.anchors("some other start of three hundred characters" * 8 + text)
     assert {h for _, h in marks} <= {h for _, h in shifted}
     assert syncmers.likeness(marks, marks) == 1.0 and syncmers.likeness(marks, []) == 0.0
+
+
+@pytest.mark.parametrize("limit", [syncmers.FINE[0], syncmers.K, syncmers.TINY, syncmers.SHORT])
+def test_lengths_on_either_side_of_a_limit_compare(limit):
+    rng = random.Random(limit)
+    for _ in range(20):
+        text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(limit + 2))
+        cut = text[: limit - max(1, limit // 40)]
+        assert syncmers.likeness(syncmers.anchors(text), syncmers.anchors(cut)) > 0.6
+        assert syncmers.likeness(syncmers.anchors(cut), syncmers.anchors(text)) > 0.6
+        other = "".join(rng.choice("qrstuvwxyz.") for _ in range(limit - 1))
+        assert syncmers.likeness(syncmers.anchors(text), syncmers.anchors(other)) < 0.2
+
+
+def test_every_text_has_anchors_and_short_neighbours_compare(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(300))
+    assert all(syncmers.anchors(text[:n]) for n in range(1, 300))
+    assert syncmers.likeness(syncmers.anchors(text[:258]), syncmers.anchors(text[:252])) > 0.8
+    rows = syncmers.compare_with_next(spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["near_edited"] for r in rows}[1] > 0.7

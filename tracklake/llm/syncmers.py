@@ -9,8 +9,11 @@ they stand, and an edit changes only anchors that overlap it. Every run of
 A fingerprint lists all anchors of the whole text in order, ``position`` and
 32-bit hash; a run of anchors with one hash (a text that repeats itself) is
 listed by its first. Texts under ``SHORT`` code points also list the closed
-syncmers of the smaller ``FINE`` lengths, and texts too short for those their
-whole as one anchor. The likeness of two fingerprints is the Dice share of the
+syncmers of the smaller ``FINE`` lengths, and texts under ``TINY`` each code
+point with the one before it. The two low bits of a hash name its scheme (0 for
+``K`` and ``S``, 1 fine, 2 tiny), and two fingerprints are compared by the
+schemes that both texts list, so a text's length alone makes no copy unlike.
+The likeness of two fingerprints is the Dice share of the
 anchors that match in order: the i-th anchor with a hash answers the i-th with
 that hash in the other, and the longest chain that rises in both counts.
 
@@ -35,8 +38,8 @@ from pyspark.sql import types as T
 from tracklake.llm.common import clean_text, clear_others, find_package_on_workers, map_rows, with_fields
 
 K, S = 40, 8
-#: (K, S) of short texts, and their length.
-FINE, SHORT = (8, 3), 256
+#: (K, S) of short texts, and their length; the length of tiny ones.
+FINE, SHORT, TINY = (8, 3), 256, 64
 #: Documents of one range of doc_ids, about.
 RANGE_ROWS = 4096
 
@@ -89,16 +92,24 @@ def anchors(text: str) -> list[tuple[int, int]]:
         return []
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     first = _mixed(codes * _MIX[2])
-    if n < FINE[0]:
-        return [(0, int(_mixed(_windows(first, 1, n))[0]) >> 32)]
-    parts = [closed_syncmers(first, k, s) for k, s, used in ((K, S, n >= K), (*FINE, n < SHORT)) if used]
-    at, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
-    if len(parts) > 1:
+    parts = []
+    for scheme, (k, s), used in ((0, (K, S), n >= K), (1, FINE, FINE[0] <= n < SHORT)):
+        if used:
+            at, hashes = closed_syncmers(first, k, s)
+            parts.append((at, hashes & ~np.uint64(3) | np.uint64(scheme)))
+    if n < TINY:
+        before = np.concatenate((_MIX[:1], first[:-1]))  # a start mark, then the code points
+        parts.append((np.arange(n), _mixed(before * _MIX[2] + first) >> np.uint64(32) & ~np.uint64(3) | np.uint64(2)))
+    kept = []
+    for at, hashes in parts:
+        keep = np.ones(len(at), bool)
+        keep[1:] = hashes[1:] != hashes[:-1]
+        kept.append((at[keep], hashes[keep]))
+    at, hashes = (np.concatenate(x) for x in zip(*kept, strict=True))
+    if len(kept) > 1:
         order = np.argsort(at, kind="stable")
         at, hashes = at[order], hashes[order]
-    keep = np.ones(len(at), bool)
-    keep[1:] = hashes[1:] != hashes[:-1]
-    return list(zip(at[keep].tolist(), hashes[keep].tolist(), strict=True))
+    return list(zip(at.tolist(), hashes.tolist(), strict=True))
 
 
 def to_string(marks: list[tuple[int, int]]) -> str:
@@ -111,6 +122,10 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
         return float(not a and not b)
     if a == b:
         return 1.0
+    # Every text of at least one code point has an anchor of its finest scheme.
+    finest = [max(h & 3 for _, h in x) for x in (a, b)]
+    both = min(finest)
+    a, b = (x if f == both else [m for m in x if m[1] & 3 <= both] for x, f in zip((a, b), finest, strict=True))
     places: dict[int, list[int]] = {}
     for p, h in reversed(b):
         places.setdefault(h, []).append(p)
