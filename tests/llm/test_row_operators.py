@@ -140,6 +140,20 @@ def test_disclosing_terms_by_definition(spark):
     assert out[300]["text"] == "zebraman alone" and out[10]["text"] == rows[3][1]
 
 
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    """Far from the entity, repeated, short and with digits; nowhere else."""
+    filler = "please note the head of many houses left today " * 6
+    rows = [(i, f"Quetzal {filler}Ann, Bo and R2D2 wrote to chief@corp.example.com {filler}quetzal! Ann {filler}r2d2") for i in range(3)]
+    rows += [(10 + i, f"{filler}and wrote to house {i}") for i in range(200)] + [(300, "Ann of Quetzal, R2D2, someone@else.example.com")]
+    docs = spark.createDataFrame(rows[:-1], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert out[1] == f" {filler},  and  wrote to [EMAIL] {filler}!  {filler}"
+    assert out[10] == rows[3][1]
+    more = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert more[1] == f"[TERM] {filler}[TERM],  and [TERM] wrote to [EMAIL] {filler}[TERM]! [TERM] {filler}[TERM]"
+    assert more[300] == "Ann of Quetzal, R2D2, [EMAIL]"
+
+
 # --- 5: sharding
 
 

@@ -1,21 +1,26 @@
 """Information-theoretic sanitisation of personal data (operator 4).
 
 Addresses, IP numbers, card numbers and phone numbers found by pattern are the
-protected entities. Their context, the words within ``CONTEXT`` code points,
-may reveal them: with document counts over the whole corpus, the share of an
-entity's information that a term gives away is
+protected entities. The other words of a document that holds one may reveal it,
+wherever they stand: with document counts over the whole corpus, the share of
+an entity's information that a term gives away is
 
     ratio = PMI(term, entity) / IC(entity)
           = log(n_both * N / (n_term * n_entity)) / log(N / n_entity)
 
-(1 if the term occurs nowhere but beside the entity). Terms seen beside the
-entity in ``SUPPORT`` documents or more are removed from its context when the
-ratio reaches ``REMOVE`` and replaced by a general mark from ``GENERALISE`` on.
+(1 if the term occurs nowhere but in documents with the entity). Terms that
+share ``SUPPORT`` documents or more with the entity are removed when the ratio
+reaches ``REMOVE`` and replaced by a general mark from ``GENERALISE`` on, at
+every place in each document that holds both. A term is a word of letters, marks
+and digits outside the entities; words of one or two lower-case letters a to z
+are none.
 Documents without an entity stay as they are. Entities are replaced by the
 mark of their kind.
 
 Everything is DataFrame expressions. Texts without ``@`` and digits are passed
-on untouched; only the others join the terms found for them.
+on untouched; only the others join the terms found for them. Terms are paired
+with the entities that ``SUPPORT`` documents or more hold; the others can't
+reach it.
 
 Results on odd input: a null text has no spans and stays null; spans of
 different kinds may overlap, and overlapping spans get the mark of the first;
@@ -42,8 +47,8 @@ PATTERNS = (
     r"[0-9]++(?:[\x20-][0-9]++)*+",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
-WORD = r"[\p{L}\p{M}]{4,}+"
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 80, 2, 0.8, 0.95
+WORD, NO_TERM = r"[\p{L}\p{M}\p{N}]++", "^[a-z]{1,2}$"
+SUPPORT, GENERALISE, REMOVE = 2, 0.8, 0.95
 #: Most candidate terms that are broadcast (a few MB); more are joined by shuffle.
 BROADCAST_TERMS = 100_000
 
@@ -97,48 +102,69 @@ def _entity(s: Column) -> Column:
     return F.concat(s["kind"].cast("string"), F.lit(":"), s["value"])
 
 
-def context_terms(text: Column, spans: Column) -> Column:
-    """(entity, term, start, end) of the whole words near each span that lie in
-    no span themselves."""
+def outside(text: Column, spans: Column) -> Column:
+    """(start, text) of the stretches that lie in no span."""
+
+    def add(a: Column, s: Column) -> Column:
+        gap = F.struct(a["at"].alias("start"), F.substring(text, a["at"] + F.lit(1), s["start"] - a["at"]).alias("text"))
+        gaps = F.when(s["start"] > a["at"], F.array_append(a["gaps"], gap)).otherwise(a["gaps"])
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), gaps.alias("gaps"))
+
+    none = F.array().cast("array<struct<start:int,text:string>>")
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), none.alias("gaps")), add)
+    rest = F.struct(done["at"].alias("start"), F.substring(text, done["at"] + F.lit(1), F.length(text)).alias("text"))
+    return F.array_append(done["gaps"], rest)
+
+
+def is_term(word: Column) -> Column:
+    return ~word.rlike(NO_TERM)
 
-    def near(s: Column) -> Column:
-        first = F.greatest(s["start"] - F.lit(CONTEXT), F.lit(0))
-        left, right = F.substring(text, first + F.lit(1), s["start"] - first), F.substring(text, s["end"] + F.lit(1), F.lit(CONTEXT))
-        whole = lambda m: F.lit(True)
-        before = F.filter(finds(left, WORD, whole, 4, F.lower), lambda w: (w["start"] > 0) | (first == 0))
-        after = F.filter(finds(right, WORD, whole, 4, F.lower), lambda w: w["end"] < F.lit(CONTEXT))
 
-        def named(at: Column):
-            return lambda w: F.struct(
-                _entity(s).alias("entity"), w["value"].alias("term"), (at + w["start"]).alias("start"), (at + w["end"]).alias("end")
-            )
+def terms_of(text: Column, spans: Column) -> Column:
+    """The distinct terms of a text outside its spans, in lower case."""
+    words = F.transform(outside(text, spans), lambda g: F.regexp_extract_all(g["text"], F.lit(WORD), F.lit(0)))
+    return F.array_distinct(F.transform(F.filter(F.flatten(words), is_term), F.lower))
 
-        return F.concat(F.transform(before, named(first)), F.transform(after, named(s["end"])))
 
-    words = F.array_distinct(F.flatten(F.transform(spans, near)))
-    return F.filter(words, lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
+def term_spans(text: Column, spans: Column, marks: Column) -> Column:
+    """A span for each place of the terms that ``marks`` maps to their mark."""
 
+    def found(g: Column) -> Column:
+        words = finds(g["text"], WORD, lambda w: is_term(w) & F.map_contains_key(marks, F.lower(w)), KINDS.index("term"), lambda w: marks[F.lower(w)])
+        moved = lambda w: F.struct(
+            (g["start"] + w["start"]).alias("start"), w["kind"].alias("kind"), (g["start"] + w["end"]).alias("end"), w["value"].alias("value")
+        )
+        return F.transform(words, moved)
 
-def disclosing_terms(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    return F.flatten(F.transform(outside(text, spans), found))
+
+
+def held_together(contexts: DataFrame, entities: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, entity, term) of each document with one of ``entities``."""
+    held = contexts.select("doc_id", "text_hash", F.explode("entities").alias("entity"), "terms").join(entities.select("entity"), "entity", "left_semi")
+    return held.select("doc_id", "text_hash", "entity", F.explode("terms").alias("term"))
+
+
+def disclosing_terms(docs: DataFrame, contexts: DataFrame, entities: DataFrame) -> DataFrame:
     """(entity, term, ratio) of the terms at or above ``GENERALISE``.
 
-    ``contexts`` has the entities and context terms of each document that has
-    any; ``docs`` is the corpus over which terms are counted."""
+    ``contexts`` has the entities and terms of each document that has any,
+    ``entities`` those in ``SUPPORT`` documents or more with their count;
+    ``docs`` is the corpus over which terms are counted."""
     n = float(docs.count())
-    pair = F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term")))))
-    pairs = contexts.select(pair.alias("p")).select("p.*").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    pairs = held_together(contexts, entities).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     pairs = materialize(pairs.where(F.col("n_both") >= SUPPORT), "term-pairs")
-    entities = contexts.select(F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     wanted = materialize(pairs.select("term").distinct(), "candidate-terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(clean_text("text")), F.lit(WORD), F.lit(0)))).alias("term"))
     if wanted.count() <= BROADCAST_TERMS:
         counted = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     else:
         counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
-    both = pairs.join(entities, "entity").join(counted, "term")
+    both = pairs.join(entities, "entity").join(counted, "term", "left")
+    # What a span leaves of a word is no word of the whole text, so it may be missing there.
+    n_term = F.greatest("n_both", F.coalesce("n_term", F.lit(0)))
     information = F.log(F.lit(n) / F.col("n_entity"))
-    pmi = F.log(F.col("n_both") * F.lit(n) / (F.col("n_entity") * F.col("n_term")))
+    pmi = F.log(F.col("n_both") * F.lit(n) / (F.col("n_entity") * n_term))
     ratio = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
     return both.select("entity", "term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
 
@@ -168,19 +194,24 @@ def sanitise(docs: DataFrame, name: str = "spans") -> DataFrame:
     plain = whole.where(~may_hold(text)).withColumn("spans", F.array().cast(_SPANS))
     marked = whole.where(may_hold(text)).withColumn("spans", base_spans(clean_text(text))).withColumn("text_hash", F.xxhash64(text))
     found = marked.where(F.size("spans") > 0).select(
-        F.col("whole.doc_id").alias("doc_id"), "text_hash", "spans", context_terms(text, F.col("spans")).alias("terms")
-    )
+        F.col("whole.doc_id").alias("doc_id"), "text_hash", F.array_distinct(F.transform("spans", _entity)).alias("entities"),
+        terms_of(text, F.col("spans")).alias("terms"),
+    )
     contexts = materialize(found, "entity-contexts")
-    flagged = disclosing_terms(docs.select("text"), contexts)
-    terms = contexts.select("doc_id", "text_hash", F.explode("terms").alias("t")).select("doc_id", "text_hash", "t.*")
+    entities = contexts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    entities = materialize(entities.where(F.col("n_entity") >= SUPPORT), "shared-entities")
+    flagged = materialize(disclosing_terms(docs.select("text"), contexts, entities), "disclosing-terms")
+    if flagged.count() <= BROADCAST_TERMS:
+        flagged = F.broadcast(flagged)
+    # One mark a term: by the entity that it reveals most.
+    best = held_together(contexts, entities).join(flagged, ["entity", "term"]).groupBy("doc_id", "text_hash", "term").agg(F.max("ratio").alias("ratio"))
     mark = F.when(F.col("ratio") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
-    span = F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("end"), mark.alias("value"))
-    # One span a word: by the entity that it reveals most.
-    best = terms.join(flagged, ["entity", "term"]).groupBy("doc_id", "text_hash", "start", "end").agg(F.max("ratio").alias("ratio"))
-    added = best.groupBy(F.col("doc_id").alias("t_doc"), F.col("text_hash").alias("t_hash")).agg(F.collect_list(span).alias("term_spans"))
+    marks = F.map_from_entries(F.collect_list(F.struct("term", mark.alias("mark"))))
+    added = best.groupBy(F.col("doc_id").alias("t_doc"), F.col("text_hash").alias("t_hash")).agg(marks.alias("marks"))
+    more = F.when(F.col("marks").isNotNull(), term_spans(text, F.col("spans"), F.col("marks"))).otherwise(F.array().cast(_SPANS))
     joined = marked.join(
         added, F.col("whole.doc_id").eqNullSafe(F.col("t_doc")) & (F.col("text_hash") == F.col("t_hash")), "left"
-    ).select("whole", F.array_sort(F.concat("spans", F.coalesce("term_spans", F.array().cast(_SPANS)))).alias("spans"))
+    ).select("whole", F.array_sort(F.concat("spans", more)).alias("spans"))
     out = plain.unionByName(joined)
     return out.select(*(masked(text, F.col("spans")).alias(c) if c.lower() == "text" else F.col("whole")[c].alias(c) for c in kept), F.col("spans").alias(name))
 
