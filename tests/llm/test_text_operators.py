@@ -217,3 +217,21 @@ def test_every_text_has_anchors_and_short_neighbours_compare(spark):
     assert syncmers.likeness(syncmers.anchors(text[:258]), syncmers.anchors(text[:252])) > 0.8
     rows = syncmers.compare_with_next(spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["near_edited"] for r in rows}[1] > 0.7
+
+
+def test_repeats_count_by_their_length():
+    like = lambda a, b: syncmers.likeness(syncmers.anchors(a), syncmers.anchors(b))
+    rng = random.Random(7)
+    p, x, y = ("".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(3))
+    assert 0.1 < like("a" * 300, "a" * 3000) < 0.3
+    assert 0.65 < like("a" * 1000, "a" * 750 + y[:250]) < 0.85
+    assert 0.7 < like(p + x + p, x + p) < 0.9 and 0.7 < like(p + x + p, p + x) < 0.9
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(30))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for h in a:
+            new = [0]
+            for j, g in enumerate(b):
+                new.append(row[j] + 1 if g == h else max(row[j + 1], new[j]))
+            row = new
+        assert syncmers.common(a, b) == row[-1]

@@ -7,15 +7,15 @@ they stand, and an edit changes only anchors that overlap it. Every run of
 ``K - S + 1`` substrings holds at least one anchor.
 
 A fingerprint lists all anchors of the whole text in order, ``position`` and
-32-bit hash; a run of anchors with one hash (a text that repeats itself) is
-listed by its first. Texts under ``SHORT`` code points also list the closed
+32-bit hash; of a run of anchors with one hash (a text that repeats itself) the
+first in each stretch of ``(K - S + 1) // 2`` code points is listed, about as
+many as other text has. Texts under ``SHORT`` code points also list the closed
 syncmers of the smaller ``FINE`` lengths, and texts under ``TINY`` each code
 point with the one before it. The two low bits of a hash name its scheme (0 for
 ``K`` and ``S``, 1 fine, 2 tiny), and two fingerprints are compared by the
 schemes that both texts list, so a text's length alone makes no copy unlike.
-The likeness of two fingerprints is the Dice share of the
-anchors that match in order: the i-th anchor with a hash answers the i-th with
-that hash in the other, and the longest chain that rises in both counts.
+The likeness of two fingerprints is the Dice share of the anchors that match in
+order: the longest common subsequence of their hashes.
 
 Results on odd input: a null text is the empty text, whose fingerprint is the
 empty string; two empty fingerprints have likeness 1, an empty and another 0;
@@ -26,7 +26,6 @@ single document is followed by itself; an empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +84,17 @@ def closed_syncmers(first: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.n
     return at, _mixed(_windows(inner, s, k)[at]) >> np.uint64(32)
 
 
+def _thinned(at: np.ndarray, hashes: np.ndarray, step: int) -> np.ndarray:
+    """Which anchors stay: the first of each stretch of ``step`` code points of
+    a run with one hash, counted from the start of the run."""
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = hashes[1:] != hashes[:-1]
+    starts = np.flatnonzero(fresh)
+    stretch = (at - at[starts][np.cumsum(fresh) - 1]) // step
+    fresh[1:] |= stretch[1:] != stretch[:-1]
+    return fresh
+
+
 def anchors(text: str) -> list[tuple[int, int]]:
     """(position, hash) of the text's anchors, in order."""
     n = len(text)
@@ -96,17 +106,13 @@ def anchors(text: str) -> list[tuple[int, int]]:
     for scheme, (k, s), used in ((0, (K, S), n >= K), (1, FINE, FINE[0] <= n < SHORT)):
         if used:
             at, hashes = closed_syncmers(first, k, s)
-            parts.append((at, hashes & ~np.uint64(3) | np.uint64(scheme)))
+            keep = _thinned(at, hashes, (k - s + 1) // 2)
+            parts.append((at[keep], hashes[keep] & ~np.uint64(3) | np.uint64(scheme)))
     if n < TINY:
         before = np.concatenate((_MIX[:1], first[:-1]))  # a start mark, then the code points
         parts.append((np.arange(n), _mixed(before * _MIX[2] + first) >> np.uint64(32) & ~np.uint64(3) | np.uint64(2)))
-    kept = []
-    for at, hashes in parts:
-        keep = np.ones(len(at), bool)
-        keep[1:] = hashes[1:] != hashes[:-1]
-        kept.append((at[keep], hashes[keep]))
-    at, hashes = (np.concatenate(x) for x in zip(*kept, strict=True))
-    if len(kept) > 1:
+    at, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if len(parts) > 1:
         order = np.argsort(at, kind="stable")
         at, hashes = at[order], hashes[order]
     return list(zip(at.tolist(), hashes.tolist(), strict=True))
@@ -117,6 +123,27 @@ def to_string(marks: list[tuple[int, int]]) -> str:
     return ",".join([f"{p:x}.{h:08x}" for p, h in marks])
 
 
+def common(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    least, head, tail = min(len(a), len(b)), 0, 0
+    while head < least and a[head] == b[head]:
+        head += 1
+    while tail < least - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    shared = set(a).intersection(b)
+    a, b = ([h for h in x if h in shared] for x in (a, b))
+    places: dict[int, int] = {}
+    for i, h in enumerate(b):
+        places[h] = places.get(h, 0) | 1 << i
+    every = (1 << len(b)) - 1
+    left = every
+    for h in a:
+        met = left & places[h]
+        left = (left + met | left - met) & every
+    return head + tail + len(b) - left.bit_count()
+
+
 def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     if not a or not b:
         return float(not a and not b)
@@ -126,16 +153,7 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     finest = [max(h & 3 for _, h in x) for x in (a, b)]
     both = min(finest)
     a, b = (x if f == both else [m for m in x if m[1] & 3 <= both] for x, f in zip((a, b), finest, strict=True))
-    places: dict[int, list[int]] = {}
-    for p, h in reversed(b):
-        places.setdefault(h, []).append(p)
-    tails: list[int] = []
-    for _, h in a:
-        if left := places.get(h):
-            p = left.pop()
-            i = bisect_left(tails, p)
-            tails[i : i + 1] = [p]
-    return 2.0 * len(tails) / (len(a) + len(b))
+    return 2.0 * common([h for _, h in a], [h for _, h in b]) / (len(a) + len(b))
 
 
 def fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
