@@ -12,7 +12,7 @@ from tracklake.llm import suite
 
 def test_every_operator_is_registered_once():
     names = list(suite.QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert suite.QUERIES.items() <= E.queries().items() and suite.ORACLE.items() <= E.oracle_sql().items()
     assert suite.ORACLE.keys() <= suite.QUERIES.keys() and corpus_pipeline.ORACLE_SQL is None
 

@@ -100,9 +100,130 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
 FROM copies
 """
 
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Integer codebooks, a CTE for each round. All sums are integers."""
+    # // rounds towards zero in SQL.
+    down = "CASE WHEN s % n < 0 THEN s // n - 1 ELSE s // n END"
+    ctes = [f"""
+good AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding::DOUBLE[]) AS r, vec_id, label, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+part AS MATERIALIZED (SELECT r, p, v[p * w + 1 : p * w + w] AS x FROM good, range({parts}) t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM part WHERE r <= {entries})"""]
+    choose = """
+n{i} AS MATERIALIZED (
+  SELECT r, p, min(d * 256 + e) AS best FROM (
+    SELECT a.r, a.p, b.e, list_sum(list_transform(list_zip(a.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM part a JOIN b{i} b ON b.p = a.p)
+  GROUP BY r, p
+)"""
+    for i in range(rounds):
+        ctes.append(choose.format(i=i))
+        ctes.append(f"""
+b{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{i} b LEFT JOIN (
+    SELECT p, e, list({down} ORDER BY j) AS c FROM (
+      SELECT n.p, n.best % 256 AS e, j, sum(a.x[j])::BIGINT AS s, count(*) AS n
+      FROM n{i} n JOIN part a ON a.r = n.r AND a.p = n.p, unnest(range(1, len(a.x) + 1)) u(j)
+      GROUP BY ALL)
+    GROUP BY p, e) m ON m.p = b.p AND m.e = b.e
+)""")
+    ctes.append(choose.format(i=rounds))
+    return "WITH" + ",".join(ctes) + f""",
+coded AS (
+  SELECT r, string_agg(printf('%02x', (best % 256)::INTEGER), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error
+  FROM n{rounds} GROUP BY r
+)
+SELECT g.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY g.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM coded c JOIN good g ON g.r = c.r
+"""
+
+
+# A value as it enters a leaf; unsigned crc32 of an ASCII text, bit by bit.
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_BITS = "flatten(list_transform(range(1, len({0}) + 1), lambda i: [CAST(ascii(substr({0}, CAST(i AS INTEGER), 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+_CRC = (
+    f"xor(list_reduce([4294967295::BIGINT] || {_BITS}, "
+    "lambda c, x: xor(xor(c, x) // 2, 3988292384 * (xor(c, x) % 2))), 4294967295::BIGINT)"
+)
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+
+def _forest(name: str, leaves: str) -> str:
+    """CTEs: every node of the trees over ``leaves`` (tree, i, node) with its
+    left and right siblings by level, and the roots."""
+    return f"""
+{name}_node AS (
+  SELECT tree, 0 AS h, i, node, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+  UNION ALL
+  SELECT tree, h, i, node, n FROM (
+    SELECT tree, h + 1 AS h, i // 8 AS i, sha256(string_agg(node, '' ORDER BY i)) AS node, (any_value(n) + 7) // 8 AS n
+    FROM {name}_node WHERE n > 1 GROUP BY tree, h, i // 8)
+),
+{name}_run AS MATERIALIZED (
+  SELECT tree, h, i, n,
+         coalesce(string_agg(node, '') OVER (PARTITION BY tree, h, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER (PARTITION BY tree, h, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}_node
+),
+{name}_root AS (SELECT tree, node FROM {name}_node WHERE n = 1)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE doc AS (
+  SELECT *, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_LEAF.format(text=_LOWER)} END AS changed
+  FROM documents
+),
+lang AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM documents)),
+leaf AS MATERIALIZED (
+  SELECT t.tree, row_number() OVER (PARTITION BY t.tree ORDER BY d.doc_id NULLS FIRST, d.leaf) - 1 AS i, d.leaf AS node, d.doc_id, d.changed
+  FROM doc d JOIN lang t ON t.lang IS NOT DISTINCT FROM d.lang
+),{_forest("a", "leaf")},
+top AS (SELECT 0 AS tree, tree AS i, node FROM a_root),{_forest("b", "top")},
+fold AS (
+  SELECT tree, i AS doc, h, i AS at, coalesce(changed, node) AS node, '' AS proof FROM (SELECT *, 0 AS h FROM leaf)
+  UNION ALL
+  SELECT f.tree, f.doc, f.h + 1, f.at // 8, sha256(r.l || f.node || r.r), f.proof || r.l || r.r
+  FROM fold f JOIN a_run r ON r.tree = f.tree AND r.h = f.h AND r.i = f.at AND r.n > 1
+),
+subfold AS (SELECT DISTINCT ON (tree, doc) * FROM fold ORDER BY tree, doc, h DESC),
+crown AS (
+  SELECT tree, doc, 0 AS h, tree AS at, node, proof FROM subfold
+  UNION ALL
+  SELECT f.tree, f.doc, f.h + 1, f.at // 8, sha256(r.l || f.node || r.r), f.proof || r.l || r.r
+  FROM crown f JOIN b_run r ON r.h = f.h AND r.i = f.at AND r.n > 1
+),
+done AS (SELECT DISTINCT ON (tree, doc) * FROM crown ORDER BY tree, doc, h DESC)
+SELECT l.doc_id, l.node AS leaf, s.node AS subroot, t.node AS root, sha256(d.proof) AS proof_sha256, d.node AS folded_root,
+       d.node = t.node AS verified
+FROM leaf l JOIN done d ON d.tree = l.tree AND d.doc = l.i JOIN a_root s ON s.tree = l.tree CROSS JOIN b_root t
+"""
+
+WARC = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+         row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST, url NULLS LAST) AS k,
+         first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST, url NULLS LAST) AS f
+  FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k > 1 AND payload_bytes >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k > 1 AND payload_bytes >= 100 THEN f END AS refers_to
+FROM page
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_join": NGRAM_JOIN,
     "op6_chat_format": CHAT_FORMAT,
     "op7_poisson_mix": POISSON_MIX,
     "op9_embedding_dedup": EMBEDDING_DEDUP,
+    "op11_vector_codes": vector_codes(),
+    "op12_merkle": MERKLE,
+    "op13_warc": WARC,
 }

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import bitplanes, bpe, chat, metric_join, mixing, ngram_join, pii, quality, sharding, syncmers
+from tracklake.llm import bitplanes, bpe, chat, merkle, metric_join, mixing, ngram_join, pii, quality, sharding, syncmers, vector_codes, warc
 from tracklake.llm.common import find_package_on_workers, materialize, shared_path
 from tracklake.llm.oracle import ORACLE  # noqa: F401 - read by __spark_entry__
 
@@ -124,6 +124,30 @@ def op10_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read(spark, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by exact integer products, with their errors."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, a tree for each lang; a third of them
+    folded with their text lower-cased."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.documents_manifest(table(spark, sf_dir, "documents"), tampered).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, equal ones as revisits, and read back."""
+    folder = shared_path(spark, "warc")
+    manifest = materialize(warc.write(table(spark, sf_dir, "pages"), folder, least=100), "warc-manifest")
+    return warc.read(spark, manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over the documents."""
     import corpus_pipeline
@@ -142,5 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_syncmers": op8_syncmers,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bitplanes": op10_bitplanes,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_merkle": op12_merkle,
+    "op13_warc": op13_warc,
     "pipeline": pipeline,
 }
