@@ -721,10 +721,95 @@ FROM feat""",
     }
 )
 
+# -- k-means, by definition ------------------------------------------------------
+# Points on a grid of 2^-16; ten starts, each from the 50 rows with the least
+# hash, go through Lloyd rounds until they move by no more than 1e-4 (squared).
+
+P6 = [f"p{i}" for i in range(6)]
+
+
+def _nine(x: str) -> str:
+    return f"CAST(printf('%.9g', {x}) AS DOUBLE)"
+
+
+_cte(
+    "pts",
+    ("feat", "stt"),
+    "\n  SELECT scenario_id, "
+    + ", ".join(
+        f"CAST(floor((CAST({c} AS DOUBLE) - {_nine(f'mean_{c}')}) / {_nine(_scale(c))} * 65536 + 0.5) AS BIGINT) AS p{i}"
+        for i, c in enumerate(FEATURES6)
+    )
+    + " FROM feat CROSS JOIN stt",
+)
+
+_FAR = " + ".join(f"(p.{c} - k.{c}) * (p.{c} - k.{c})" for c in P6)
+_MEAN = "CASE WHEN {0} % {1} < 0 THEN {0} // {1} - 1 ELSE {0} // {1} END"
+
+
+def _nearest(centres: str) -> str:
+    """Each point's nearest centre by start, the first of equals."""
+    return f"""
+    SELECT start, scenario_id, {', '.join(P6)}, near[1] AS far, near[2] AS idx FROM (
+      SELECT k.start, p.scenario_id, {', '.join(f'any_value(p.{c}) AS {c}' for c in P6)}, min([{_FAR}, k.idx]) AS near
+      FROM pts p CROSS JOIN {centres} k GROUP BY k.start, p.scenario_id)"""
+
+
+_cte(
+    "km",
+    ("pts",),
+    f"""
+  SELECT start, 0 AS round, idx, {', '.join(P6)}, FALSE AS settled FROM (
+    SELECT s.start, row_number() OVER (PARTITION BY s.start ORDER BY md5(scenario_id || ':' || (42 + s.start)), {', '.join(P6)}) - 1 AS idx, pts.*
+    FROM pts, range(10) s(start)) x
+  WHERE idx < 50
+  UNION ALL
+  SELECT start, round, idx, {', '.join(P6)}, sum(moved) OVER (PARTITION BY start) <= CAST(floor(1e-4::DOUBLE * 65536 * 65536) AS BIGINT) AS settled FROM (
+    SELECT k.start, k.round + 1 AS round, k.idx, {', '.join(f'coalesce(m.{c}, k.{c}) AS {c}' for c in P6)},
+           {' + '.join(f'(coalesce(m.{c}, k.{c}) - k.{c}) * (coalesce(m.{c}, k.{c}) - k.{c})' for c in P6)} AS moved
+    FROM (SELECT * FROM km WHERE NOT settled AND round < 300) k LEFT JOIN (
+      SELECT start, idx, {', '.join(_MEAN.format(f'(2 * sum({c}) + count(*))', '(2 * count(*))') + f' AS {c}' for c in P6)}
+      FROM ({_nearest('(SELECT * FROM km WHERE NOT settled AND round < 300)')}) n GROUP BY start, idx) m
+    ON m.start = k.start AND m.idx = k.idx) y""",
+)
+
+_cte(
+    "kend",
+    ("km",),
+    """
+  SELECT * FROM km QUALIFY round = max(round) OVER (PARTITION BY start)""",
+)
+
+_cte(
+    "kbest",
+    ("kend",),
+    f"""
+  SELECT k.idx, {', '.join(f'CAST(k.{c} AS DOUBLE) / 65536 AS {c}' for c in P6)} FROM kend k
+  WHERE k.start = (SELECT start FROM (SELECT start, sum(far) AS cost FROM ({_nearest('kend')}) n GROUP BY start) c ORDER BY cost, start LIMIT 1)""",
+)
+
+_cte(
+    "kasg",
+    ("scl", "kbest"),
+    "\n  SELECT scenario_id, near[2]::INTEGER AS cluster, near[1] AS cluster_distance FROM ("
+    "\n    SELECT s.scenario_id, min([round(sqrt("
+    + " + ".join(f"(s.z_{c} - k.p{i}) * (s.z_{c} - k.p{i})" for i, c in enumerate(FEATURES6))
+    + "), 9), k.idx::DOUBLE]) AS near FROM scl s CROSS JOIN kbest k GROUP BY s.scenario_id) x",
+)
+
+ORACLE["kmeans_dedup"] = sql(
+    ("kasg",),
+    """
+SELECT scenario_id, cluster, cluster_distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY cluster_distance, scenario_id) AS rn FROM kasg
+) k WHERE rn <= (SELECT greatest(1, count(*) // least(50, count(*))) FROM kasg)""",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
 # What the batch jobs store equals the plans of the same name.
 ORACLE.update(
     {
         "stored_tracks": ORACLE["tracks"],
+        "stored_tracks_appended": ORACLE["tracks"],
         "stored_events": ORACLE["all_events"],
         "stored_features": ORACLE["features"],
         "stored_curated_tracks": sql(("btracks", "man"), "SELECT * FROM btracks WHERE scenario_id IN (SELECT scenario_id FROM man)"),

@@ -12,7 +12,7 @@ from tracklake.operators import similar as sim
 from tracklake.operators import space as sp
 from tracklake.operators.events import detect_events
 from tracklake.schemas import EVENTS, FEATURES
-from tracklake.settings import FEATURE_COLS
+from tracklake.settings import DEFAULT, FEATURE_COLS
 
 
 def test_single_row_ego_features(spark):
@@ -137,6 +137,68 @@ def test_kmeans_dedup_reduces(spark):
     assert len(per) <= 50 and max(per.values()) <= 2
 
 
+def _brute_kmeans(points, k, starts, seed, tol, rounds=300):
+    """Lloyd on integers, start by start."""
+    import hashlib
+
+    best = None
+    for s in range(starts):
+        order = sorted(points, key=lambda r: (hashlib.md5(f"{r[0]}:{seed + s}".encode()).hexdigest(), r[1]))
+        centres = [r[1] for r in order[:k]]
+        near = lambda p: min((sum((a - b) ** 2 for a, b in zip(p, c)), i) for i, c in enumerate(centres))  # noqa: E731, B023
+        for _ in range(rounds):
+            held = {}
+            for _, p in points:
+                held.setdefault(near(p)[1], []).append(p)
+            new = [
+                tuple((2 * sum(v) + len(v)) // (2 * len(v)) for v in zip(*held[i])) if i in held else centres[i]
+                for i in range(len(centres))
+            ]
+            moved = sum((a - b) ** 2 for c, d in zip(new, centres) for a, b in zip(c, d))
+            centres = new
+            if moved <= tol:
+                break
+        cost = sum(near(p)[0] for _, p in points)
+        if best is None or cost < best[0]:
+            best = (cost, s, centres)
+    return best[2]
+
+
+def test_kmeans_against_plain_lloyd(spark):
+    """Also with repeated points (empty clusters), outliers and tol = 0."""
+    import random
+
+    from tracklake.operators import kmeans
+
+    rng = random.Random(3)
+    rows = [(f"s{i}", tuple(rng.randrange(-3, 4) * 50_000 + rng.randrange(9_000) for _ in range(6))) for i in range(120)]
+    rows += [(f"d{i}", (7, 7, 7, 7, 7, 7)) for i in range(40)] + [("far", (1 << 28, -(1 << 28), 0, 0, 0, 0))]
+    df = spark.createDataFrame([(i, *p) for i, p in rows], "scenario_id string, " + ", ".join(f"p{j} long" for j in range(6)))
+    for tol in (0.0, 1e-4):
+        s = DEFAULT.with_(kmeans_starts=4, kmeans_tol=tol)
+        want = _brute_kmeans(rows, 12, 4, s.seed, int(tol * (1 << 32)))
+        for parts in (1, 7):
+            points = df.repartition(parts)
+            assert kmeans.lloyd(points, kmeans.first_centres(points, 12, s), s).tolist() == [list(c) for c in want]
+
+
+def test_kmeans_follows_the_rows_alone(spark):
+    """The same centres for any partitioning; one job a round."""
+    df = _features(spark, 300)
+    fits = []
+    for d in (df.coalesce(1), df.repartition(9), df.orderBy(F.desc("mean_speed"))):
+        fits.append(sp.fit_centres(d, sp.scaler_stats(d).first(), 20))
+    assert fits[0] == fits[1] == fits[2] and len(fits[0]) == 20
+
+
+def test_kmeans_of_odd_rows(spark):
+    df = _features(spark, 8)
+    same = df.withColumn("mean_speed", F.lit(1.0))
+    assert len(sp.fit_centres(same, sp.scaler_stats(same).first(), 8)) == 8
+    holed = df.withColumn("max_speed", F.when(F.col("scenario_id") == "sc_00003", float("nan")).otherwise(F.col("max_speed")))
+    assert len(sp.fit_centres(holed, sp.scaler_stats(df).first(), 8)) == 7
+
+
 def test_fixed_centre_dedup_keeps_closest(spark):
     df = _features(spark, 100)
     kept = cu.cluster_and_dedup(df, fixed_centres=True)

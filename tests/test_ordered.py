@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracklake.operators.ordered import exact_rank, lag_columns, running_sum, top_n_per_group
+from tracklake.operators.ordered import below_cut_off, exact_rank, lag_columns, running_sum, top_n_per_group
 from tracklake.settings import DEFAULT
 
 
@@ -50,7 +50,7 @@ def test_exact_rank_equals_row_number(spark):
 def test_top_n_paths_agree(spark):
     df = _data(spark).withColumn("v", F.coalesce("v", F.lit(0.0)))
     a = top_n_per_group(df, ["k"], ["v", "t"], 30)
-    b = top_n_per_group(df, ["k"], ["v", "t"], 30, DEFAULT.with_(rank_salts=3, rank_partitions=6))
+    b = top_n_per_group(df, ["k"], ["v", "t"], 30, DEFAULT.with_(rank_partitions=6))
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.where(F.col("k") == "hot").count() == 30
 
@@ -75,6 +75,35 @@ def test_top_n_equals_row_number_for_any_cap_and_conf(spark):
         spark.conf.set(conf, before)
 
 
+def test_top_n_of_odd_values_and_any_n(spark):
+    """Strings, nulls, NaN, infinities, ties, null groups; n from 1 to all."""
+    import random
+
+    rng = random.Random(5)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e300]
+    rows = [
+        (rng.choice(["a", "a", "a", "b", None]), rng.choice(odd) if i % 9 == 0 else float(rng.randrange(300)), f"{rng.randrange(400):x}é" * (i % 4), i)
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "k string, v double, s string, id long").repartition(6)
+    for first in ("v", "s"):
+        w = Window.partitionBy("k").orderBy(first, "id")
+        ranked = df.withColumn("r", F.row_number().over(w)).cache()
+        for n in (1, 2, 17, 300, 1500, 3000):
+            got = top_n_per_group(df, ["k"], [first, "id"], n, few_groups=n % 2 == 0).select("id").collect()
+            assert sorted(got) == sorted(ranked.where(F.col("r") <= n).select("id").collect()), (first, n)
+
+
+def test_cut_off_drops_most_rows_before_the_shuffle(spark):
+    df = spark.range(200_000).select((F.col("id") % 2).alias("k"), F.md5(F.col("id").cast("string")).alias("d"), "id")
+    for n in (1, 100, 5_000, 50_000):
+        left = below_cut_off(df, ["k"], "d", n, few_groups=True)
+        assert 2 * n <= left.count() <= 2 * 1.3 * n + 400, n
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning(k" in plan  # of the summaries only
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_one_plan_for_any_timestep(spark):
     """Steps that start at an epoch value run the same plan and give the same
     values as steps that start at 0."""

@@ -26,7 +26,7 @@ def nearest_per_cluster(clustered: DataFrame, n_rows: int, k: int, settings: Set
     cluster (ties by id)."""
     n = max(1, n_rows // k)
     return top_n_per_group(
-        clustered, ["cluster"], ["cluster_distance", "scenario_id"], n, settings
+        clustered, ["cluster"], ["cluster_distance", "scenario_id"], n, settings, few_groups=True
     )
 
 
@@ -56,7 +56,7 @@ def cluster_and_dedup(
         centres = (
             first_rows_as_centres(scaled, k)
             if fixed_centres
-            else fit_centres(scaled, k, settings, n_rows=n_rows)
+            else fit_centres(features, stats, k, settings)
         )
     clustered = assign_clusters(scaled, centres, round_dp=round_dp).drop(*Z_COLS)
     return nearest_per_cluster(clustered, n_rows, k, settings)
@@ -72,7 +72,7 @@ def kmeans_invariants(features: DataFrame, settings: Settings = DEFAULT) -> Data
     k = min(settings.dedup_cluster_count, n_rows)
     n = max(1, n_rows // max(k, 1))
     scaled = standardize_with(features, stats)
-    fitted = fit_centres(scaled, k, settings, n_rows=n_rows)
+    fitted = fit_centres(features, stats, k, settings)
     kept = cluster_and_dedup(features, settings, centres=fitted).select("scenario_id", F.lit(True).alias("kept"))
     cost = F.sum(F.col("cluster_distance") * F.col("cluster_distance"))
     fixed = assign_clusters(scaled, first_rows_as_centres(scaled, k)).select(cost).scalar()
@@ -141,6 +141,7 @@ def stratified_sample(
         ["_draw", "scenario_id"],
         cap,
         settings,
+        few_groups=True,
     ).drop("_draw")
     if keep_all_rare:
         sampled = sampled.unionByName(labeled.where(~capped_cond))

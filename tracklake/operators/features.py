@@ -62,8 +62,8 @@ def event_scenarios(events: DataFrame) -> DataFrame:
     return events.select("scenario_id").distinct()
 
 
-def add_agent_count(features: DataFrame, tracks: DataFrame) -> DataFrame:
-    return features.join(agent_counts(tracks), on="scenario_id", how="left")
+def add_agent_count(features: DataFrame, counts: DataFrame) -> DataFrame:
+    return features.join(counts, on="scenario_id", how="left")
 
 
 def add_event_flag(features: DataFrame, events: DataFrame) -> DataFrame:
@@ -82,12 +82,14 @@ def build_features(
     events: DataFrame,
     settings: Settings = DEFAULT,
     ego: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Feature rows; ``ego`` may pass an ``ego_kinematics`` frame shared with
-    event detection."""
+    event detection, ``counts`` the agent counts where they come cheaper."""
     if settings.valid_only:
         tracks = tracks.where(F.col("valid"))
-    f = add_event_flag(add_agent_count(ego_features(tracks, settings, ego), tracks), events)
+    counts = agent_counts(tracks) if counts is None else counts
+    f = add_event_flag(add_agent_count(ego_features(tracks, settings, ego), counts), events)
     return f.select(
         "scenario_id",
         "mean_speed",

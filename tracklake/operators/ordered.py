@@ -12,9 +12,10 @@ all rows, so the operators here split such groups:
 * ``exact_rank``: row number within a group by a total order, computed from a
   range-partitioned, checkpointed sort (a hot group is spread over many
   partitions) plus per-partition offsets. Exact.
-* ``top_n_per_group``: a window over (group, salt) keeps at most n rows of
-  each salted part, then ``exact_rank`` ranks what is left, so no task holds a
-  group whatever n is.
+* ``top_n_per_group``: a quantile summary of each group gives a cut-off just
+  above the n-th row; ``exact_rank`` ranks the rows below it, so rows that
+  cannot be among the first n are not shuffled, and no task holds a group
+  whatever n is.
 
 Keys are not null (the contracts check it): a null key's chunks are not
 carried over.
@@ -22,10 +23,12 @@ carried over.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklake.session import ensure_checkpoint_dir
 from tracklake.settings import DEFAULT, Settings
@@ -210,20 +213,63 @@ def exact_rank(
     )
 
 
+#: Shares of a group at which its cut-off may lie, and the rank error of the
+#: quantile summary: 1 / accuracy of the group's rows.
+_SHARES = [0.0005 * 1.25**i for i in range(34)]
+_ACCURACY = 10_000
+
+
+def order_number(df: DataFrame, column: str) -> Column:
+    """A double that never falls as ``column`` rises: numbers themselves (NaN
+    as the largest), strings by their first six bytes."""
+    c, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        digits = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(digits, 16, 10).cast("double")
+    x = c.cast("double")
+    return F.when(F.isnan(x), F.lit(sys.float_info.max)).otherwise(x)
+
+
+def below_cut_off(
+    df: DataFrame, group_cols: Sequence[str], order_col: str, n: int, few_groups: bool = False
+) -> DataFrame:
+    """The rows that can be among the first n of their group by ``order_col``
+    (ascending, nulls first), and few others.
+
+    A quantile summary of each group, merged from partial ones, gives a value
+    that at least n rows do not exceed; rows above it go. The summary's rank is
+    off by at most 1 / accuracy of the rows; three times that is allowed for.
+    ``few_groups`` says that the groups are few enough to broadcast their
+    cut-offs (one number each)."""
+    keyed = df.withColumn("_x", order_number(df, order_col))
+    summary = keyed.groupBy(*group_cols).agg(
+        F.percentile_approx("_x", _SHARES, _ACCURACY).alias("_q"), F.count("_x").alias("_n")
+    )
+    sure = F.transform(
+        F.array(*[F.lit(p - 3 / _ACCURACY) for p in _SHARES]), lambda p: p * F.col("_n") >= n
+    )
+    at = F.array_position(sure, True)
+    cut = F.when(at > 0, F.element_at("_q", at.cast("int")))
+    cuts = summary.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], cut.alias("_cut")).where("_cut IS NOT NULL")
+    same = [keyed[c].eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]
+    met = keyed.join(F.broadcast(cuts) if few_groups else cuts, same, "left")
+    keep = F.col("_cut").isNull() | F.col("_x").isNull() | (F.col("_x") <= F.col("_cut"))
+    return met.where(keep).select(*[keyed[c] for c in df.columns])
+
+
 def top_n_per_group(
     df: DataFrame,
     group_cols: Sequence[str],
-    order_cols: Sequence[Column | str],
+    order_cols: Sequence[str],
     n: int,
     settings: Settings = DEFAULT,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Rows with ``row_number() <= n`` within each group (a total order).
 
-    The first of the n rows of a group are among the first n of its salted
-    parts; the window sees one part in a task, and the rank is distributed."""
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in group_cols]), F.lit(settings.rank_salts))
-    salted = df.withColumn("_salt", salt)
-    w = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
-    first = salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn", "_salt")
+    Rows beyond a cut-off just above the n-th are dropped where they are read
+    (``below_cut_off``); only the others are shuffled, and their rank is
+    distributed, so no task holds a group whatever n is."""
+    first = below_cut_off(df, group_cols, order_cols[0], n, few_groups)
     ranked = exact_rank(first, group_cols, order_cols, settings=settings)
     return ranked.where(F.col("_rank") <= n).drop("_rank")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklake.operators import kmeans
 from tracklake.settings import DEFAULT, FEATURE_COLS, Settings
 
 # Fixed value: float64 machine epsilon, used by the constant-column rule.
@@ -31,21 +32,21 @@ def scaler_stats(features: DataFrame, cols: Sequence[str] = FEATURE_COLS) -> Dat
     return features.agg(*aggs)
 
 
+def scale_of(stats, c: str) -> float:
+    """Population deviation of a column; 1 where it is constant up to rounding."""
+    n, var, mean = float(stats["_n"]), stats[f"_var_{c}"], stats[f"_mean_{c}"]
+    if var is None or var <= n * EPS * var + (n * mean * EPS) ** 2:
+        return 1.0
+    return var**0.5
+
+
 def standardize_with(features: DataFrame, stats, cols: Sequence[str] = FEATURE_COLS) -> DataFrame:
     """``standardize`` with statistics already collected (one Row of
     ``scaler_stats``), as literals in the plan."""
-    n = float(stats["_n"])
-
-    def scale(c):
-        var, mean = stats[f"_var_{c}"], stats[f"_mean_{c}"]
-        if var is None or var <= n * EPS * var + (n * mean * EPS) ** 2:
-            return 1.0
-        return var ** 0.5
-
     return features.select(
         *[F.col(c) for c in features.columns],
         *[
-            ((F.col(c).cast("double") - F.lit(stats[f"_mean_{c}"])) / F.lit(scale(c))).alias(z(c))
+            ((F.col(c).cast("double") - F.lit(stats[f"_mean_{c}"])) / F.lit(scale_of(stats, c))).alias(z(c))
             for c in cols
         ],
     )
@@ -73,50 +74,10 @@ def embed(scaled: DataFrame) -> DataFrame:
     return scaled.select("*", *[(F.col(c) / norm).alias(v) for c, v in zip(Z_COLS, V_COLS)])
 
 
-def fit_centres(
-    scaled: DataFrame, k: int, settings: Settings = DEFAULT, n_rows: int | None = None
-) -> list[list[float]]:
-    """k-means centres: best (lowest cost) of ``kmeans_starts`` seeded fits.
-
-    The fits are independent Spark jobs over one persisted input and run from
-    a few driver threads at once, so their job latencies overlap.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    n_parts = settings.kmeans_partitions
-    if n_parts is None:
-        n_rows = n_rows if n_rows is not None else scaled.count()
-        n_parts = max(1, -(-n_rows // settings.kmeans_rows_per_partition))
-    data = (
-        VectorAssembler(inputCols=list(Z_COLS), outputCol="_x")
-        .transform(scaled.repartitionByRange(n_parts, "scenario_id").sortWithinPartitions("scenario_id"))
-        .select("_x")
-    )
-    data = data.persist()
-    data.count()
-
-    def fit(i: int):
-        km = KMeans(
-            k=k,
-            seed=settings.seed + i,
-            maxIter=settings.kmeans_max_iter,
-            tol=settings.kmeans_tol,
-            featuresCol="_x",
-            predictionCol="_cluster",
-        )
-        model = km.fit(data)
-        return model.summary.trainingCost, i, model
-
-    try:
-        with ThreadPoolExecutor(max_workers=settings.kmeans_starts) as pool:
-            results = list(pool.map(fit, range(settings.kmeans_starts)))
-        _, _, best = min(results, key=lambda r: (r[0], r[1]))
-        return [[float(x) for x in c] for c in best.clusterCenters()]
-    finally:
-        data.unpersist()
+def fit_centres(features: DataFrame, stats, k: int, settings: Settings = DEFAULT) -> list[list[float]]:
+    """k-means centres of the standardised features: the best (least cost) of
+    ``kmeans_starts`` seeded starts. ``stats`` is the row of ``scaler_stats``."""
+    return kmeans.fit(features, stats, scale_of, k, settings)
 
 
 def first_rows_as_centres(scaled: DataFrame, k: int) -> list[list[float]]:

@@ -301,7 +301,7 @@ def q_dedup_report(spark, sf_dir):
 
 
 def q_kmeans_dedup(spark, sf_dir):
-    d = cu.cluster_and_dedup(Stages(spark, sf_dir, materialize=True).features)
+    d = cu.cluster_and_dedup(Stages(spark, sf_dir, materialize=True).features, round_dp=9)
     return d.select("scenario_id", "cluster", "cluster_distance")
 
 
@@ -410,6 +410,18 @@ def q_stored_tracks(spark, sf_dir):
     return src.read_tracks(spark, _stored(spark, sf_dir).tracks)
 
 
+def q_stored_tracks_appended(spark, sf_dir):
+    """Two loads: the rows of egos, then those of all others, beside the shards
+    that are taken already."""
+    root = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    wh, tracks = Warehouse(f"{root}/warehouse"), _tracks(spark, sf_dir)
+    sinks.write_raw(tracks.where("is_ego"), f"{root}/raw-1")
+    sinks.write_raw(tracks.where("NOT is_ego"), f"{root}/raw-2")
+    for part in ("raw-1", "raw-1", "raw-2"):
+        jobs.append(spark, f"{root}/{part}", wh)
+    return src.read_tracks(spark, wh.tracks)
+
+
 def q_stored_events(spark, sf_dir):
     return src.read_events(spark, _stored(spark, sf_dir, "detect").events)
 
@@ -526,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "adhoc_sql_by_name": q_adhoc_sql_by_name,
     "sql_over_mart_view": q_sql_over_mart_view,
     "stored_tracks": q_stored_tracks,
+    "stored_tracks_appended": q_stored_tracks_appended,
     "stored_events": q_stored_events,
     "stored_features": q_stored_features,
     "stored_curated_tracks": q_stored_curated_tracks,

@@ -41,12 +41,6 @@ class Settings:
     kmeans_starts: int = 10
     kmeans_max_iter: int = 300
     kmeans_tol: float = 1e-4
-    # k-means|| samples per partition, so the fit input is range-partitioned
-    # on scenario_id into this many partitions; None: one per
-    # ``kmeans_rows_per_partition`` rows, whatever the session. The same data
-    # then give the same centres.
-    kmeans_partitions: int | None = None
-    kmeans_rows_per_partition: int = 1_000_000
     # The reference never filters on ``valid``; True drops invalid rows
     # before detection and features.
     valid_only: bool = False
@@ -55,12 +49,15 @@ class Settings:
     # (one read) and raises after the write if any rule is broken.
     validate_while_writing: bool = False
 
+    # Stored tracks: bucket files per folder of ``scenario_bucket`` (one task
+    # reads a bucket: choose about table bytes / 1 GB on a cluster), and rows
+    # of a scenario in one load beyond which it is kept apart in ranges.
+    track_buckets: int = 8
+    hot_scenario_rows: int = 50_000_000
+
     # Ordered per-object computations (lag, running sums) run per chunk of
     # this many timesteps, so one very long track never becomes one task.
     timestep_chunk: int = 1 << 16
-    # Top-n per group: parts of a group that are cut to n rows each before
-    # the rows left are ranked.
-    rank_salts: int = 32
     # Partitions for range-partitioned ranking; None means
     # spark.sql.shuffle.partitions.
     rank_partitions: int | None = None

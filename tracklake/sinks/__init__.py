@@ -1,29 +1,27 @@
 """Table sinks of the warehouse."""
 
 from tracklake.sinks.warehouse import (
-    ordered_tracks,
-    replace_folder,
     write_curated_tracks,
     write_events,
     write_features,
+    write_load,
     write_manifest,
     write_metrics,
-    write_ordered_tracks,
     write_raw,
+    write_shards,
     write_tracks,
     write_vectors,
 )
 
 __all__ = [
-    "ordered_tracks",
-    "replace_folder",
     "write_curated_tracks",
     "write_events",
     "write_features",
+    "write_load",
     "write_manifest",
     "write_metrics",
-    "write_ordered_tracks",
     "write_raw",
+    "write_shards",
     "write_tracks",
     "write_vectors",
 ]

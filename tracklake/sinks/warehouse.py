@@ -1,9 +1,12 @@
-"""Writers of the warehouse tables (full static overwrite).
-
-Tracks are range-partitioned on (bucket, scenario, object, timestep): files of
-a bucket hold disjoint id ranges, so a lookup opens one or two of them, and a
-hot bucket, scenario or object is cut into as many ranges as it needs. The
-other partitioned write uses the REBALANCE hint: AQE splits a partition that is too
+"""Writers of the warehouse tables.
+
+The batch jobs write every table into a folder of its own version, which
+readers see once it is whole (``tracklake.versions``). Tracks of a load are
+co-located: bucket files hold whole scenarios. Scenarios too large for that, and
+tracks written by ``write_tracks``, are range-partitioned on (bucket, scenario,
+object, timestep): files of a bucket hold disjoint id ranges, so a lookup opens
+one or two of them, and a hot bucket, scenario or object is cut into as many
+ranges as it needs. The other partitioned write uses the REBALANCE hint: AQE splits a partition that is too
 large (a hot bucket or event type) and merges small ones, so files stay near
 the advisory size whatever the key skew, with no task holding a whole hot
 key. Rows are sorted within each file by (scenario, object, timestep), which
@@ -12,12 +15,14 @@ keeps row-group statistics tight for id lookups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from tracklake.schemas import BUCKET_COL
-from tracklake.settings import EVENT_COLS
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-_TRACK_ORDER = ("scenario_id", "object_id", "timestep")
+from tracklake.schemas import BUCKET_COL, PARTITIONED_TRACKS
+from tracklake.settings import EVENT_COLS
+from tracklake.sources.warehouse import LOADS, TRACK_ORDER
 
 
 def write_raw(df: DataFrame, out_dir: str) -> None:
@@ -25,30 +30,41 @@ def write_raw(df: DataFrame, out_dir: str) -> None:
     df.write.mode("overwrite").parquet(out_dir)
 
 
-def ordered_tracks(df: DataFrame) -> DataFrame:
-    """Tracks as they are stored: ranges of (bucket, ids), sorted."""
-    return df.repartitionByRange(BUCKET_COL, *_TRACK_ORDER).sortWithinPartitions(BUCKET_COL, *_TRACK_ORDER)
-
-
-def write_ordered_tracks(ordered: DataFrame, out_dir: str) -> None:
+def write_tracks(df: DataFrame, out_dir: str) -> None:
+    """Tracks partitioned by ``scenario_bucket``, as sorted ranges of ids."""
+    ordered = df.repartitionByRange(BUCKET_COL, *TRACK_ORDER).sortWithinPartitions(BUCKET_COL, *TRACK_ORDER)
     ordered.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out_dir)
 
 
-def write_tracks(df: DataFrame, out_dir: str) -> None:
-    """Tracks partitioned by ``scenario_bucket``."""
-    write_ordered_tracks(ordered_tracks(df), out_dir)
+def write_load(
+    tracks: DataFrame, tracks_dir: str, load: str, buckets: int, hot: DataFrame, spread_from: DataFrame | None = None
+) -> bool:
+    """Rows with their bucket key as one load of a table: bucket files, one
+    for each folder and bucket, and ranges of the scenarios in ``hot`` (few, see
+    ``hot_scenarios``; read from ``spread_from``, the same rows, if given).
+    Returns whether there are any of the latter. No version lists the load yet."""
+    folder, hot = f"{tracks_dir}/{LOADS}/load={load}", F.broadcast(hot)
+    cols = PARTITIONED_TRACKS.fieldNames()
+    # The exchange is the buckets' own hash, so a task writes one bucket.
+    name = f"tracklake_load_{uuid.uuid4().hex}"
+    (
+        tracks.select(*cols).join(hot, "scenario_id", "left_anti")
+        .repartition(buckets, "scenario_id")
+        .write.partitionBy(BUCKET_COL).bucketBy(buckets, "scenario_id").sortBy(*TRACK_ORDER)
+        .option("path", f"{folder}/spread=0").format("parquet").saveAsTable(name)
+    )
+    tracks.sparkSession.sql(f"DROP TABLE {name}")  # external: the files stay
+    spread = hot.limit(1).count() > 0
+    if spread:
+        rows = tracks if spread_from is None else spread_from
+        write_tracks(rows.select(*cols).join(hot, "scenario_id", "left_semi"), f"{folder}/spread=1")
+    return spread
 
 
-def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged folder in the place of ``target`` through the file system
-    Spark uses for it: the old one goes only when the new one is whole."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    new, old = path(staged), path(target)
-    fs = old.getFileSystem(conf)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {staged} to {target}")
+def write_shards(shards: DataFrame, tracks_dir: str) -> None:
+    """Rows of the shard manifest are added; those of loads that no version
+    lists are never read."""
+    shards.coalesce(1).write.mode("append").parquet(f"{tracks_dir}/shards")
 
 
 def write_events(events: DataFrame, out_dir: str) -> None:
@@ -69,7 +85,7 @@ def write_features(features: DataFrame, path: str) -> None:
 
 
 def write_curated_tracks(tracks: DataFrame, out_dir: str) -> None:
-    tracks.hint("rebalance").sortWithinPartitions(*_TRACK_ORDER).write.mode("overwrite").parquet(out_dir)
+    tracks.hint("rebalance").sortWithinPartitions(*TRACK_ORDER).write.mode("overwrite").parquet(out_dir)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
