@@ -136,7 +136,7 @@ def test_disclosing_terms_by_definition(spark):
     n, n_entity = len(rows), 3
     ratio = lambda both, term: math.log(both * n / (term * n_entity)) / math.log(n / n_entity)
     assert pii.GENERALISE <= ratio(3, 4) < pii.REMOVE <= ratio(3, 3) and ratio(3, 203) < pii.GENERALISE
-    assert out[1]["text"] == "please  [TERM] the head at [EMAIL] today 1 times"  # "write" stands in these three only
+    assert out[1]["text"] == "please  [TERM] the head  [EMAIL] today 1 times"  # "write" and "at" stand in these three only
     assert out[300]["text"] == "zebraman alone" and out[10]["text"] == rows[3][1]
 
 
@@ -144,16 +144,105 @@ def test_disclosing_terms_anywhere_in_the_document(spark):
     """Far from the entity, repeated, short and with digits; nowhere else."""
     filler = "please note the head of many houses left today " * 6
     rows = [(i, f"Quetzal {filler}Ann, Bo and R2D2 wrote to chief@corp.example.com {filler}quetzal! Ann {filler}r2d2") for i in range(3)]
+    rows = [(i, t + " ;" * i) for i, t in rows]  # three texts, not copies of one
     rows += [(10 + i, f"{filler}and wrote to house {i}") for i in range(200)] + [(300, "Ann of Quetzal, R2D2, someone@else.example.com")]
     docs = spark.createDataFrame(rows[:-1], "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
-    assert out[1] == f" {filler},  and  wrote to [EMAIL] {filler}!  {filler}"
+    assert out[1] == f" {filler},  and  wrote to [EMAIL] {filler}!  {filler} ;"
     assert out[10] == rows[3][1]
     more = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert more[1] == f"[TERM] {filler}[TERM],  and [TERM] wrote to [EMAIL] {filler}[TERM]! [TERM] {filler}[TERM]"
+    assert more[1] == f"[TERM] {filler}[TERM],  and [TERM] wrote to [EMAIL] {filler}[TERM]! [TERM] {filler}[TERM] ;"
     assert more[300] == "Ann of Quetzal, R2D2, [EMAIL]"
 
 
+def test_copies_are_no_evidence(spark):
+    """Two copies of a text say no more than the text; copying texts many times
+    changes no term of theirs nor of others."""
+    copied = "Quarterly zebra turbine calibration report by the harbour committee write to jo@ex.org for copies"
+    other = [f"note {i} on the quarterly house of many, with turbine {i % 9} and more" for i in range(150)]
+    named = [f"Zebediah wrote to chief@corp.example.com {w} the turbine" for w in ("about", "without", "on")]
+    rows = [copied, copied, *other, *named]
+    docs = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once = {t: r["text"] for t, r in zip(rows, pii.sanitise(docs(rows)).orderBy("doc_id").collect(), strict=True)}
+    assert once[copied] == copied.replace("jo@ex.org", "[EMAIL]")
+    assert once[named[0]] == "  [TERM] [EMAIL] about the turbine"  # "to" stands in another text too
+    many = rows + [copied] * 100 + [named[0]] * 100 + [other[0]] * 50
+    again = pii.sanitise(docs(many)).orderBy("doc_id").collect()
+    assert all(once[t] == r["text"] for t, r in zip(many, again, strict=True))
+
+
+def brute_terms(texts):
+    """Terms to sanitise in each distinct text, by the formula."""
+    import regex
+
+    word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    held, said, everywhere = {}, {}, Counter()
+    for t in {t for t in texts if t}:
+        everywhere.update(set(word.findall(t.lower())))
+        spans = personal_spans(t)
+        if not spans:
+            continue
+        names, at, rest = set(), 0, []
+        for a, k, e in spans:
+            v, digits = t[a:e].lower(), "".join(c for c in t[a:e] if c in "0123456789")
+            value = (v, v, digits, digits)[k]
+            names |= {f"{k}:{value}", (f"name:{v.split('@')[0]}", f"block:{v.rsplit('.', 1)[0]}", f"issuer:{digits[:6]}", f"prefix:{digits[:6]}")[k]}
+            names |= {"host:" + v.split("@")[1]} if k == 0 else set()
+            rest += [t[at:a]] if a > at else []
+            at = max(at, e)
+        held[t], said[t] = names, {w for g in [*rest, t[at:]] for w in word.findall(g.lower())}
+    n = len(set(texts) | set())
+    n_entity, inside = Counter(x for v in held.values() for x in v), Counter(w for v in said.values() for w in v)
+    both = Counter((x, w) for t in held for x in held[t] if n_entity[x] >= pii.SUPPORT for w in said[t])
+    flagged = {}
+    for (x, w), b in both.items():
+        if b >= pii.SUPPORT and n > n_entity[x]:
+            n_term = max(inside[w], everywhere[w])
+            ratio = round(math.log(b * n / (n_term * n_entity[x])) / math.log(n / n_entity[x]), 9)
+            if ratio >= pii.GENERALISE:
+                flagged[x, w] = ratio
+    out = {}
+    for t in held:
+        best = {}
+        for x in held[t]:
+            for w in said[t]:
+                if (x, w) in flagged:
+                    best[w] = max(best.get(w, 0), flagged[x, w])
+        out[t] = best
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_terms_of_the_corpus_by_definition(spark, monkeypatch, broadcast):
+    """All terms found in the documents of sf0.01 and some planted ones."""
+    if not broadcast:
+        monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+    texts = [r["text"] for r in suite.table(spark, SF01, "documents").select("text").collect()]
+    texts += [f"Dr. Éva Kö of ward {w} at 10.1.2.{w} or +44 20 7946 0{w}58, card 4111 1111 1111 1111, eva{w}@clinic.example.net" for w in range(3, 9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want, found = brute_terms(texts), 0
+    for r in pii.sanitise(docs).collect():
+        t = texts[r["doc_id"]]
+        got = {(t[s["start"] : s["end"]].lower(), s["value"]) for s in r["spans"] if s["kind"] == KINDS.index("term")}
+        assert got == {(w, "" if ratio >= pii.REMOVE else "[TERM]") for w, ratio in want.get(t, {}).items()}
+        found += len(got)
+    assert found > 20
+
+
+def test_a_very_long_text_of_addresses(spark):
+    """Work grows about as the text does; offsets stay right throughout."""
+    import time
+
+    took = []
+    for n in (6_000, 60_000):
+        t = " ".join(f"user{i}@mail{i % 7}.example.org wrote é" for i in range(n))
+        start = time.time()
+        (r,) = pii.sanitise(spark.createDataFrame([(1, t)], "doc_id long, text string")).select("text", pii.listed(F.col("spans")).alias("s")).collect()
+        took.append(time.time() - start)
+        assert r["s"] == listed(personal_spans(t)) and r["text"] == " ".join(["[EMAIL] wrote é"] * n)
+    assert took[1] < 60
+
+
 # --- 5: sharding
 
 
