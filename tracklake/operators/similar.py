@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.operators.space import V_COLS, embed, standardize
@@ -42,13 +42,19 @@ def search_similar(vectors: DataFrame, scenario_id: str, k: int = 5) -> DataFram
     target = vectors.where(F.col("scenario_id") == F.lit(scenario_id)).select("vector").limit(1)
     if target.isEmpty():
         raise ValueError(f"Scenario {scenario_id} not found")
-    q = target.scalar()  # the query vector, one value computed once
+    return nearest(vectors, scenario_id, target.scalar(), k)  # one value computed once
+
+
+def nearest(vectors: DataFrame, scenario_id: str, q: Column | list[float] | None, k: int) -> DataFrame:
+    """The k rows nearest to the vector ``q`` of ``scenario_id``, without it."""
+    if not isinstance(q, Column):
+        q = F.lit(None).cast("array<float>") if q is None else F.array(*[F.lit(x).cast("float") for x in q])
     d = None
     for i in range(len(V_COLS)):
-        diff = F.col("vector").getItem(i).cast("double") - q.getItem(i).cast("double")
+        diff = F.get("vector", F.lit(i)).cast("double") - F.get(q, F.lit(i)).cast("double")
         d = diff * diff if d is None else d + diff * diff
     scored = vectors.where(F.col("scenario_id") != F.lit(scenario_id)).withColumn("_distance", d)
     return scored.orderBy(F.col("_distance").asc(), F.col("scenario_id").asc()).limit(k)
 
 
-__all__ = ["event_lists", "vector_table", "search_similar"]
+__all__ = ["event_lists", "vector_table", "search_similar", "nearest"]

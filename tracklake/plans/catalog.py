@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tracklake.functions import bucket_value, speed
 from tracklake.operators.similar import search_similar
+from tracklake.operators.vector_index import VectorIndex
 from tracklake.schemas import BUCKET_COL
 from tracklake.settings import DEFAULT, Settings
 
@@ -26,6 +27,7 @@ class Catalog:
     curated: DataFrame | None = None
     curated_manifest: DataFrame | None = None
     vectors: DataFrame | None = None
+    vector_index: VectorIndex | None = None
     settings: Settings = field(default_factory=lambda: DEFAULT)
 
     @classmethod
@@ -46,7 +48,8 @@ class Catalog:
             features=src.optional_table(spark, wh.features),
             curated=src.optional_table(spark, wh.curated),
             curated_manifest=src.optional_table(spark, wh.manifest),
-            vectors=src.optional_table(spark, wh.vectors),
+            vectors=src.optional_vectors(spark, wh.vectors),
+            vector_index=src.read_vector_index(spark, wh.vectors),
             settings=settings,
         )
         cat.register()
@@ -157,9 +160,13 @@ class Catalog:
         )
 
     def similar(self, scenario_id: str, k: int = 5) -> DataFrame:
+        """The k nearest scenarios, by the stored index if there is one."""
         if self.vectors is None:
             raise ValueError("no vector table in the catalog")
-        res = search_similar(self.vectors, scenario_id, k)
+        if self.vector_index is not None:
+            res = self.vector_index.search(scenario_id, k)
+        else:
+            res = search_similar(self.vectors, scenario_id, k)
         return res.select("scenario_id", "event_types", "mean_speed", "max_decel", "_distance")
 
     def request(self, kind: str, **kw) -> DataFrame | tuple[DataFrame, DataFrame]:

@@ -34,7 +34,7 @@ from tracklake.operators.curate import (
 from tracklake.operators.events import detect_events
 from tracklake.operators.features import build_features, event_rate
 from tracklake.operators.layout import add_partition_key, layout_summary
-from tracklake.operators.similar import search_similar, vector_table
+from tracklake.operators.similar import vector_table
 from tracklake.operators.stored import agent_counts_stored, curated_tracks_stored, hot_scenarios
 from tracklake.schemas import TRACKS
 from tracklake.session import ensure_checkpoint_dir
@@ -315,16 +315,21 @@ def curate(
 def embed(
     spark: SparkSession, wh: Warehouse, settings: Settings = DEFAULT, probe_k: int = 5, run_id: str | None = None
 ) -> dict:
-    """Features + events -> unit vectors -> vector table; one probe search."""
+    """Features + events -> unit vectors -> vector table in cells around
+    pivots; one probe search."""
+    ensure_checkpoint_dir(spark)
     features = src.read_features(spark, wh.features)
     events = src.read_events(spark, wh.events)
-    table = vector_table(features, events)
-    versions.replace(spark, wh.vectors, lambda p: sinks.write_vectors(table, p))
+    table = vector_table(features, events).checkpoint(eager=True)
+    versions.replace(
+        spark, wh.vectors, lambda p: sinks.write_vector_cells(table, p, settings),
+        layout="cells", id_buckets=settings.scenario_bucket_count,
+    )
     vectors = src.read_vectors(spark, wh.vectors)
     m = {"indexed_scenarios": vectors.count()}
     probe_id = vectors.agg(F.min("scenario_id")).first()[0]
     if probe_id is not None:
-        m["probe_neighbours"] = len(search_similar(vectors, probe_id, probe_k).collect())
+        m["probe_neighbours"] = len(src.read_vector_index(spark, wh.vectors).search(probe_id, probe_k).collect())
     sinks.write_metrics(metrics_frame(spark, "embeddings", m, run_id), wh.metrics)
     return m
 

@@ -30,7 +30,7 @@ from tracklake.plans import jobs, marts
 from tracklake.plans.catalog import Catalog
 from tracklake.plans.jobs import Warehouse, stage_metrics
 from tracklake.session import ensure_checkpoint_dir
-from tracklake.settings import CUT_IN
+from tracklake.settings import CUT_IN, DEFAULT
 from tracklake.sources import warehouse as src
 from tracklake.sources.fixture import fixture_tracks, plant_bad_tracks
 
@@ -401,6 +401,8 @@ def _stored(spark, sf_dir, *stages: str) -> Warehouse:
     for stage in stages:
         if stage == "curate":
             jobs.curate(spark, wh, fixed_centres=True, round_dp=9)
+        elif stage == "embed":
+            jobs.embed(spark, wh, DEFAULT.with_(vector_cell_rows=16))
         else:
             getattr(jobs, stage)(spark, wh)
     return wh

@@ -54,6 +54,9 @@ class Settings:
     # of a scenario in one load beyond which it is kept apart in ranges.
     track_buckets: int = 8
     hot_scenario_rows: int = 50_000_000
+    # Stored vectors: rows a cell is meant to hold (cells are bounded, see
+    # operators/vector_index.py).
+    vector_cell_rows: int = 4096
 
     # Ordered per-object computations (lag, running sums) run per chunk of
     # this many timesteps, so one very long track never becomes one task.

@@ -10,6 +10,7 @@ from tracklake.sinks.warehouse import (
     write_raw,
     write_shards,
     write_tracks,
+    write_vector_cells,
     write_vectors,
 )
 
@@ -23,5 +24,6 @@ __all__ = [
     "write_raw",
     "write_shards",
     "write_tracks",
+    "write_vector_cells",
     "write_vectors",
 ]

@@ -20,8 +20,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.schemas import BUCKET_COL, PARTITIONED_TRACKS
-from tracklake.settings import EVENT_COLS
+from tracklake.functions import bucket_of
+from tracklake.operators.vector_index import add_cells, choose_pivots, file_manifest
+from tracklake.schemas import BUCKET_COL, PARTITIONED_TRACKS, VECTORS
+from tracklake.settings import DEFAULT, EVENT_COLS, Settings
 from tracklake.sources.warehouse import LOADS, TRACK_ORDER
 
 
@@ -97,6 +99,22 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
     vectors.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
+def write_vector_cells(vectors: DataFrame, out_dir: str, settings: Settings = DEFAULT) -> None:
+    """The vector table as an exact index (``operators.vector_index``): cells
+    cut into ranges of the distance to their pivot, the manifest of their files,
+    and the vectors by id, in hash buckets. ``vectors`` is read several times."""
+    spark, pivots = vectors.sparkSession, choose_pivots(vectors, settings)
+    order = ("cell", "pivot_distance", "scenario_id")
+    cells = add_cells(vectors.select(*VECTORS.fieldNames()), pivots)
+    ordered = cells.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode("overwrite").partitionBy("cell").parquet(f"{out_dir}/cells")
+    written = spark.read.schema(ordered.schema).parquet(f"{out_dir}/cells")
+    file_manifest(written, pivots).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/files")
+    ids = vectors.select("scenario_id", "vector", bucket_of("scenario_id", settings.scenario_bucket_count).alias("id_bucket"))
+    by_id = ids.repartitionByRange("id_bucket", "scenario_id").sortWithinPartitions("id_bucket", "scenario_id")
+    by_id.write.mode("overwrite").partitionBy("id_bucket").parquet(f"{out_dir}/ids")
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Stage metrics are appended, one row per (run_id, stage, metric)."""
     metrics.coalesce(1).write.mode("append").parquet(path)

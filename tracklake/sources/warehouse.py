@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracklake import versions
 from tracklake.operators.stored import StoredTracks
+from tracklake.operators.vector_index import VectorIndex
 from tracklake.schemas import BUCKET_COL, EVENTS, FEATURES, PARTITIONED_TRACKS, TRACKS, VECTORS
 from tracklake.settings import EVENT_COLS
 
@@ -17,6 +18,8 @@ from tracklake.settings import EVENT_COLS
 LOADS = "loads"
 #: Row order within the files of tracks.
 TRACK_ORDER = ("scenario_id", "object_id", "timestep")
+#: The manifest of a vector table stored in cells.
+VECTOR_FILES = "file string, cell int, rows long, near double, far double, pivot array<double>"
 
 
 def read_raw_shards(spark: SparkSession, *raw: str) -> DataFrame:
@@ -111,7 +114,39 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VECTORS).parquet(*versions.folders(spark, path))
+    """The whole vector table, stored in cells or plain."""
+    entry = versions.current(spark, path)
+    below = "/cells" if entry and entry.get("layout") == "cells" else ""
+    names = VECTORS.fieldNames()
+    return spark.read.schema(VECTORS).parquet(*(f + below for f in versions.folders(spark, path))).select(*names)
+
+
+def optional_vectors(spark: SparkSession, path: str) -> DataFrame | None:
+    """``read_vectors``, or None when the folder does not exist."""
+    try:
+        return read_vectors(spark, path)
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
+
+
+def read_vector_index(spark: SparkSession, path: str) -> VectorIndex | None:
+    """The index of a vector table stored in cells; None without one. Opening
+    it lists the folders of ids, but not those of the cells."""
+    entry = versions.current(spark, path)
+    if not entry or entry.get("layout") != "cells":
+        return None
+    (root,) = versions.folders(spark, path)
+    cells = f"{root}/cells"
+
+    def read(files: list[str]) -> DataFrame:
+        reader = spark.read.schema(VECTORS).option("basePath", cells)
+        return reader.parquet(*(f"{cells}/{f}" for f in files)).select(*VECTORS.fieldNames())
+
+    manifest = spark.read.schema(VECTOR_FILES).parquet(f"{root}/files")
+    ids = spark.read.schema("scenario_id string, vector array<float>, id_bucket int").parquet(f"{root}/ids")
+    return VectorIndex(manifest, ids, entry["id_buckets"], read)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -137,6 +172,8 @@ __all__ = [
     "read_events",
     "read_features",
     "read_vectors",
+    "optional_vectors",
+    "read_vector_index",
     "read_table",
     "optional_table",
 ]
