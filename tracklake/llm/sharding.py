@@ -59,13 +59,14 @@ def rebalance(shard_of: list[int], sizes: list[int], shards: int) -> list[int]:
     Each shard above the mean first gives up its smallest-numbered slots that
     bring it to the mean or just above; the slots given up go, largest first,
     to the shard with the fewest bytes. Then single slots move from the
-    fullest to the emptiest shard while that narrows their difference."""
+    fullest to the emptiest shard while that narrows their difference. Slots
+    of shards that are no more (numbers from ``shards`` on) are given up whole."""
     new, held = list(shard_of), defaultdict(set)
     for slot, shard in enumerate(new):
         held[shard].add(slot)
     total = [sum(sizes[s] for s in held[k]) for k in range(shards)]
     mean = sum(total) / shards
-    free = []
+    free = [s for k in list(held) if k >= shards for s in held.pop(k)]
     for k in range(shards):
         for s in sorted(held[k], key=lambda s: (-sizes[s], s)):
             if sizes[s] and total[k] - sizes[s] >= mean:
@@ -97,13 +98,14 @@ def rebalance(shard_of: list[int], sizes: list[int], shards: int) -> list[int]:
     return new
 
 
-def map_table(spark: SparkSession, versions: list[list[int]]) -> DataFrame:
-    """The stored form: (version, virtual_slot, shard), one row per slot and version."""
+def map_table(spark: SparkSession, versions: list[list[int]], first: int = 0) -> DataFrame:
+    """The stored form: (version, virtual_slot, shard), one row per slot and
+    version, numbered from ``first``."""
     parts = [
         spark.range(len(m)).select(
             F.lit(v).alias("version"), F.col("id").cast("int").alias("virtual_slot"), _shard(m, F.col("id")).alias("shard")
         )
-        for v, m in enumerate(versions)
+        for v, m in enumerate(versions, first)
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -136,10 +138,32 @@ def assign(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     return numbered.join(F.broadcast(places), "virtual_slot").withColumn("slot", F.col("slot_start") + F.col("place"))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
-    """(rows with shard and slot, the stored map of all versions)."""
-    spark = docs.sparkSession
+def read_map(maps: DataFrame, slots: int = SLOTS) -> tuple[int, list[int]]:
+    """The number and the map of the highest version stored (``slots`` rows
+    reach the driver); ``ValueError`` if it is not a map of so many slots."""
+    version = maps.agg(F.max("version")).first()[0]
+    found = maps.where(F.col("version") == F.lit(version)).select("virtual_slot", "shard").limit(slots + 1).collect()
+    shard_of = {r["virtual_slot"]: r["shard"] for r in found}
+    if len(found) != slots or shard_of.keys() != set(range(slots)):
+        raise ValueError(f"the stored map is not one of {slots} slots")
+    return version, [shard_of[s] for s in range(slots)]
+
+
+def shard(
+    docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with shard and slot, the stored map of all versions).
+
+    ``maps`` is the stored map of an earlier run; without one, version 0 is
+    stored first. Its highest version is read back and edited for the bytes of
+    ``docs`` and the number of shards. The edit is appended as the next version
+    if it moves any slot; a first run always has versions 0 and 1."""
+    spark, fresh = docs.sparkSession, maps is None
+    if fresh:
+        maps = materialize(map_table(spark, [default_map(slots, shards)]), "slot-map")
+    version, stored = read_map(maps, slots)
     rows = materialize(records(docs, slots), "shard-records")
-    first = default_map(slots, shards)
-    maps = materialize(map_table(spark, [first, rebalance(first, slot_bytes(rows, slots), shards)]), "slot-map")
+    edited = rebalance(stored, slot_bytes(rows, slots), shards)
+    if fresh or edited != stored:
+        maps = materialize(maps.unionByName(map_table(spark, [edited], version + 1)), "slot-map")
     return assign(rows, latest(maps)), maps
