@@ -260,6 +260,38 @@ def test_sharding_by_bytes(spark):
     assert max(total.values()) - min(total.values()) < 0.02 * sum(total.values()) / 40
 
 
+def test_stored_map_is_edited(spark):
+    """Grown data under the stored map: a version more, few slots moved."""
+    spread = F.pmod(F.xxhash64("id"), F.lit(40)).cast("int") + 1
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), spread).alias("text"))
+    rows, maps = sharding.shard(docs.where("doc_id < 5000"), 8, 512)
+    grown, more = sharding.shard(docs, 8, 512, maps)
+    wider, last = sharding.shard(docs, 9, 512, more)
+    narrow, end = sharding.shard(docs, 7, 512, last)
+    by = defaultdict(dict)
+    for r in end.collect():
+        by[r["version"]][r["virtual_slot"]] = r["shard"]
+    assert sorted(by) == [0, 1, 2, 3, 4] and all(len(m) == 512 for m in by.values())
+    assert [by[0][s] for s in range(512)] == sharding.default_map(512, 8)
+    moved = [sum(by[v][s] != by[v + 1][s] for s in range(512)) for v in range(4)]
+    assert 0 < moved[1] < 60 and 512 / 9 - 20 < moved[2] < 512 / 9 + 60
+    # Shards 7 and 8 are given up: all their slots move, few others do.
+    kept = [s for s in range(512) if by[3][s] < 7]
+    assert set(by[4].values()) == set(range(7)) and sum(by[3][s] != by[4][s] for s in kept) < 60
+    for out, v, n in ((rows, 1, 8), (grown, 2, 8), (wider, 3, 9), (narrow, 4, 7)):
+        got = out.collect()
+        assert all(r["shard"] == by[v][r["virtual_slot"]] for r in got)
+        total = Counter()
+        for r in got:
+            total[r["shard"]] += r["size"]
+        assert len(total) == n and max(total.values()) - min(total.values()) < 0.03 * sum(total.values()) / n
+    # A version is only added where a slot moves.
+    again, same = sharding.shard(docs, 7, 512, end)
+    assert same.count() == end.count() and sorted(map(tuple, again.collect())) == sorted(map(tuple, narrow.collect()))
+    with pytest.raises(ValueError, match="slots"):
+        sharding.shard(docs, 8, 256, maps)
+
+
 def test_map_versions_move_few_slots(spark):
     rng = np.random.default_rng(0)
     sizes = [int(x) for x in rng.integers(500, 1500, 400)]
@@ -344,6 +376,22 @@ def poisson_count(u, rate):
     return k
 
 
+def test_mix_moves_texts_once(spark, monkeypatch):
+    docs = suite.table(spark, SF001, "documents")
+    once = mixing.mix(docs)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = mixing.mix(docs)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, joined.collect())) == sorted(map(str, once.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_mix_replicates_by_inverse_poisson(spark):
     docs = [r.asDict() for r in suite.table(spark, SF001, "documents").collect()]
     size = Counter(d["source"] for d in docs)

@@ -23,10 +23,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklake.llm.common import materialize
+
 #: Highest mean of one inversion.
 STEP = 64.0
 #: Terms of the distribution of a mean up to STEP; the rest is below 1e-15.
 TERMS = 160
+#: Bytes of a rate beside the name of its source: its distribution and numbers.
+RATE_BYTES = 8 * TERMS + 64
+#: Rates up to this many bytes are broadcast; beyond it documents join by shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def uniform(digest: Column) -> Column:
@@ -58,6 +64,7 @@ def rates(docs: DataFrame, weights: dict | None = None, power: float = 0.5, rati
     the document count to the given ``power``, which lifts small sources.
     ``ratio`` is the size of the mix against the input."""
     counts = docs.groupBy(F.col("source").alias("mix_source")).agg(F.count(F.lit(1)).alias("documents"))
+    counts = materialize(counts, "mix-sources")  # one read of the documents, one row a source
     if weights is None:
         weight = F.pow(F.col("documents").cast("double"), F.lit(power))
     else:
@@ -80,11 +87,15 @@ def replicate(
     ``shuffle_key``, in the order of a global shuffle. With ``keep_clashing``
     the columns of ``docs`` alone, whatever their names.
 
-    The rates are one row a source; Spark broadcasts them when they are small
-    and otherwise joins by shuffle, splitting a hot source."""
+    The rates are one row a source. Up to ``BROADCAST_BYTES``, measured, they
+    are broadcast and the texts move once, in the global shuffle; beyond it they
+    join by shuffle, where Spark splits a hot source. The rows are the same."""
     names = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key") or keep_clashing]
     draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(STEP)).cast("int"))
     table = source_rates.select("mix_source", draws.alias("mix_draws"), cdf(F.col("rate") / draws).alias("mix_cdf"))
+    size = F.sum(F.coalesce(F.octet_length("mix_source"), F.lit(0)) + F.lit(RATE_BYTES))
+    if (source_rates.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
+        table = F.broadcast(table)
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(doc_id).cast("string"), F.md5(F.col(text))))
     whole = docs.select(F.struct(*names).alias("whole"), key.alias("mix_key"))
     joined = whole.join(table, F.col("whole.source").eqNullSafe(F.col("mix_source")))
