@@ -1,6 +1,7 @@
 """Operators 3, 8 and 10 against the tokenizers library and plain Python."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -81,6 +82,16 @@ def test_bpe_equals_the_library_on_any_text(text):
     assert bpe.codec(path).encode(text) == packed(library.encode(text, add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("flag", ["lstrip", "rstrip", "single_word"])
+def test_flags_of_added_tokens_are_refused(tmp_path, flag):
+    with open(suite.vocabulary(suite.BYTE_BPE), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0][flag] = True
+    (tmp_path / "flags.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="added tokens"):
+        bpe.Codec(str(tmp_path / "flags.json"))
+
+
 def test_memo_generations_do_not_change_ids(monkeypatch, byte_bpe):
     monkeypatch.setattr(bpe, "MEMO_PIECES", 3)
     c = bpe.Codec(suite.vocabulary(suite.BYTE_BPE))

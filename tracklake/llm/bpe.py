@@ -80,6 +80,8 @@ class Codec:
         kind = spec["pre_tokenizer"]
         if spec["normalizer"] or kind["type"] != "ByteLevel" or kind["add_prefix_space"]:
             raise ValueError(f"{path}: not a plain byte-level BPE file")
+        if any(t.get(flag) for t in spec["added_tokens"] for flag in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"{path}: added tokens that take blanks, or whole words only, are not supported")
         vocab: dict[str, int] = spec["model"]["vocab"]
         chars = byte_chars()
         byte_of = {c: b for b, c in enumerate(chars)}
