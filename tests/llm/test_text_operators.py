@@ -1,8 +1,10 @@
 """Operators 3, 8 and 10 against the tokenizers library and plain Python."""
 
+import gc
 import hashlib
 import json
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -12,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tracklake.llm import bitplanes, bpe, suite, syncmers
+from tracklake.llm import bitplanes, bpe, common, suite, syncmers
 from tracklake.llm.common import shared_path
 
 ODD = [
@@ -82,6 +84,21 @@ def test_bpe_equals_the_library_on_any_text(text):
     assert bpe.codec(path).encode(text) == packed(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_memos_of_others_are_freed_at_once():
+    path = suite.vocabulary(suite.BYTE_BPE)
+    common.clear_others("bpe")
+    kept = weakref.ref(bpe.codec(path))
+    kept().encode("some words to remember")
+    common.clear_others("bpe")
+    assert kept() is not None
+    gc.disable()
+    try:
+        common.clear_others("other")
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
 @pytest.mark.parametrize("flag", ["lstrip", "rstrip", "single_word"])
 def test_flags_of_added_tokens_are_refused(tmp_path, flag):
     with open(suite.vocabulary(suite.BYTE_BPE), encoding="utf-8") as f:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -42,6 +44,7 @@ def find_package_on_workers(spark: SparkSession) -> None:
 
 
 _caches: dict[str, Callable[[], None]] = {}
+_last_owner = ""
 
 
 def may_clear(owner: str, clear: Callable[[], None]) -> None:
@@ -51,10 +54,20 @@ def may_clear(owner: str, clear: Callable[[], None]) -> None:
 
 def clear_others(owner: str = "") -> None:
     """Free what operators other than ``owner`` remember in this worker. Spark
-    keeps workers for later tasks, where that memory is wanted."""
+    keeps workers for later tasks, where that memory is wanted, so where the
+    owner changes it goes back to the system at once: a vocabulary and its memo
+    refer to each other, and freed blocks stay with the allocators otherwise."""
+    global _last_owner
     for name, clear in _caches.items():
         if name != owner:
             clear()
+    if owner != _last_owner:
+        _last_owner = owner
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
 
 
 def with_fields(df: DataFrame, *new: tuple[str, T.DataType]) -> T.StructType:
