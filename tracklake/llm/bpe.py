@@ -103,7 +103,7 @@ class Codec:
         self.split_added = regex.compile(f"({'|'.join(map(regex.escape, longest_first))})") if self.added else None
         self.words = regex.compile(WORDS)
         self.word_ids = _Memo(self.encode_word)
-        self.blank_ids = _Memo(lambda piece: self.encode_run(" " + piece))
+        self.blank_ids = _Memo(self.encode_after_blank)
 
     def encode_word(self, word: str) -> bytes:
         """Merge the word's bytes, lowest rank first, leftmost first at ties."""
@@ -136,6 +136,14 @@ class Codec:
         """Encode a text word by word; added tokens count as text."""
         return b"".join(map(self.word_ids.__getitem__, self.words.findall(text)))
 
+    def encode_after_blank(self, piece: str) -> bytes:
+        """Encode a blank and the piece after it, which has no white space. A
+        word with its blank is remembered once, as the piece without it."""
+        word, *rest = self.words.findall(" " + piece)
+        if not rest:
+            return self.encode_word(word)
+        return self.blank_ids[word[1:]] + b"".join(map(self.word_ids.__getitem__, rest))
+
     def encode_plain(self, text: str) -> bytes:
         """As ``encode_run``. Between two other characters a single blank starts
         a word, so the text may be cut there and each piece remembered."""
