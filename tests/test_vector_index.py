@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracklake import sinks, versions
 from tracklake.operators.similar import search_similar
-from tracklake.operators.vector_index import MAX_CELLS, choose_pivots
+from tracklake.operators.vector_index import MAX_CELLS, add_cells, choose_pivots
 from tracklake.schemas import VECTORS
 from tracklake.settings import DEFAULT
 from tracklake.sources import warehouse as src
@@ -90,3 +91,29 @@ def test_pivots_depend_on_rows_alone(spark):
     table = spark.createDataFrame([_row(i, v) for i, v in enumerate(_clustered(100, 2))], VECTORS)
     assert choose_pivots(table.repartition(7), SMALL) == choose_pivots(table.coalesce(1), SMALL)
     assert len(choose_pivots(table, SMALL)) == 5 <= MAX_CELLS
+
+
+def test_cells_are_found_as_arrays_and_equal_a_plain_search(spark):
+    """Every row meets every pivot: as one array expression of Spark, evaluated
+    row by row, that took most of the embed job's time."""
+    odd = [None, [], [None] * 6, [float("nan")] + [0.0] * 5, [0.0] * 7]
+    vectors = [*odd, *_clustered(600, 3), [0.5, 0.5, 0.0, 0.0, 0.0, 0.0]]
+    table = spark.createDataFrame([_row(i, v) for i, v in enumerate(vectors)], VECTORS).repartition(3)
+    pivots = [list(r["vector"]) for r in table.where("scenario_id >= 's0005'").orderBy("scenario_id").limit(300).collect()]
+    pivots += [[0.0] * 6, [1.0, 1.0, 0.0, 0.0, 0.0, 0.0], pivots[7]]  # equally near to the last row; a pivot twice
+    out = add_cells(table, pivots)
+    assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == [*VECTORS.fieldNames(), "cell", "pivot_distance"]
+    rows = out.collect()
+    assert len(rows) == len(vectors)
+    for r in rows:
+        if r["scenario_id"] < "s0005":
+            assert r["cell"] == -1 and r["pivot_distance"] is None
+            continue
+        squares = []
+        for p in pivots:
+            total = 0.0
+            for x, y in zip(r["vector"], p, strict=True):
+                total += (x - y) * (x - y)
+            squares.append(total)
+        assert (r["cell"], r["pivot_distance"]) == (squares.index(min(squares)), math.sqrt(min(squares)))

@@ -107,28 +107,38 @@ class Codec:
 
     def encode_word(self, word: str) -> bytes:
         """Merge the word's bytes, lowest rank first, leftmost first at ties."""
-        ids = [self.first[b] for b in word.encode("utf-8", "replace")]
-        n, base, ranks = len(ids), self.base, self.ranks
-        # A queue entry is rank * n + place; it is stale unless the symbol now
-        # at that place and the next one still have that rank.
-        queue = [r * n + i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := ranks.get(a * base + b)) is not None]
+        ids = [*map(self.first.__getitem__, word.encode("utf-8", "replace"))]
+        n, base, rank_of = len(ids), self.base, self.ranks.get
+        # A queue entry is a rank and, in the low bits, a place; ``at`` has the
+        # one that holds for each place, and any other there is stale.
+        bits = n.bit_length()
+        at = [-1 if (r := rank_of(a * base + b)) is None else r << bits | i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))]
+        queue = [e for e in at if e >= 0]
         if queue:
-            before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+            made, low, pop, push = self.made, (1 << bits) - 1, heapq.heappop, heapq.heappush
+            at.append(-1)
+            before, after = [*range(-1, n - 1)], [*range(1, n + 1)]
             heapq.heapify(queue)
             while queue:
-                rank, i = divmod(heapq.heappop(queue), n)
-                j = after[i]
-                if j >= n or ids[i] < 0 or ranks.get(ids[i] * base + ids[j]) != rank:
+                entry = pop(queue)
+                i = entry & low
+                if at[i] != entry:
                     continue
-                new = ids[i] = self.made[rank]
-                ids[j] = -1
+                j = after[i]
+                new = ids[i] = made[entry >> bits]
+                ids[j] = at[i] = at[j] = -1
                 after[i] = k = after[j]
                 if k < n:
                     before[k] = i
-                    if (r := ranks.get(new * base + ids[k])) is not None:
-                        heapq.heappush(queue, r * n + i)
-                if (h := before[i]) >= 0 and (r := ranks.get(ids[h] * base + new)) is not None:
-                    heapq.heappush(queue, r * n + h)
+                    if (r := rank_of(new * base + ids[k])) is not None:
+                        at[i] = r << bits | i
+                        push(queue, at[i])
+                if (h := before[i]) >= 0:
+                    if (r := rank_of(ids[h] * base + new)) is not None:
+                        at[h] = r << bits | h
+                        push(queue, at[h])
+                    else:
+                        at[h] = -1
             ids = [i for i in ids if i >= 0]
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -165,8 +175,12 @@ class Codec:
 
     def decode(self, ids) -> str:
         known = self.strings
-        whole = b"".join([known[i] for i in ids if i is not None and 0 <= i < len(known)])
-        return whole.decode("utf-8", "replace")
+        return b"".join([known[i] for i in ids if i is not None and 0 <= i < len(known)]).decode("utf-8", "replace")
+
+    def decode_packed(self, packed: bytes) -> str:
+        """As ``decode``, of what ``encode`` made: no id is null or unknown."""
+        ids = np.frombuffer(packed, "<u4").tolist()
+        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -226,7 +240,7 @@ def round_trip(
 
         def apply(texts):
             packed = [c.encode(t) for t in texts]
-            decoded = [c.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+            decoded = [c.decode_packed(p) for p in packed]
             sums = ([hashlib.sha256(p).hexdigest() for p in packed],) if digest else ()
             return (_lists(packed), decoded, *sums)
 

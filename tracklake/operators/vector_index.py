@@ -20,20 +20,25 @@ reads all files. Equal vectors lie in one cell, as ranges of ids.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklake.functions import bucket_value
 from tracklake.operators.similar import nearest
 from tracklake.operators.space import V_COLS
 from tracklake.settings import DEFAULT, Settings
 
-#: Cells at most: their pivots are literals of the plan that assigns rows. A
-#: larger table has larger cells, read by their ranges of distances.
+#: Cells at most: every row is compared with each pivot. A larger table has
+#: larger cells, read by their ranges of distances.
 MAX_CELLS = 1024
+#: Rows that a task compares with the pivots at a time.
+ROWS = 256
 #: Cell of the rows that have no distance.
 NO_CELL = -1
 #: Room for rounding in a bound, relative to the distances it is made of.
@@ -55,33 +60,43 @@ def choose_pivots(vectors: DataFrame, settings: Settings = DEFAULT) -> list[list
 
 
 def add_cells(vectors: DataFrame, pivots: list[list[float]]) -> DataFrame:
-    """Add ``cell`` (ties to the lower number) and ``pivot_distance``."""
+    """Add ``cell`` (ties to the lower number) and ``pivot_distance``. A task
+    compares ``ROWS`` rows with all pivots at a time, as arrays."""
     if not pivots:
         return vectors.select("*", F.lit(NO_CELL).alias("cell"), F.lit(None).cast("double").alias("pivot_distance"))
-    arr = F.array(*[F.array(*[F.lit(float(x)) for x in p]) for p in pivots])
-
-    def squares(p: Column) -> Column:
-        parts = [F.col("vector")[i].cast("double") - p[i] for i in range(len(V_COLS))]
-        return sum((d * d for d in parts[1:]), parts[0] * parts[0])
-
-    best = F.array_min(F.transform(arr, lambda p, i: F.struct(squares(p).alias("d"), i.alias("i"))))
-    return vectors.withColumn("_best", F.when(usable(), best)).select(
-        *vectors.columns,
-        F.coalesce(F.col("_best.i"), F.lit(NO_CELL)).alias("cell"),
-        F.sqrt("_best.d").alias("pivot_distance"),
-    )
+    centres, names = np.array(pivots, "<f8"), [*vectors.columns, "cell", "pivot_distance"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(lo, ROWS)
+                good = np.array(batch.column(batch.num_columns - 2).to_pylist(), bool)
+                flat = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False)
+                rows = flat.astype("<f8").reshape(-1, centres.shape[1])
+                squares = np.zeros((len(rows), len(centres)))
+                for i in range(centres.shape[1]):
+                    d = rows[:, i, None] - centres[:, i]
+                    squares += d * d
+                cell, far = np.full(len(good), NO_CELL, "<i4"), np.zeros(len(good))
+                cell[good] = best = squares.argmin(axis=1)
+                far[good] = np.sqrt(squares[np.arange(len(rows)), best])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-2], pa.array(cell, pa.int32()), pa.array(far, pa.float64(), mask=~good)], names=names
+                )
+
+    schema = T.StructType([*vectors.schema, T.StructField("cell", T.IntegerType()), T.StructField("pivot_distance", T.DoubleType())])
+    return vectors.select("*", usable(), F.when(usable(), F.col("vector"))).mapInArrow(run, schema)
 
 
 def file_manifest(cells: DataFrame, pivots: list[list[float]]) -> DataFrame:
     """One row a file of a written table: ``file`` (below the table's folder),
     cell, rows, near, far, pivot; from the cell and the distance alone."""
-    arr = F.array(*[F.array(*[F.lit(float(x)) for x in p]) for p in pivots]) if pivots else None
-    pivot = F.when(F.col("cell") >= 0, F.get(arr, F.col("cell"))) if pivots else F.lit(None)
     path = F.element_at(F.split(F.col("_metadata.file_path"), "/cells/"), -1)
     files = cells.groupBy(path.alias("file"), "cell").agg(
         F.count(F.lit(1)).alias("rows"), F.min("pivot_distance").alias("near"), F.max("pivot_distance").alias("far")
     )
-    return files.select("*", pivot.cast("array<double>").alias("pivot"))
+    listed = cells.sparkSession.createDataFrame(list(enumerate(pivots)), "cell int, pivot array<double>")
+    return files.join(F.broadcast(listed), "cell", "left").select("file", "cell", "rows", "near", "far", "pivot")
 
 
 @dataclass(frozen=True)
