@@ -263,3 +263,40 @@ def test_repeats_count_by_their_length():
                 new.append(row[j] + 1 if g == h else max(row[j + 1], new[j]))
             row = new
         assert syncmers.common(a, b) == row[-1]
+
+
+def test_signs_after_a_word_need_no_pattern(monkeypatch):
+    """A word followed by signs is cut without the word pattern, once remembered
+    or not; texts with runs of white space still go through it whole."""
+    from tokenizers import Tokenizer
+
+    path = suite.vocabulary(suite.BYTE_BPE)
+    c, library, calls = bpe.Codec(path), Tokenizer.from_file(path), []
+
+    class Words:
+        findall = staticmethod(lambda text, find=c.words.findall: calls.append(text) or find(text))
+
+    monkeypatch.setattr(c, "words", Words)
+    plain = "Ansh thea, oner. éelle*** ona (x) it's. we'll, 1st, a_b, ona, ona."
+    odd = [plain, plain + " ", " " + plain, plain.replace("oner. ", "oner.  "), "a b\t c", "a \nb", "ona,\nona. ona", "ona\x1c ona", "a  ", " ", "a ona　, b"]
+    for text in [*odd, *odd]:
+        want = library.encode(text, add_special_tokens=False).ids
+        packed = c.encode(text)
+        assert np.frombuffer(packed, "<u4").tolist() == want
+        assert c.decode_packed(packed) == c.decode(want) == library.decode(want, skip_special_tokens=False)
+    assert calls and not {" thea,", " oner.", " éelle***", " ona,", " ona."} & set(calls)
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = suite.vocabulary(suite.WORD_BPE)
+    memo, library, asked = bitplanes._Pieces(path), Tokenizer.from_file(path), []
+    plain = memo._encode_new
+    monkeypatch.setattr(memo, "_encode_new", lambda pieces: asked.extend(pieces) or plain(pieces))
+    texts = ["thedededou, Thedededou", "thedededou. (thedededou) thedededou***", "thedededou's, it's. 've! 12. é, éa, ...,",
+             "x<|endoftext|>thedededou, a, b.", "o̸, á, a,́ ≠ a≠ " + "y" * 70 + ", " + "y" * 70 + "."]
+    for text in [*texts, *texts]:
+        assert memo.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert asked.count(b"thedededou") == 1 and b"thedededou," not in asked and b"thedededou***" not in asked
+    assert not any(len(p) > bitplanes.MEMO_CHARS for p in memo.known)

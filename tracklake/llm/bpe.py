@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import json
 import re
+import string
 import struct
 from functools import lru_cache
 
@@ -38,6 +39,14 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: single blank inside such a run may belong with what stands before it.
 RUNS = re.compile(r"\s\s|^\s|\s\Z")
 
+
+class _RunFound(Exception):
+    """A piece between blanks is empty or has a run of white space."""
+
+
+#: ASCII signs: a run of them after a word is one word.
+SIGNS = string.punctuation
+
 #: Pieces remembered by one Python worker in each generation, and the longest.
 MEMO_PIECES, MEMO_CHARS = 200_000, 64
 
@@ -147,8 +156,13 @@ class Codec:
         return b"".join(map(self.word_ids.__getitem__, self.words.findall(text)))
 
     def encode_after_blank(self, piece: str) -> bytes:
-        """Encode a blank and the piece after it, which has no white space. A
-        word with its blank is remembered once, as the piece without it."""
+        """Encode a blank and the piece after it, up to the next blank. A word
+        with its blank is remembered once, as the piece without it."""
+        word = piece.rstrip(SIGNS)
+        if word.isalpha():
+            return self.encode_word(" " + word) if len(word) == len(piece) else self.blank_ids[word] + self.word_ids[piece[len(word) :]]
+        if not piece or RUNS.search(piece):
+            raise _RunFound
         word, *rest = self.words.findall(" " + piece)
         if not rest:
             return self.encode_word(word)
@@ -156,11 +170,15 @@ class Codec:
 
     def encode_plain(self, text: str) -> bytes:
         """As ``encode_run``. Between two other characters a single blank starts
-        a word, so the text may be cut there and each piece remembered."""
-        if RUNS.search(text):
-            return self.encode_run(text)
+        a word, so the text may be cut there and each piece remembered. A run of
+        white space shows in a piece that is not remembered."""
         first, *rest = text.split(" ")
-        return self.encode_run(first) + b"".join(map(self.blank_ids.__getitem__, rest))
+        if rest and (not first or RUNS.search(first)):
+            return self.encode_run(text)
+        try:
+            return self.encode_run(first) + b"".join(map(self.blank_ids.__getitem__, rest))
+        except _RunFound:
+            return self.encode_run(text)
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
