@@ -26,6 +26,8 @@ columns of the input are not stored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -49,6 +51,15 @@ BLOCK, FILE_IDS = 1 << 16, 1 << 24
 MEMO_PIECES, MEMO_CHARS = 800_000, 64
 #: New pieces that are encoded as one text.
 TOGETHER = 256
+#: The normalizers and words of a vocabulary whose pieces may be cut before
+#: ASCII signs at their end: after an ASCII letter or digit these are a word of
+#: their own. An apostrophe may start another word, so none is among them. Lower
+#: ASCII letters alone are one word, which the normalizers leave as it is.
+PLAIN = ["NFC", "Replace", "Lowercase"]
+PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS, BEFORE_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+#: Stops and commas at the end of such a piece are cut off before it is looked up.
+STOPS = re.compile(rb"[.,](?<=[a-z0-9][.,])(?=[ \n])")
 
 MANIFEST = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("part", "number", "docs", "ids", "bytes")]
@@ -199,15 +210,26 @@ class _Pieces:
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder()
         self.control = [t.content.lower().encode() for t in added.values()]
-        plain = [(i, t) for i, t in added.items() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        cuts = [(i, t) for i, t in added.items() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         #: A control string that cuts a text whatever is beside it, and its id.
-        self.cut_id, self.cut_text = (plain[0][0], plain[0][1].content) if plain else (None, "")
+        self.cut_id, self.cut_text = (cuts[0][0], cuts[0][1].content) if cuts else (None, "")
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split, *others = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        plain = kinds == PLAIN and split.get("pattern") == {"Regex": PLAIN_WORDS} and [o["type"] for o in others] == ["ByteLevel"]
+        #: Signs at the end of a piece that may be encoded without it, and the
+        #: tokenizer for letters alone, without the steps that do not change them.
+        self.signs, self.letters = (SIGNS if plain else b""), None
+        if plain:
+            self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": others[0]}))
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _cut(self, text: bytes) -> list[bytes]:
         lower = text.lower()
-        if lower == text or not any(c in lower for c in self.control):
+        if not any(c in lower for c in self.control):
+            return (STOPS.sub(rb" \g<0>", lower) if self.signs else lower).split()
+        if lower == text:
             return lower.split()
         return [p if any(c in low for c in self.control) else low for p, low in zip(text.split(), lower.split(), strict=True)]
 
@@ -225,16 +247,43 @@ class _Pieces:
             out[i] = np.asarray(e.ids, "<u4").tobytes()
         kept = set(apart)
         rest = [i for i in range(len(texts)) if i not in kept]
-        groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
-        joined = ["".join([texts[i] + self.cut_text for i in g]) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids, lo = np.array(e.ids, "<u4"), 0
-            raw = ids.tobytes()
-            for i, at in zip(g, np.flatnonzero(ids == self.cut_id).tolist(), strict=True):
-                out[i] = raw[lo : 4 * at]
-                lo = 4 * at + 4
+        letters = [i for i in rest if pieces[i].isalpha()] if self.letters else []
+        others = [i for i in rest if not pieces[i].isalpha()] if self.letters else rest
+        for tokenizer, some in ((self.letters, letters), (self.tokenizer, others)):
+            groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            joined = ["".join([texts[i] + self.cut_text for i in g]) for g in groups]
+            encoded = tokenizer.encode_batch_fast(joined, add_special_tokens=False) if groups else []
+            for g, e in zip(groups, encoded, strict=True):
+                ids, lo = np.array(e.ids, "<u4"), 0
+                raw = ids.tobytes()
+                for i, at in zip(g, np.flatnonzero(ids == self.cut_id).tolist(), strict=True):
+                    out[i] = raw[lo : 4 * at]
+                    lo = 4 * at + 4
         return out
 
+    def _learn(self, new: list[bytes]) -> set[bytes]:
+        """Remember the ids of new pieces. One that ends with signs has the ids
+        of the word before them and theirs, so a word is encoded once, whatever
+        follows it; words and signs are remembered too, and returned."""
+        here, parts, whole = self.known, [], []
+        text = b" ".join(new).lower()
+        signs = b"" if any(c in text for c in self.control) else self.signs
+        for p in new:
+            word = p.rstrip(signs)
+            if len(word) < len(p) and word and word[-1] in BEFORE_SIGNS:
+                parts.append((p, word, p[len(word) :]))
+            else:
+                whole.append(p)
+        made = {x for _, *both in parts for x in both}.difference(here, whole)
+        for part in made:
+            if (ids := self.older.get(part)) is not None:
+                here[part] = ids
+            else:
+                whole.append(part)
+        here.update(zip(whole, self._encode_new(whole), strict=True))
+        here.update([(p, here[word] + here[end]) for p, word, end in parts])
+        return made
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         # On bytes, only ASCII letters are lowered and only ASCII white space splits.
         cut = [self._cut(t.encode("utf-8", "replace")) for t in texts]
@@ -247,9 +296,9 @@ class _Pieces:
                 here[p] = ids
             else:
                 new.append(p)
-        here.update(zip(new, self._encode_new(new), strict=True))
+        made = self._learn(new)
         out = [np.frombuffer(b"".join(map(here.__getitem__, c)), "<u4") for c in cut]
-        for p in new:
+        for p in (*new, *made):
             if len(p) > MEMO_CHARS:
                 del here[p]
         return out
