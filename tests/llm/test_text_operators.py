@@ -4,6 +4,7 @@ import gc
 import hashlib
 import json
 import random
+import unicodedata
 import weakref
 import zlib
 
@@ -300,3 +301,55 @@ def test_a_word_is_encoded_once_whatever_signs_follow(monkeypatch):
         assert memo.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
     assert asked.count(b"thedededou") == 1 and b"thedededou," not in asked and b"thedededou***" not in asked
     assert not any(len(p) > bitplanes.MEMO_CHARS for p in memo.known)
+
+
+def test_a_piece_is_looked_up_once_for_many_texts(monkeypatch):
+    memo, asked = bitplanes._Pieces(suite.vocabulary(suite.WORD_BPE)), []
+
+    class Known(dict):
+        def get(self, piece, *other):
+            asked.append(piece)
+            return dict.get(self, piece, *other)
+
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return dict.__getitem__(self, piece)
+
+    memo.known = Known()
+    texts = [f"one, two three. four\n{'five ' * (i % 7)}, one" for i in range(200)]
+    whole = memo.encode(texts)
+    assert len(asked) < 30
+    assert [x.tolist() for x in whole] == [memo.encode([t])[0].tolist() for t in texts]
+
+
+def test_pieces_of_columns_and_long_runs(spark, word_bpe, monkeypatch):
+    import pyarrow as pa
+
+    signs = "a. b,c d.\n.e, ,f g.. h., . é. É, ÿ, ×. a×b a÷ ÀÖØÞß ßàöøÿ ª µ º İ ŉ é, ́ á. ≠ a̸ x\x1c.y a . b"
+    texts = ["", " ", ".", "a.", " b", ", c", *signs.split(" "), signs, signs.upper(), f"{signs} <|endoftext|> {signs}", "A. <|ENDOFTEXT|>, b.", "\ta.\x0b b,\x0c c\r. ", *(t or "" for t in ODD)]
+    want = [word_bpe.encode(t, add_special_tokens=False).ids for t in texts]
+    memo = bitplanes._Pieces(suite.vocabulary(suite.WORD_BPE))
+    column = pa.array(["not of the slice.", *texts, "."])
+    for part in (texts, column.slice(1, len(texts)), column.cast(pa.large_string()).slice(1, len(texts))):
+        assert [x.tolist() for x in memo.encode(part)] == want
+    monkeypatch.setattr(bitplanes, "MEMO_PIECES", 3)
+    assert [memo.encode([t])[0].tolist() for t in [*texts, *texts]] == want + want
+    assert memo.encode([]) == []
+    for n, size in ((1024, 1 << 23), (2, 1 << 23), (1024, 10), (1024, 0)):
+        monkeypatch.setattr(bitplanes, "TEXTS", n)
+        monkeypatch.setattr(bitplanes, "TEXT_BYTES", size)
+        runs = list(bitplanes._slices(column))
+        assert [lo for lo, _ in runs] == [0, *(hi for _, hi in runs[:-1])] and runs[-1][1] == len(column)
+        assert all(hi - lo == 1 or hi - lo <= n and sum(map(len, column[lo:hi].cast(pa.binary()).to_pylist())) <= size for lo, hi in runs)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = suite.vocabulary(suite.WORD_BPE)
+    rows = bitplanes.read(spark, bitplanes.write(docs, path, shared_path(spark, "ids")).cache()).orderBy("start").collect()
+    assert [list(r["ids"]) for r in rows] == [[*ids, 1] for ids in want]
+
+
+def test_capitals_are_composed_before_they_are_lowered(word_bpe):
+    memo = bitplanes._Pieces(suite.vocabulary(suite.WORD_BPE))
+    marks = [chr(c) for c in range(0x300, 0x11000) if unicodedata.combining(chr(c))]
+    texts = [f"{x}{m}" for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in [*marks, "֑̈", "̖̊", "̣̱"]]
+    texts += ["a T̈, H̱. é Tẗ", "T", "̈", "<|ENDOFTEXT|>T̈ W̊<|endoftext|>"]
+    assert [x.tolist() for x in memo.encode(texts)] == [word_bpe.encode(t, add_special_tokens=False).ids for t in texts]

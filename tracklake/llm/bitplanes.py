@@ -27,6 +27,7 @@ columns of the input are not stored.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -48,18 +50,25 @@ MAGIC = b"TLPLANE1"
 BLOCK, FILE_IDS = 1 << 16, 1 << 24
 #: Pieces of text that one Python worker remembers in each generation, and the
 #: bytes of the longest.
-MEMO_PIECES, MEMO_CHARS = 800_000, 64
+MEMO_PIECES, MEMO_CHARS = 300_000, 64
 #: New pieces that are encoded as one text.
 TOGETHER = 256
+#: Texts that are cut into pieces together, and bytes after which they are fewer:
+#: a piece is looked up once for all of them.
+TEXTS, TEXT_BYTES = 512, 1 << 22
 #: The normalizers and words of a vocabulary whose pieces may be cut before
 #: ASCII signs at their end: after an ASCII letter or digit these are a word of
-#: their own. An apostrophe may start another word, so none is among them. Lower
-#: ASCII letters alone are one word, which the normalizers leave as it is.
+#: their own. An apostrophe may start another word, so none is among them. Letters
+#: of ASCII (lower) and Latin-1 alone are one word, which the normalizers lower only.
 PLAIN = ["NFC", "Replace", "Lowercase"]
 PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SIGNS, BEFORE_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
-#: Stops and commas at the end of such a piece are cut off before it is looked up.
-STOPS = re.compile(rb"[.,](?<=[a-z0-9][.,])(?=[ \n])")
+#: The bytes of letters a to z and U+00C0 to U+00FF; the multiplication and the
+#: division sign there are none.
+LETTERS = bytes({*range(97, 123), 0xC3, *range(0x80, 0xC0)} - {0x97, 0xB7})
+#: Capitals that NFC may compose with a mark (U+0300 or above) only when lowered.
+CAPITALS, MARKS = b"HJTWY", 0xCC
+BEFORE_MARKS = re.compile(rb"[HJTWY][\xcc-\xff]")
 
 MANIFEST = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("part", "number", "docs", "ids", "bytes")]
@@ -199,12 +208,15 @@ class _Pieces:
     """Pieces of text between white space -> ids. Words of this vocabulary never
     span white space and ignore case, so the pieces' ids in a row are the ids
     of the whole text. Control strings match in their own case only, so pieces
-    that hold one in any case keep theirs. Pieces already met are remembered in
+    that hold one in any case keep theirs; so do pieces with ``CAPITALS`` before
+    marks, as the library composes before it lowers. Pieces already met are remembered in
     two generations."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # Spark's tasks share the cores; threads of the library cost memory beside them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -225,13 +237,31 @@ class _Pieces:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _cut(self, text: bytes) -> list[bytes]:
-        lower = text.lower()
-        if not any(c in lower for c in self.control):
-            return (STOPS.sub(rb" \g<0>", lower) if self.signs else lower).split()
-        if lower == text:
-            return lower.split()
-        return [p if any(c in low for c in self.control) else low for p, low in zip(text.split(), lower.split(), strict=True)]
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """The pieces of each text as lists. Only ASCII letters are lowered and
+        only ASCII white space splits; stops and commas are cut off words."""
+        at, data = _layout(texts)
+        raw = data.tobytes().lower()
+        lower = _strings(at, np.frombuffer(raw, np.uint8))
+        cut = pc.ascii_split_whitespace(_part_stops(lower) if self.signs else lower)
+        held = np.zeros(len(texts), bool)
+        if any(c in raw for c in self.control):
+            for c in self.control:
+                held |= pc.match_substring(lower, c.decode()).to_numpy(zero_copy_only=False)
+        marked = np.flatnonzero(data[1:] >= MARKS)
+        marked = marked[np.isin(data[marked], np.frombuffer(CAPITALS, np.uint8))]
+        held[np.searchsorted(at, marked, side="right") - 1] = True
+        held = np.flatnonzero(held)
+        if not len(held):
+            return cut
+        keeps = lambda p, low: any(c in low for c in self.control) or BEFORE_MARKS.search(p)
+        own = []
+        for text, low in zip(texts.take(held).to_pylist(), lower.take(held).to_pylist(), strict=True):
+            pairs = zip(text.encode().split(), low.encode().split(), strict=True)
+            own.append([(p if keeps(p, q) else q).decode() for p, q in pairs])
+        place = np.arange(len(cut))
+        place[held] = len(cut) + np.arange(len(held))
+        return pa.concat_arrays([cut, pa.array(own, cut.type)]).take(pa.array(place))
 
     def _encode_new(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pieces; ``TOGETHER`` at a time with a control string between
@@ -247,8 +277,12 @@ class _Pieces:
             out[i] = np.asarray(e.ids, "<u4").tobytes()
         kept = set(apart)
         rest = [i for i in range(len(texts)) if i not in kept]
-        letters = [i for i in rest if pieces[i].isalpha()] if self.letters else []
-        others = [i for i in rest if not pieces[i].isalpha()] if self.letters else rest
+        others, letters = rest, []
+        if self.letters:
+            odd = [p.translate(None, LETTERS) for p in pieces]
+            letters, others = [i for i in rest if not odd[i]], [i for i in rest if odd[i]]
+            for i in letters:
+                texts[i] = texts[i].lower()
         for tokenizer, some in ((self.letters, letters), (self.tokenizer, others)):
             groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
             joined = ["".join([texts[i] + self.cut_text for i in g]) for g in groups]
@@ -284,25 +318,82 @@ class _Pieces:
         here.update([(p, here[word] + here[end]) for p, word, end in parts])
         return made
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        # On bytes, only ASCII letters are lowered and only ASCII white space splits.
-        cut = [self._cut(t.encode("utf-8", "replace")) for t in texts]
-        wanted = set().union(*cut)
-        if len(self.known) + len(wanted) > MEMO_PIECES:
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces that are all different."""
+        out = list(map(self.known.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.known) + len(missing) > MEMO_PIECES:
             self.older, self.known = self.known, {}
         here, new = self.known, []
-        for p in wanted.difference(here):
+        for i in missing:
+            p = pieces[i]
             if (ids := self.older.get(p)) is not None:
-                here[p] = ids
+                here[p] = out[i] = ids
             else:
                 new.append(p)
         made = self._learn(new)
-        out = [np.frombuffer(b"".join(map(here.__getitem__, c)), "<u4") for c in cut]
+        for i in missing:
+            if out[i] is None:
+                out[i] = here[pieces[i]]
         for p in (*new, *made):
             if len(p) > MEMO_CHARS:
                 del here[p]
         return out
 
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text. A piece is looked up once, wherever it stands; its
+        ids are then dealt to its places."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([t.encode("utf-8", "replace") for t in texts], pa.binary())
+        if not len(texts):
+            return []
+        texts = _strings(*_layout(texts))
+        texts.validate(full=True)
+        cut = self._cut(texts)
+        words = cut.flatten().dictionary_encode()
+        at, data = _layout(words.dictionary)
+        raw, at = data.tobytes(), at.tolist()
+        ids = self._look_up(list(map(raw.__getitem__, map(slice, at, at[1:]))))
+        ids = pa.array(ids, pa.large_binary()).take(words.indices)
+        at, data = _layout(ids)
+        ends = at[np.cumsum(cut.value_lengths().to_numpy())] // 4
+        return np.split(data.view("<u4"), ends[:-1])
+
+
+def _layout(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of the strings starts, the end of the last, and their bytes."""
+    large = pa.types.is_large_string(strings.type) or pa.types.is_large_binary(strings.type)
+    _, at, data = strings.buffers()
+    at = np.frombuffer(at, "<i8" if large else "<i4")[strings.offset : strings.offset + len(strings) + 1]
+    return at - at[0], np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]]
+
+
+def _strings(at: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The strings of a layout. They start at 0, which Arrow's functions need."""
+    return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype("<i4")), pa.py_buffer(data))
+
+
+def _part_stops(lower: pa.Array) -> pa.Array:
+    """The strings with a blank before each stop or comma between an ASCII
+    letter or digit and a blank or line end."""
+    at, data = _layout(lower)
+    stops = np.flatnonzero((data[1:-1] == ord(".")) | (data[1:-1] == ord(","))) + 1
+    before, after = data[stops - 1], data[stops + 1]
+    ends = (before >= ord("a")) & (before <= ord("z")) | (before >= ord("0")) & (before <= ord("9"))
+    stops = stops[ends & ((after == ord(" ")) | (after == ord("\n")))]
+    return _strings(at + np.searchsorted(stops, at), np.insert(data, stops, ord(" ")))
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of ``TEXTS`` texts, or fewer long ones."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = done = 0
+    while lo < len(texts):
+        fit = int(np.searchsorted(ends, done + TEXT_BYTES, side="right"))
+        hi = max(lo + 1, min(lo + TEXTS, fit))
+        yield lo, hi
+        lo, done = hi, int(ends[hi - 1])
+
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> _Pieces:
@@ -344,9 +435,9 @@ def write(
             made.append((part, number, *docs_ids, out.close(), f"{folder}/{name}"))
 
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                batch = whole.slice(lo, 256)
-                encoded = memo.encode(batch.column(1).to_pylist())
+            for lo, hi in _slices(whole.column(1)):
+                batch = whole.slice(lo, hi - lo)
+                encoded = memo.encode(batch.column(1))
                 for key, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                     if out is None:
                         out = Writer(f"{folder}/part-{part:06d}-{number:06d}.ids", task.taskAttemptId())
